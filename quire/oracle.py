@@ -225,8 +225,9 @@ def unescape(x):
     return x
 
 
-def element_text(html, tag, space_to=" "):
-    inner = f"regexp_extract({html}, {q('(?s)<' + tag + '[^>]*>(.*?)</' + tag + '>')}, 1)"
+def element_text(html, tag, space_to=" ", cls=None):
+    attrs = "[^>]*" if cls is None else '[^>]*class="[^"]*\\b' + cls + '\\b[^"]*"[^>]*'
+    inner = f"regexp_extract({html}, {q('(?s)<' + tag + attrs + '>(.*?)</' + tag + '>')}, 1)"
     s = unescape(rx(inner, "<[^>]+>", ""))
     s = rx(s, r"\n+", "\n")
     s = rx(s, " +", space_to)
@@ -408,7 +409,39 @@ def build() -> dict[str, str]:
     stats = ", ".join(f"{nth('stat_block', i)} AS {c}" for c, i in P.STAT_LINES.items())
     o["nth_line"] = (f"WITH b AS ({blocks.STAT_SQL}) SELECT book_key, {nth('rating_block', 0)} AS rating, {stats}, "
                      f"coalesce({rx(nth('edition_block', 1, None), r'^\s+|\s+$', '')}, 'null') AS series FROM b")
+    recs = book_records_sql()
+    o["book_pages_to_bronze"] = f"WITH {recs} SELECT * FROM recs"
+    o["silver_books_from_pages"] = (f"WITH {recs}, bb AS (SELECT * FROM recs WHERE id IS NOT NULL), "
+                                    f"{silver_books_ctes()} SELECT * FROM silver_books")
     return o
 
 
+AUTHOR_ID = "regexp_extract(ah, '/author/([^-/?#]*)', 1)"
+PUBLISHER_ID = "regexp_extract(ph, '/publisher/([^-/?#]*)', 1)"
+
+
+def book_records_sql() -> str:
+    """CTE `recs`: one bronze books row per rendered book page."""
+    f = info_fields("info")
+    a_href = r'<a\s[^>]*class="[^"]*\bbc-author__link\b[^"]*"[^>]*href="([^"]*)"'
+    p_href = r'<a\s[^>]*class="[^"]*\bbc-edition__link\b[^"]*"[^>]*href="([^"]*publisher[^"]*)"'
+    blocks_sel = (f"SELECT url, html, {element_text('html', 'div', cls='bc-info')} AS info, "
+                  f"{element_text('html', 'div', cls='bc-rating')} AS rb, "
+                  f"{element_text('html', 'div', space_to='', cls='bc-stat')} AS sb, "
+                  f"{element_text('html', 'table', cls='bc-edition')} AS eb, "
+                  f"regexp_extract(html, {q(a_href)}, 1) AS ah, regexp_extract(html, {q(p_href)}, 1) AS ph FROM pg")
+    stats = ", ".join(f"{nth('sb', i)} AS {c}" for c, i in P.STAT_LINES.items())
+    fields = ", ".join(f"{f[c]} AS {c}" for c in ("isbn", "editionyear", "pages", "size", "covertype",
+                                                  "language", "copiesissued", "agerestrictions",
+                                                  "genres", "translatorname"))
+    rec = (f"SELECT nullif(regexp_extract(url, '/book/([^-/?#]*)', 1), '') AS id, "
+           f"{element_text('html', 'h1', cls='bc__book-title')} AS booktitle, "
+           f"{element_text('html', 'h2', cls='bc-author')} AS author, "
+           f"{or_sentinel(AUTHOR_ID)} AS authorid, {fields}, "
+           f"{nth('rb', 0)} AS rating, {stats}, "
+           f"coalesce({rx(nth('eb', 1, None), r'^\s+|\s+$', '')}, 'null') AS series, "
+           f"{or_sentinel(PUBLISHER_ID)} AS publisherid FROM blk")
+    return f"pg AS ({blocks.BOOK_PAGE_SQL}), blk AS ({blocks_sel}), recs AS ({rec})"
+
+
 ORACLE_SQL = build()

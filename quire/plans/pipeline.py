@@ -1,0 +1,93 @@
+"""The daily job: staged batch -> bronze merge -> silver -> validate -> gold.
+
+Every step is a Spark job over whole tables; the driver only sequences them
+and reads the validation verdict (a handful of rows). All outputs go under
+`root`, which on a cluster must be shared storage. Each step is deterministic
+(total-order survivors, checkpointed ids), so task retries after a lost
+executor rewrite identical rows, and re-running the whole job with the same
+batch changes nothing (insert-ignore merges).
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+
+from quire.operators.dedupe import new_rows
+from quire.operators.validate import publish_if_valid, validate
+from quire.plans import gold, silver
+from quire.sources import io
+from quire.sources.schemas import BRONZE, GOLD, KEYS
+
+ENTITIES = ("books", "authors", "publishers")
+
+
+@dataclass(frozen=True)
+class Layout:
+    root: str
+
+    def bronze(self, entity: str) -> str:
+        return f"{self.root}/bronze/{entity}_raw"
+
+    def silver(self, entity: str) -> str:
+        return f"{self.root}/silver/{entity}"
+
+    def gold(self, table: str) -> str:
+        return f"{self.root}/gold/{table}"
+
+    def results(self) -> str:
+        return f"{self.root}/validation/results"
+
+
+def merge_bronze(spark: SparkSession, layout: Layout, entity: str, staged: DataFrame) -> DataFrame:
+    """Insert-ignore a staged batch into bronze `<entity>_raw`."""
+    stored = io.read_or_empty(spark, layout.bronze(entity), BRONZE[entity])
+    added = new_rows(stored, staged.select(*BRONZE[entity].names), KEYS[entity])
+    io.append(added, layout.bronze(entity))
+    return added
+
+
+def build_silver(spark: SparkSession, layout: Layout, corrected: bool = False) -> None:
+    read = lambda e: spark.read.schema(BRONZE[e]).parquet(layout.bronze(e))
+    io.overwrite(silver.books(read("books"), corrected), layout.silver("books"))
+    io.overwrite(silver.authors(read("authors")), layout.silver("authors"))
+    io.overwrite(silver.publishers(read("publishers")), layout.silver("publishers"))
+
+
+def publish_gold(spark: SparkSession, layout: Layout, corrected: bool = False) -> DataFrame:
+    """Validate each candidate gold table, publish it only if its suite
+    passes (L6, L7), then build the genre dictionary and bridge."""
+    sb = spark.read.parquet(layout.silver("books"))
+    results_path = layout.results()
+    keep = lambda df: io.append(df, results_path)
+
+    candidate_books = gold.books(sb)
+    publish_if_valid(candidate_books, "gold_books", lambda df: io.overwrite(df, layout.gold("books")), keep)
+
+    for entity, suite in (("authors", "gold_authors"), ("publishers", "gold_publishers")):
+        existing = io.read_or_empty(spark, layout.gold(entity), GOLD[entity])
+        staged = spark.read.parquet(layout.silver(entity))
+        added = new_rows(existing, staged.select(*existing.columns), KEYS[entity])
+        # the merged table is what gets published; validate the union
+        merged = existing.unionByName(added)
+        publish_if_valid(merged, suite, lambda df, e=entity, a=added: io.append(a, layout.gold(e)), keep)
+
+    tables = gold.build(sb, corrected)
+    io.overwrite(tables.genres, layout.gold("genres"))
+    io.overwrite(tables.book_genre, layout.gold("book_genre"))
+    return spark.read.parquet(results_path)
+
+
+def run(spark: SparkSession, staged: dict[str, DataFrame], root: str, corrected: bool = False) -> DataFrame:
+    """One daily run over staged batches {entity: all-string frame}."""
+    layout = Layout(root)
+    for entity in ENTITIES:
+        merge_bronze(spark, layout, entity, staged[entity])
+    build_silver(spark, layout, corrected)
+    return publish_gold(spark, layout, corrected)
+
+
+def report(df: DataFrame, suite: str) -> DataFrame:
+    """Validation rows of `suite` for a frame, without publishing."""
+    return validate(df, suite)

@@ -6,6 +6,7 @@ tables; `quire.oracle` holds the DuckDB SQL that must return the same rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,8 @@ from quire.operators import validate as V
 from quire.operators.dedupe import dedupe_by_key, distinct_rows, insert_ignore, new_rows
 from quire.operators.impute import approx_median, attach_group_means, global_value
 from quire.plans import gold, pages as P, silver
-from quire.sources import blocks
+from quire.session import ensure_checkpoint_dir
+from quire.sources import blocks, io
 from quire.sources.bronze_views import bronze, register_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -404,5 +406,28 @@ def silver_books_from_pages(spark, d):
     return silver.books(recs)
 
 
+# --- file sources and sinks (rows-only: a file round trip has no SQL twin) --------
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def csv_roundtrip(spark, d):
+    """Bronze books -> headerless CSV (B3) -> read back with the bronze schema (A3)."""
+    path = _scratch(spark, "staged-books")
+    io.write_staged_csv(_bb(spark, d), path)
+    return io.read_staged_csv(spark, path, "books")
+
+
+@query
+def text_roundtrip(spark, d):
+    """Frontier links -> text file, one URL per line (B4) -> read back (A5)."""
+    path = _scratch(spark, "links")
+    io.write_links(P.frontier(P.links(_table(spark, d, "pages"))), path, "link")
+    return io.read_links(spark, path)
+
+
 def register_all(spark: SparkSession, sf_dir: str) -> None:
     register_tables(spark, sf_dir, ["part", "customer", "supplier"])

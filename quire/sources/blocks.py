@@ -63,8 +63,8 @@ SELECT p_partkey AS page_id,
     '<div class="bc-stat">', {STAT_EXPR}, '</div>',
     '<table class="bc-edition"><tr><td>', replace({EDITION_EXPR}, chr(10), concat('</td></tr>', chr(10), '<tr><td>')), '</td></tr>',
     CASE WHEN p_partkey % 13 = 0 THEN ''
-      ELSE concat('<tr><td><a class="bc-edition__link" href="/publisher/', CAST(p_partkey % 17 AS STRING), '-pub">pub</a></td></tr>') END,
-    '<tr><td><a class="bc-edition__link" href="/series/', CAST(p_size AS STRING), '">series</a></td></tr></table>',
+      ELSE concat(chr(10), '<tr><td><a class="bc-edition__link" href="/publisher/', CAST(p_partkey % 17 AS STRING), '-pub">pub</a></td></tr>') END,
+    chr(10), '<tr><td><a class="bc-edition__link" href="/series/', CAST(p_size AS STRING), '">series</a></td></tr></table>',
     '</body></html>') AS html
 FROM part
 """
