@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 from quire.sources.schemas import BRONZE
 
+CSV_NULL_MARKER = "\u0000"
+
 
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,
                  partition_column: str | None = None, lower_bound: int | None = None,
@@ -52,15 +54,17 @@ def read_staged_csv(spark: SparkSession, path: str, entity: str) -> DataFrame:
     """Headerless staged CSV with the all-string bronze schema (A3). A BOM is
     dropped, quoted fields may hold newlines and doubled quotes; an empty
     unquoted field is NULL, an empty quoted field is ''."""
+    # Unquoted empty fields come back as `nullValue`; quoted "" as ''. A
+    # marker that never occurs in text keeps the two apart.
     return (spark.read.schema(BRONZE[entity]).option("header", False).option("multiLine", True)
-            .option("quote", '"').option("escape", '"').option("encoding", "UTF-8").csv(path))
+            .option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
+            .option("nullValue", CSV_NULL_MARKER).csv(path))
 
 
 def write_staged_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Headerless CSV sink (B3): quotes doubled, NULL written empty and ''
     written quoted so that the reader tells them apart."""
-    (df.write.mode(mode).option("header", False).option("quote", '"').option("escape", '"')
-     .option("emptyValue", '""').csv(path))
+    df.write.mode(mode).option("header", False).option("quote", '"').option("escape", '"').csv(path)
 
 
 def read_links(spark: SparkSession, path: str) -> DataFrame:
