@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.sources.bronze_views import register_tables
 
 INFO_EXPR = """concat(
   CASE WHEN p_partkey % 9 = 0 THEN '' ELSE concat('ISBN: 978-5-', CAST(1000000 + p_partkey AS STRING), '-X, 5-17-', CAST(100000 + p_size AS STRING), '-1', chr(10)) END,
@@ -70,16 +69,34 @@ FROM part
 """
 
 
+def _register_spread_part(spark: SparkSession, sf_dir: str) -> None:
+    """Register `part` for rendering, spread over the session's cores.
+
+    Rendering and regex extraction cost far more per row than the scan; a
+    small table read as one split would run all of it in one task. A large
+    scan already has more splits than cores and is left as it is (no shuffle
+    of big inputs)."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    spread(part, "p_partkey").createOrReplaceTempView("part")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-repartition `df` on `key` only when it has fewer partitions than
+    the session's default parallelism."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def info_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_tables(spark, sf_dir, ["part"])
+    _register_spread_part(spark, sf_dir)
     return spark.sql(INFO_SQL)
 
 
 def stat_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_tables(spark, sf_dir, ["part"])
+    _register_spread_part(spark, sf_dir)
     return spark.sql(STAT_SQL)
 
 
 def book_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_tables(spark, sf_dir, ["part"])
+    _register_spread_part(spark, sf_dir)
     return spark.sql(BOOK_PAGE_SQL)
