@@ -444,4 +444,56 @@ def book_records_sql() -> str:
     return f"pg AS ({blocks.BOOK_PAGE_SQL}), blk AS ({blocks_sel}), recs AS ({rec})"
 
 
+def pattern(tag, cls=None, attr=None):
+    if cls is not None:
+        attrs = '[^>]*class="[^"]*\\b' + cls + '\\b[^"]*"[^>]*'
+    elif attr is not None:
+        attrs = "[^>]*" + attr[0] + '="' + attr[1] + '"[^>]*'
+    else:
+        attrs = "[^>]*"
+    return "(?s)<" + tag + attrs + ">(.*?)</" + tag + ">"
+
+
+def node_text(inner):
+    return rx(unescape(rx(inner, "<[^>]+>", "")), r"\n+", "")
+
+
+def first_node_text(tag, cls=None, attr=None):
+    pat = q(pattern(tag, cls, attr))
+    return f"(CASE WHEN regexp_matches(html, {pat}) THEN {node_text(f'regexp_extract(html, {pat}, 1)')} ELSE 'null' END)"
+
+
+def author_records_sql() -> str:
+    counters = ", ".join(f"{first_node_text('span', attr=('title', t))} AS {c}"
+                         for c, t in P.AUTHOR_COUNTER_TITLES.items())
+    return (f"apg AS ({blocks.AUTHOR_PAGE_SQL}), arecs AS (SELECT "
+            f"nullif(regexp_extract(url, '/author/([^-/?#]*)', 1), '') AS authorid, "
+            f"{first_node_text('span', P.AUTHOR_NAME_CLASS)} AS name, "
+            f"{first_node_text('span', P.AUTHOR_ORIGINAL_NAME_CLASS)} AS originalname, {counters} FROM apg)")
+
+
+def publisher_records_sql() -> str:
+    items = (f"list_filter(regexp_extract_all(html, {q(pattern('li', P.PUBLISHER_LIST_CLASS))}, 1), "
+             f"lambda x: contains(x, {q(P.PUBLISHER_BOOKS_LABEL)}))[1]")
+    paras = (f"list_filter(regexp_extract_all(html, {q(pattern('p'))}, 1), "
+             f"lambda x: contains(x, {q(P.PUBLISHER_YEAR_LABEL)}))[1]")
+    year = f"regexp_extract({paras}, {q('(?s)' + P.PUBLISHER_YEAR_LABEL.strip() + '(.*)')}, 1)"
+    return (f"ppg AS ({blocks.PUBLISHER_PAGE_SQL}), precs AS (SELECT "
+            f"nullif(regexp_extract(url, '/publisher/([^-/?#]*)', 1), '') AS publisherid, "
+            f"{first_node_text('title', attr=('id', P.PUBLISHER_TITLE_ID))} AS name, "
+            f"{node_text(items)} AS books, {rx(rx(year, '<[^>]+>', ''), r'\s+', '')} AS years, "
+            f"{first_node_text('a', P.PUBLISHER_LINK_CLASS)} AS page, "
+            f"{first_node_text('span', P.PUBLISHER_FAVORITE_CLASS)} AS favorite FROM ppg)")
+
+
+def add_entity_pages(o: dict[str, str]) -> None:
+    o["author_pages_to_bronze"] = f"WITH {author_records_sql()} SELECT * FROM arecs"
+    o["publisher_pages_to_bronze"] = f"WITH {publisher_records_sql()} SELECT * FROM precs WHERE books IS NOT NULL"
+    o["silver_authors_from_pages"] = (f"WITH {author_records_sql()}, ba AS (SELECT * FROM arecs), "
+                                      f"{silver_authors_ctes()} SELECT * FROM silver_authors")
+    o["silver_publishers_from_pages"] = (f"WITH {publisher_records_sql()}, bp AS (SELECT * FROM precs WHERE books IS NOT NULL), "
+                                         f"{silver_publishers_ctes()} SELECT * FROM silver_publishers")
+
+
 ORACLE_SQL = build()
+add_entity_pages(ORACLE_SQL)

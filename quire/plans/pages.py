@@ -53,10 +53,38 @@ def strip_tags(c) -> Column:
     return F.regexp_replace(C._c(c), r"<[^>]+>", "")
 
 
-def element_html(html, tag: str, cls: str | None = None) -> Column:
-    """Inner HTML of the first <tag> (with class `cls` when given)."""
-    attrs = r"[^>]*" if cls is None else r'[^>]*class="[^"]*\b' + cls + r'\b[^"]*"[^>]*'
-    return F.regexp_extract(C._c(html), r"(?s)<" + tag + attrs + r">(.*?)</" + tag + r">", 1)
+def element_pattern(tag: str, cls: str | None = None, attr: tuple[str, str] | None = None) -> str:
+    """Regex whose group 1 is the inner HTML of a <tag> element, optionally one
+    whose class list holds `cls` or whose attribute attr[0] equals attr[1]."""
+    if cls is not None:
+        attrs = r'[^>]*class="[^"]*\b' + cls + r'\b[^"]*"[^>]*'
+    elif attr is not None:
+        attrs = r"[^>]*" + attr[0] + r'="' + attr[1] + r'"[^>]*'
+    else:
+        attrs = r"[^>]*"
+    return r"(?s)<" + tag + attrs + r">(.*?)</" + tag + r">"
+
+
+def element_html(html, tag: str, cls: str | None = None, attr: tuple[str, str] | None = None) -> Column:
+    """Inner HTML of the first matching <tag>; '' when there is none."""
+    return F.regexp_extract(C._c(html), element_pattern(tag, cls, attr), 1)
+
+
+def element_texts(html, tag: str, cls: str | None = None) -> Column:
+    """Inner HTML of every matching <tag>, as an array."""
+    return F.regexp_extract_all(C._c(html), F.lit(element_pattern(tag, cls)), 1)
+
+
+def node_text(inner) -> Column:
+    """Text of an element the way the entity parsers read it: tags dropped,
+    entities decoded, newlines deleted, nothing trimmed."""
+    return F.regexp_replace(unescape(strip_tags(inner)), r"\n+", "")
+
+
+def first_node_text(html, tag: str, cls: str | None = None, attr: tuple[str, str] | None = None) -> Column:
+    """node_text of the first matching element; 'null' when there is none."""
+    found = F.regexp_like(C._c(html), F.lit(element_pattern(tag, cls, attr)))
+    return F.when(found, node_text(element_html(html, tag, cls, attr))).otherwise(F.lit(C.SENTINEL))
 
 
 def element_text(html, tag: str, cls: str | None = None, space_to: str = " ") -> Column:
@@ -181,6 +209,20 @@ def info_fields(info) -> dict[str, Column]:
     }
 
 
+# --- fixed values: selectors of the author and publisher pages -------------
+AUTHOR_NAME_CLASS = "header-profile-login"
+AUTHOR_ORIGINAL_NAME_CLASS = "header-profile-status"
+AUTHOR_COUNTER_TITLES = {"liked": "Писатель понравился", "neutral": "Отнеслись нейтрально",
+                         "disliked": "Писатель не понравился", "favorite": "Почитатели творчества",
+                         "reading": "Читателей"}
+PUBLISHER_TITLE_ID = "title-head"
+PUBLISHER_LIST_CLASS = "standard"
+PUBLISHER_BOOKS_LABEL = "Книги ("
+PUBLISHER_YEAR_LABEL = "Год основания: "
+PUBLISHER_LINK_CLASS = "publisher-link"
+PUBLISHER_FAVORITE_CLASS = "count-in-fav"
+# ---------------------------------------------------------------------------
+
 # --- whole records (K17-K19) -------------------------------------------------
 BOOK_URL_PREFIX = r"/book/"
 AUTHOR_URL_PREFIX = r"/author/"
@@ -219,3 +261,36 @@ def book_records(pages: DataFrame) -> DataFrame:
         series("edition_block").alias("series"),
         or_sentinel(C.id_from_url("p_href", PUBLISHER_URL_PREFIX)).alias("publisherid"),
     )
+
+
+def author_records(pages: DataFrame) -> DataFrame:
+    """One all-string bronze authors row per author page (K18): name,
+    original name and five counters; a missing element reads 'null'."""
+    h = F.col("html")
+    return pages.select(
+        F.nullif(C.id_from_url("url", AUTHOR_URL_PREFIX), F.lit("")).alias("authorid"),
+        first_node_text(h, "span", AUTHOR_NAME_CLASS).alias("name"),
+        first_node_text(h, "span", AUTHOR_ORIGINAL_NAME_CLASS).alias("originalname"),
+        *[first_node_text(h, "span", attr=("title", t)).alias(c) for c, t in AUTHOR_COUNTER_TITLES.items()],
+    )
+
+
+def publisher_records(pages: DataFrame) -> DataFrame:
+    """One all-string bronze publishers row per publisher page (K19). `books`
+    is the text of the first list item naming the book count; a page without
+    one is a reject (NULL books, filter with `.where(books IS NOT NULL)`).
+    `years` is the value after the founding-year label with tags and blanks
+    removed, NULL when no paragraph carries the label."""
+    h = F.col("html")
+    items = F.filter(element_texts(h, "li", PUBLISHER_LIST_CLASS),
+                     lambda x: x.contains(PUBLISHER_BOOKS_LABEL))
+    paras = F.filter(element_texts(h, "p"), lambda x: x.contains(PUBLISHER_YEAR_LABEL))
+    year_text = F.regexp_extract(F.get(paras, 0), r"(?s)" + PUBLISHER_YEAR_LABEL.strip() + r"(.*)", 1)
+    return pages.select(
+        F.nullif(C.id_from_url("url", PUBLISHER_URL_PREFIX), F.lit("")).alias("publisherid"),
+        first_node_text(h, "title", attr=("id", PUBLISHER_TITLE_ID)).alias("name"),
+        node_text(F.get(items, 0)).alias("books"),
+        F.regexp_replace(strip_tags(year_text), r"\s+", "").alias("years"),
+        first_node_text(h, "a", PUBLISHER_LINK_CLASS).alias("page"),
+        first_node_text(h, "span", PUBLISHER_FAVORITE_CLASS).alias("favorite"),
+    )

@@ -409,6 +409,30 @@ def silver_books_from_pages(spark, d):
     return silver.books(recs.checkpoint(eager=True))
 
 
+@query
+def author_pages_to_bronze(spark, d):
+    """Author pages rendered from `customer` -> bronze authors rows."""
+    return P.author_records(blocks.author_pages(spark, d))
+
+
+@query
+def publisher_pages_to_bronze(spark, d):
+    """Publisher pages rendered from `supplier` -> accepted bronze publishers
+    rows (K19); pages without a book count are rejects (C15)."""
+    return P.publisher_records(blocks.publisher_pages(spark, d)).where(F.col("books").isNotNull())
+
+
+@query
+def silver_authors_from_pages(spark, d):
+    return silver.authors(P.author_records(blocks.author_pages(spark, d)))
+
+
+@query
+def silver_publishers_from_pages(spark, d):
+    recs = P.publisher_records(blocks.publisher_pages(spark, d)).where(F.col("books").isNotNull())
+    return silver.publishers(recs)
+
+
 # --- file sources and sinks (rows-only: a file round trip has no SQL twin) --------
 
 def _scratch(spark: SparkSession, name: str) -> str:

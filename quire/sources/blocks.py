@@ -68,16 +68,52 @@ SELECT p_partkey AS page_id,
 FROM part
 """
 
+# An author page: profile name and status, five counters by title attribute.
+AUTHOR_PAGE_SQL = """
+SELECT c_custkey AS page_id,
+  concat('https://books.example.org/author/', CAST(c_custkey AS STRING), '-', lower(replace(c_name, '#', '-'))) AS url,
+  concat('<html><body><div class="header-profile"><span class="header-profile-login">', c_name, '</span>', chr(10),
+    CASE WHEN c_custkey % 5 = 0 THEN '' ELSE concat('<span class="header-profile-status">', c_mktsegment, chr(10), '</span>') END,
+    '<div class="stats">',
+    CASE WHEN c_custkey % 7 = 0 THEN '' ELSE concat('<span title="Писатель понравился">', CAST(c_custkey % 100 AS STRING), '</span>') END,
+    '<span title="Отнеслись нейтрально">', CAST(c_nationkey AS STRING), '</span>',
+    CASE WHEN c_custkey % 3 = 0 THEN '' ELSE '<span title="Писатель не понравился">4</span>' END,
+    '<span title="Почитатели творчества"><b>', CAST(c_custkey % 10 AS STRING), '</b></span>',
+    CASE WHEN c_custkey % 2 = 0 THEN '' ELSE '<span title="Читателей">7</span>' END,
+    '</div></div></body></html>') AS html
+FROM customer
+"""
 
-def _register_spread_part(spark: SparkSession, sf_dir: str) -> None:
-    """Register `part` for rendering, spread over the session's cores.
+# A publisher page: title, list items with counts, founding-year paragraph,
+# site link and favourites count; every 11th page lacks the book count.
+PUBLISHER_PAGE_SQL = """
+SELECT s_suppkey AS page_id,
+  concat('https://books.example.org/publisher/', CAST(s_suppkey AS STRING), '-', lower(replace(s_name, '#', '-'))) AS url,
+  concat('<html><head><title id="title-head">Издательство «', s_name, '» &amp; Co</title></head><body><ul>',
+    '<li class="standard"><a href="/publisher/', CAST(s_suppkey AS STRING), '/authors">Авторы (', CAST(s_nationkey AS STRING), ')</a></li>',
+    CASE WHEN s_suppkey % 11 = 0 THEN '' ELSE concat('<li class="standard"><a href="/publisher/', CAST(s_suppkey AS STRING),
+      '/books">Книги (', CAST(s_nationkey + 1 AS STRING), ')</a></li>') END,
+    '</ul><p>О компании</p>',
+    CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE concat('<p><b>Год основания: </b>', chr(10), CAST(1900 + s_suppkey % 120 AS STRING), ' </p>') END,
+    CASE WHEN s_suppkey % 4 = 0 THEN '' ELSE concat('<a class="publisher-link" href="https://', lower(replace(s_name, '#', '')), '.example.org">', lower(replace(s_name, '#', '')), '.example.org</a>') END,
+    CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE concat('<span class="count-in-fav">(', CAST(s_suppkey AS STRING), ')</span>') END,
+    '</body></html>') AS html
+FROM supplier
+"""
+
+
+def _register_spread(spark: SparkSession, sf_dir: str, table: str, key: str) -> None:
+    """Register a driver table for rendering, spread over the session's cores.
 
     Rendering and regex extraction cost far more per row than the scan; a
     small table read as one split would run all of it in one task. A large
     scan already has more splits than cores and is left as it is (no shuffle
     of big inputs)."""
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    spread(part, "p_partkey").createOrReplaceTempView("part")
+    spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"), key).createOrReplaceTempView(table)
+
+
+def _register_spread_part(spark: SparkSession, sf_dir: str) -> None:
+    _register_spread(spark, sf_dir, "part", "p_partkey")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -100,3 +136,13 @@ def stat_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def book_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     _register_spread_part(spark, sf_dir)
     return spark.sql(BOOK_PAGE_SQL)
+
+
+def author_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _register_spread(spark, sf_dir, "customer", "c_custkey")
+    return spark.sql(AUTHOR_PAGE_SQL)
+
+
+def publisher_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _register_spread(spark, sf_dir, "supplier", "s_suppkey")
+    return spark.sql(PUBLISHER_PAGE_SQL)
