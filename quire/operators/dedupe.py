@@ -57,3 +57,22 @@ def append_new_keys(stored: DataFrame, staged: DataFrame, key, writer) -> DataFr
     added = new_rows(stored, staged.select(*stored.columns), key)
     writer(added)
     return added
+
+
+def merge_into_bucketed_table(staged: DataFrame, table: str, key: str, buckets: int | None = None) -> DataFrame:
+    """Insert-ignore `staged` into catalog table `table`, stored bucketed and
+    sorted by `key` (B6 at scale).
+
+    The staged side's de-dup shuffles it by `key` into
+    `spark.sql.shuffle.partitions` partitions; with the same bucket count the
+    stored side is read already partitioned, so the anti join moves no stored
+    rows. Returns the appended rows (computed once, from a checkpoint)."""
+    spark = staged.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = lambda df: (df.write.mode("append").format("parquet")
+                         .bucketBy(n, key).sortBy(key).saveAsTable(table))
+    if not spark.catalog.tableExists(table):
+        writer(staged.limit(0))
+    added = new_rows(spark.table(table), staged, key).checkpoint(eager=True)
+    writer(added)
+    return added

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.operators.dedupe import new_rows
+from quire.operators.dedupe import merge_into_bucketed_table, new_rows
 from quire.operators.validate import publish_if_valid, validate
 from quire.plans import gold, silver
 from quire.sources import io
@@ -48,6 +48,14 @@ def merge_bronze(spark: SparkSession, layout: Layout, entity: str, staged: DataF
     return added
 
 
+def merge_bronze_table(entity: str, staged: DataFrame, table_prefix: str = "bronze_",
+                       buckets: int | None = None) -> DataFrame:
+    """Catalog-table variant of `merge_bronze`: `<prefix><entity>_raw` is kept
+    bucketed by its key, so the daily anti join never shuffles the stored rows."""
+    return merge_into_bucketed_table(staged.select(*BRONZE[entity].names),
+                                     f"{table_prefix}{entity}_raw", KEYS[entity], buckets)
+
+
 def build_silver(spark: SparkSession, layout: Layout, corrected: bool = False) -> None:
     read = lambda e: spark.read.schema(BRONZE[e]).parquet(layout.bronze(e))
     io.overwrite(silver.books(read("books"), corrected), layout.silver("books"))

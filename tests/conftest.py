@@ -17,7 +17,9 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     os.environ.setdefault("QUIRE_SCRATCH", tempfile.mkdtemp(prefix="quire-tests-"))
-    s = build_session(master="local[4]", shuffle_partitions=4, extra={"spark.driver.memory": "4g"})
+    warehouse = tempfile.mkdtemp(prefix="warehouse-", dir=os.environ["QUIRE_SCRATCH"])
+    s = build_session(master="local[4]", shuffle_partitions=4,
+                      extra={"spark.driver.memory": "4g", "spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 

@@ -77,3 +77,18 @@ def test_dimension_broadcast_only_when_size_known(spark):
     assert "Broadcast" in with_b._jdf.queryExecution().optimizedPlan().toString() or \
         "broadcast" in with_b._jdf.queryExecution().analyzed().toString().lower()
     assert with_b.count() == 100
+
+
+def test_bucketed_merge_does_not_shuffle_stored_side(spark):
+    from quire.operators.dedupe import merge_into_bucketed_table
+    table = "bronze_items_raw_t"
+    staged = spark.range(0, 400).select((F.col("id") % 300).cast("string").alias("k"), F.col("id").alias("v"))
+    added = merge_into_bucketed_table(staged, table, "k", buckets=4)
+    assert added.count() == 300 and spark.table(table).count() == 300
+    more = spark.range(250, 350).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    assert merge_into_bucketed_table(more, table, "k", buckets=4).count() == 50
+    assert spark.table(table).count() == 350
+    probe = new_rows(spark.table(table), more, "k")
+    plan = probe._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # only the staged side's de-dup
+    spark.sql(f"DROP TABLE {table}")
