@@ -125,7 +125,7 @@ def books_once_ctes() -> str:
 MEDIAN = f"SELECT quantile_disc({dbl('pages')}, 0.5) AS med FROM bb"
 
 
-def silver_books_ctes() -> str:
+def silver_books_ctes(corrected: bool = False) -> str:
     y = int_len("editionyear")
     p_raw = s_null("pages")
     num = (f"num AS (SELECT *, {y} AS y_num, {int_len(p_raw)} AS p_num, {p_raw} AS p_raw, "
@@ -138,10 +138,10 @@ def silver_books_ctes() -> str:
              f"coalesce(p_auth, CAST({trunc_int('(SELECT med FROM medv)')} AS DOUBLE)) ELSE {dbl('p_raw')} END)")
     cleaned = f"""cleaned AS (SELECT {first_int('id')} AS id, booktitle, author, {first_int('authorid')} AS authorid,
       {strip_list(s_def('isbn', C.DEFAULT_ISBN))} AS isbn, {trunc_int(year)} AS editionyear,
-      {trunc_int(pages)} AS pages, {size('size')} AS size, {cover('covertype')} AS covertype,
+      {trunc_int(pages)} AS pages, {size('size', corrected)} AS size, {cover('covertype')} AS covertype,
       {language('language', 'booktitle')} AS language, {s_null('copiesissued')} AS copiesissued,
       {int_len(s_def('agerestrictions', C.DEFAULT_AGE))} AS agerestrictions, {genres('genres')} AS genres,
-      {translator('translatorname')} AS translatorname, {rating('rating')} AS rating,
+      {translator('translatorname', corrected)} AS translatorname, {rating('rating')} AS rating,
       {', '.join(f"{int_len(s_def(c, '0'))} AS {c}" for c in ('haveread', 'planned', 'reviews', 'quotes'))},
       {s_def('series', C.DEFAULT_SERIES)} AS series, {first_int('publisherid')} AS publisherid FROM num)"""
     return (f"medv AS ({MEDIAN}), {books_once_ctes()}, {num}, {cleaned}, "
@@ -486,6 +486,14 @@ def publisher_records_sql() -> str:
             f"{first_node_text('span', P.PUBLISHER_FAVORITE_CLASS)} AS favorite FROM ppg)")
 
 
+def add_corrected(o: dict[str, str]) -> None:
+    sbc = f"WITH bb AS ({BRONZE_SQL['books']}), {silver_books_ctes(corrected=True)}"
+    o["silver_books_corrected"] = f"{sbc} SELECT * FROM silver_books"
+    pairs = ("pairs AS (SELECT book_id, trim(genre) AS genre FROM (SELECT id AS book_id, "
+             "unnest(string_split(lower(genres), ', ')) AS genre FROM silver_books WHERE genres IS NOT NULL))")
+    o["genre_dictionary_corrected"] = f"{sbc}, {pairs}, {GENRES} SELECT genre, id FROM dict"
+
+
 def add_entity_pages(o: dict[str, str]) -> None:
     o["author_pages_to_bronze"] = f"WITH {author_records_sql()} SELECT * FROM arecs"
     o["publisher_pages_to_bronze"] = f"WITH {publisher_records_sql()} SELECT * FROM precs WHERE books IS NOT NULL"
@@ -497,3 +505,4 @@ def add_entity_pages(o: dict[str, str]) -> None:
 
 ORACLE_SQL = build()
 add_entity_pages(ORACLE_SQL)
+add_corrected(ORACLE_SQL)

@@ -41,9 +41,11 @@ class Layout:
 
 
 def merge_bronze(spark: SparkSession, layout: Layout, entity: str, staged: DataFrame) -> DataFrame:
-    """Insert-ignore a staged batch into bronze `<entity>_raw`."""
+    """Insert-ignore a staged batch into bronze `<entity>_raw` (B6). The new
+    rows are checkpointed first: computed once, and the returned frame does
+    not change when the table it was compared against grows."""
     stored = io.read_or_empty(spark, layout.bronze(entity), BRONZE[entity])
-    added = new_rows(stored, staged.select(*BRONZE[entity].names), KEYS[entity])
+    added = new_rows(stored, staged.select(*BRONZE[entity].names), KEYS[entity]).checkpoint(eager=True)
     io.append(added, layout.bronze(entity))
     return added
 

@@ -279,6 +279,20 @@ def silver_books(spark, d):
     return _silver_books(spark, d)
 
 
+@query
+def silver_books_corrected(spark, d):
+    """silver.books with the size and translator rules as intended (§7.1 #4)."""
+    return silver.books(_bb(spark, d), corrected=True)
+
+
+@query
+def genre_dictionary_corrected(spark, d):
+    """Genre dictionary with genres trimmed after the split (§7.1 #7)."""
+    sb = silver.books(_bb(spark, d), corrected=True)
+    genres, _ = gold.genre_dictionary(gold.genre_pairs(sb, corrected=True))
+    return genres
+
+
 @query
 def silver_authors(spark, d):
     return silver.authors(_ba(spark, d))
