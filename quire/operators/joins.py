@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 # Largest dimension we broadcast on purpose; beyond it the join shuffles and
 # AQE may still switch to a broadcast from measured sizes, or split skew.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   dim_rows: int | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                   dim_rows: int | None = None, dim_bytes: int | None = None,
+                   max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Join a fact frame with a dimension. The dimension is broadcast only when
-    its row count is known (e.g. returned by `dense_ids`) and within
-    `max_rows`; otherwise a shuffle join is planned."""
-    if dim_rows is not None and dim_rows <= max_rows:
+    its exact row count and payload size are known (e.g. measured by
+    `dense_ids`) and both are within bounds; otherwise a shuffle join is
+    planned (AQE may still broadcast from measured sizes or split skew)."""
+    if dim_rows is not None and dim_bytes is not None and dim_rows <= max_rows and dim_bytes <= max_bytes:
         dim = F.broadcast(dim)
     return fact.join(dim, on, how)

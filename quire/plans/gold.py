@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.operators.dedupe import insert_ignore
-from quire.operators.ids import dense_ids
+from quire.operators.ids import Numbered, dense_ids
 from quire.operators.joins import join_dimension
 from quire.sources.schemas import GOLD_BOOKS_DROPPED, KEYS
 
@@ -34,17 +34,20 @@ def genre_pairs(silver_books: DataFrame, corrected: bool = False) -> DataFrame:
     return pairs
 
 
-def genre_dictionary(pairs: DataFrame) -> tuple[DataFrame, int]:
+def genre_dictionary(pairs: DataFrame) -> Numbered:
     """gold.genres(genre, id): distinct genres numbered densely in genre order
-    (J28, G3). Returns the frame (checkpointed, so ids are fixed) and its size."""
+    (J28, G3). Returns the frame (checkpointed, so ids are fixed) with its row
+    count and payload bytes."""
     return dense_ids(pairs.select("genre").distinct(), ["genre"], "id")
 
 
-def book_genre(pairs: DataFrame, genres: DataFrame, genre_count: int | None = None) -> DataFrame:
+def book_genre(pairs: DataFrame, genres: Numbered) -> DataFrame:
     """gold.book_genre(genre_id, book_id): distinct pairs with a known book id,
-    joined to the dictionary (D4), sorted by book (G1)."""
+    joined to the dictionary (D4; broadcast only within the measured size
+    bounds), sorted by book (G1)."""
     known = pairs.where(F.col("book_id").isNotNull()).distinct()
-    bridged = join_dimension(known, genres, "genre", "inner", dim_rows=genre_count)
+    bridged = join_dimension(known, genres.frame, "genre", "inner",
+                             dim_rows=genres.rows, dim_bytes=genres.payload_bytes)
     return bridged.select(F.col("id").alias("genre_id"), "book_id") \
         .orderBy("book_id", "genre_id")
 
@@ -74,5 +77,5 @@ class GoldTables:
 
 def build(silver_books: DataFrame, corrected: bool = False) -> GoldTables:
     pairs = genre_pairs(silver_books, corrected)
-    genres, n = genre_dictionary(pairs)
-    return GoldTables(books(silver_books), genres, book_genre(pairs, genres, n), n)
+    genres = genre_dictionary(pairs)
+    return GoldTables(books(silver_books), genres.frame, book_genre(pairs, genres), genres.rows)

@@ -260,8 +260,7 @@ def genre_inverted_index(spark, d):
 
 @query
 def genre_dictionary(spark, d):
-    genres, _ = gold.genre_dictionary(gold.genre_pairs(_silver_books(spark, d)))
-    return genres
+    return gold.genre_dictionary(gold.genre_pairs(_silver_books(spark, d))).frame
 
 
 @query
@@ -289,8 +288,7 @@ def silver_books_corrected(spark, d):
 def genre_dictionary_corrected(spark, d):
     """Genre dictionary with genres trimmed after the split (§7.1 #7)."""
     sb = silver.books(_bb(spark, d), corrected=True)
-    genres, _ = gold.genre_dictionary(gold.genre_pairs(sb, corrected=True))
-    return genres
+    return gold.genre_dictionary(gold.genre_pairs(sb, corrected=True)).frame
 
 
 @query

@@ -15,6 +15,11 @@ from pyspark.sql import types as T
 from quire.sources.schemas import BRONZE
 
 CSV_NULL_MARKER = "\u0000"
+# Reader options of staged CSV (batch and stream). Unquoted empty fields come
+# back as `nullValue`, quoted "" as ''; a marker that never occurs in text
+# keeps the two apart.
+STAGED_CSV_READ = {"header": "false", "multiLine": "true", "quote": '"', "escape": '"',
+                   "encoding": "UTF-8", "nullValue": CSV_NULL_MARKER}
 
 
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,
@@ -54,11 +59,7 @@ def read_staged_csv(spark: SparkSession, path: str, entity: str) -> DataFrame:
     """Headerless staged CSV with the all-string bronze schema (A3). A BOM is
     dropped, quoted fields may hold newlines and doubled quotes; an empty
     unquoted field is NULL, an empty quoted field is ''."""
-    # Unquoted empty fields come back as `nullValue`; quoted "" as ''. A
-    # marker that never occurs in text keeps the two apart.
-    return (spark.read.schema(BRONZE[entity]).option("header", False).option("multiLine", True)
-            .option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
-            .option("nullValue", CSV_NULL_MARKER).csv(path))
+    return spark.read.schema(BRONZE[entity]).options(**STAGED_CSV_READ).csv(path)
 
 
 def write_staged_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -34,3 +34,16 @@ def test_streaming_merge_is_insert_ignore(spark, scratch):
     start_bronze_ingest(spark, f"{landing}/*", raw, "publishers", ck).awaitTermination()
     got = {r.publisherid: r.name for r in spark.read.parquet(raw).collect()}
     assert got == {"1-pub": "a", "2-pub": "a"}
+
+
+def test_streaming_merge_into_bucketed_table(spark, scratch):
+    landing, ck, table = f"{scratch}/landing", f"{scratch}/ck", "bronze_publishers_raw_s"
+    row = {"publisherid": "1-pub", "name": "a", "books": "1", "years": "1990", "page": "p", "favorite": "1"}
+    io.write_staged_csv(bronze_frame(spark, "publishers", [row, dict(row, publisherid="2-pub")]), f"{landing}/d1")
+    start_bronze_ingest(spark, f"{landing}/*", None, "publishers", ck, table=table).awaitTermination()
+    io.write_staged_csv(bronze_frame(spark, "publishers", [dict(row, name="b"), dict(row, publisherid="3-pub")]),
+                        f"{landing}/d2")
+    start_bronze_ingest(spark, f"{landing}/*", None, "publishers", ck, table=table).awaitTermination()
+    got = {r.publisherid: r.name for r in spark.table(table).collect()}
+    assert got == {"1-pub": "a", "2-pub": "a", "3-pub": "a"}
+    spark.sql(f"DROP TABLE {table}")

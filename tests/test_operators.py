@@ -63,9 +63,9 @@ def test_global_value_is_a_scalar_subquery(spark):
 
 def test_dense_ids_stable_across_partitioning(spark):
     words = spark.createDataFrame([(w,) for w in "pear apple fig kiwi lime plum date".split()], "w string")
-    a, n = dense_ids(words.repartition(1), ["w"], "id")
-    b, m = dense_ids(words.repartition(5), ["w"], "id")
-    assert n == m == 7
+    a, n, size = dense_ids(words.repartition(1), ["w"], "id")
+    b, m, _ = dense_ids(words.repartition(5), ["w"], "id")
+    assert n == m == 7 and size == len("pearapplefigkiwilimeplumdate") + 8 * 7
     assert rows(a, "w") == rows(b, "w")
     assert [r.id for r in a.orderBy("w").collect()] == list(range(7))
 
@@ -73,7 +73,9 @@ def test_dense_ids_stable_across_partitioning(spark):
 def test_dimension_broadcast_only_when_size_known(spark):
     fact = spark.range(100).select((F.col("id") % 3).alias("k"))
     dim = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "k long, name string")
-    with_b = join_dimension(fact, dim, "k", dim_rows=3)
+    plain = join_dimension(fact, dim, "k", dim_rows=3)  # size unknown: no hint
+    assert "broadcast" not in plain._jdf.queryExecution().analyzed().toString().lower()
+    with_b = join_dimension(fact, dim, "k", dim_rows=3, dim_bytes=3 * 17)
     assert "Broadcast" in with_b._jdf.queryExecution().optimizedPlan().toString() or \
         "broadcast" in with_b._jdf.queryExecution().analyzed().toString().lower()
     assert with_b.count() == 100
