@@ -13,9 +13,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quire.operators.dedupe import merge_into_bucketed_table, new_rows
-from quire.operators.validate import publish_if_valid, validate
+from quire.operators.validate import ValidationFailed, validate
 from quire.plans import gold, silver
 from quire.sources import io
 from quire.sources.schemas import BRONZE, GOLD, KEYS
@@ -66,27 +67,38 @@ def build_silver(spark: SparkSession, layout: Layout, corrected: bool = False) -
 
 
 def publish_gold(spark: SparkSession, layout: Layout, corrected: bool = False) -> DataFrame:
-    """Validate each candidate gold table, publish it only if its suite
-    passes (L6, L7), then build the genre dictionary and bridge."""
+    """Validate all three candidate gold tables, then publish all of them or
+    none (L6, L7): books are overwritten, authors / publishers get their new
+    keys (insert-ignore, B7), and the genre dictionary and bridge are rebuilt.
+    The result rows are appended to the validation table either way."""
     sb = spark.read.parquet(layout.silver("books"))
-    results_path = layout.results()
-    keep = lambda df: io.append(df, results_path)
-
-    candidate_books = gold.books(sb)
-    publish_if_valid(candidate_books, "gold_books", lambda df: io.overwrite(df, layout.gold("books")), keep)
-
-    for entity, suite in (("authors", "gold_authors"), ("publishers", "gold_publishers")):
+    candidates = {"gold_books": gold.books(sb)}
+    added = {}
+    for entity in ("authors", "publishers"):
         existing = io.read_or_empty(spark, layout.gold(entity), GOLD[entity])
         staged = spark.read.parquet(layout.silver(entity))
-        added = new_rows(existing, staged.select(*existing.columns), KEYS[entity])
-        # the merged table is what gets published; validate the union
-        merged = existing.unionByName(added)
-        publish_if_valid(merged, suite, lambda df, e=entity, a=added: io.append(a, layout.gold(e)), keep)
-
+        # computed once: validated as part of the merged table, then appended
+        added[entity] = new_rows(existing, staged.select(*existing.columns), KEYS[entity]).checkpoint(eager=True)
+        candidates[f"gold_{entity}"] = existing.unionByName(added[entity])
+
+    results = None
+    for suite, df in candidates.items():
+        r = validate(df, suite)
+        results = r if results is None else results.unionByName(r)
+    results = results.checkpoint(eager=True)  # one evaluation for the table and the verdict
+    io.append(results, layout.results())
+    failed = results.where(~F.coalesce(F.col("success"), F.lit(False))) \
+        .select("suite", "expectation", "column_name").collect()  # at most 41 rows
+    if failed:
+        raise ValidationFailed("; ".join(f"{r[0]}: {r[1]}({r[2]})" for r in failed))
+
+    io.overwrite(candidates["gold_books"], layout.gold("books"))
+    for entity in ("authors", "publishers"):
+        io.append(added[entity], layout.gold(entity))
     tables = gold.build(sb, corrected)
     io.overwrite(tables.genres, layout.gold("genres"))
     io.overwrite(tables.book_genre, layout.gold("book_genre"))
-    return spark.read.parquet(results_path)
+    return results
 
 
 def run(spark: SparkSession, staged: dict[str, DataFrame], root: str, corrected: bool = False) -> DataFrame:

@@ -171,3 +171,18 @@ def test_pipeline_publishes_clean_batch(spark, scratch):
     assert spark.read.parquet(layout.gold("book_genre")).count() == 10
     pipeline.run(spark, {"books": b, "authors": a, "publishers": p}, scratch)
     assert spark.read.parquet(layout.gold("authors")).count() == 1
+
+
+def test_pipeline_is_all_or_nothing(spark, scratch):
+    b = bronze_frame(spark, "books", [book(id="1", covertype="Мягкая", rating="4,5", agerestrictions="12",
+                                           haveread="1", planned="2", reviews="3", quotes="4")])
+    a = bronze_frame(spark, "authors", [{"authorid": "7", "name": "n", "originalname": "o", "liked": "-5",
+                                         "neutral": "1", "disliked": "1", "favorite": "1", "reading": "1"}])
+    p = bronze_frame(spark, "publishers", [{"publisherid": "5-pub", "name": "x", "books": "Книги (3)",
+                                            "years": "1999", "page": "p", "favorite": "(2)"}])
+    with pytest.raises(V.ValidationFailed, match="gold_authors"):
+        pipeline.run(spark, {"books": b, "authors": a, "publishers": p}, scratch)
+    layout = pipeline.Layout(scratch)
+    import os
+    assert not os.path.exists(layout.gold("books"))  # books passed but were not published alone
+    assert spark.read.parquet(layout.results()).where("NOT success").count() == 1
