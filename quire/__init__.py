@@ -1 +1 @@
-"""Spark-native bronze/silver/gold catalogue pipeline."""
+"""Spark-native bronze/silver/gold catalogue library."""

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from quire.operators.validate import ValidationFailed
 from quire.plans import pages as P
-from quire.plans import pipeline
+from quire.plans import daily
 from quire.session import build_session
 from quire.sources import blocks
 from quire.sources.bronze_views import bronze
@@ -25,7 +25,7 @@ from quire.sources.bronze_views import bronze
 
 def staged_batches(spark, sf_dir: str, from_pages: bool) -> dict:
     if not from_pages:
-        return {e: bronze(spark, sf_dir, e) for e in pipeline.ENTITIES}
+        return {e: bronze(spark, sf_dir, e) for e in daily.ENTITIES}
     return {
         "books": P.book_records(blocks.book_pages(spark, sf_dir)).where(F.col("id").isNotNull()),
         "authors": P.author_records(blocks.author_pages(spark, sf_dir)).where(F.col("authorid").isNotNull()),
@@ -43,7 +43,7 @@ def main(argv=None) -> int:
     args = ap.parse_args(argv)
     spark = build_session(master=args.master)
     try:
-        results = pipeline.run(spark, staged_batches(spark, args.sf_dir, args.from_pages), args.out, args.corrected)
+        results = daily.run(spark, staged_batches(spark, args.sf_dir, args.from_pages), args.out, args.corrected)
         results.groupBy("suite").agg(F.count_if(~F.col("success")).alias("failed")).show()
         return 0
     except ValidationFailed as e:

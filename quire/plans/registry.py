@@ -416,7 +416,7 @@ def silver_books_from_pages(spark, d):
     """Pages -> bronze records -> silver books, end to end."""
     recs = P.book_records(blocks.book_pages(spark, d)).where(F.col("id").isNotNull())
     # silver reads bronze three times (median, rows, group means): cut the
-    # lineage so the extraction runs once, as the pipeline's bronze table does
+    # lineage so the extraction runs once, as the daily job's bronze table does
     ensure_checkpoint_dir(spark)
     return silver.books(recs.checkpoint(eager=True))
 

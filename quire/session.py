@@ -1,4 +1,4 @@
-"""Spark session settings shared by tests, bench and the pipeline.
+"""Spark session settings shared by tests, bench and the daily job.
 
 Nothing here is cluster specific: on a cluster the submitter's own
 configuration wins, and `ensure_checkpoint_dir` only fills in a folder when

@@ -1,4 +1,4 @@
-"""Expectation suites and gate; page extraction; file round trips; pipeline."""
+"""Expectation suites and gate; page extraction; file round trips; daily job."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL, book, bronze_frame
 from quire.operators import validate as V
 from quire.plans import pages as P
-from quire.plans import pipeline, silver
+from quire.plans import daily, silver
 from quire.sources import io
 from quire.sources.bronze_views import bronze
 
@@ -134,28 +134,28 @@ def test_text_round_trip(spark, scratch):
 
 
 def test_jdbc_options_partitioned():
-    o = io.jdbc_options("jdbc:postgresql://db/x", "bronze.books_raw", partition_column="id",
+    o = io.jdbc_options("jdbc:exampledb://db/x", "bronze.books_raw", partition_column="id",
                         lower_bound=0, upper_bound=1000, num_partitions=8)
     assert o["numPartitions"] == "8" and o["partitionColumn"] == "id" and o["dbtable"] == "bronze.books_raw"
     with pytest.raises(ValueError):
         io.jdbc_options("u", "t", partition_column="id")
 
 
-def test_pipeline_merges_idempotently_and_gates(spark, scratch):
-    staged = {e: bronze(spark, SF_SMALL, e) for e in pipeline.ENTITIES}
-    layout = pipeline.Layout(scratch)
-    for e in pipeline.ENTITIES:
-        pipeline.merge_bronze(spark, layout, e, staged[e])
+def test_daily_job_merges_idempotently_and_gates(spark, scratch):
+    staged = {e: bronze(spark, SF_SMALL, e) for e in daily.ENTITIES}
+    layout = daily.Layout(scratch)
+    for e in daily.ENTITIES:
+        daily.merge_bronze(spark, layout, e, staged[e])
     n = spark.read.parquet(layout.bronze("books")).count()
-    added = pipeline.merge_bronze(spark, layout, "books", staged["books"])
+    added = daily.merge_bronze(spark, layout, "books", staged["books"])
     assert added.count() == 0 and spark.read.parquet(layout.bronze("books")).count() == n
-    pipeline.build_silver(spark, layout)
+    daily.build_silver(spark, layout)
     # driver-shaped books have Latin titles with language 'null' -> not-null check fails
     with pytest.raises(V.ValidationFailed):
-        pipeline.publish_gold(spark, layout)
+        daily.publish_gold(spark, layout)
 
 
-def test_pipeline_publishes_clean_batch(spark, scratch):
+def test_daily_job_publishes_clean_batch(spark, scratch):
     b = bronze_frame(spark, "books", [book(id=str(i), covertype="Мягкая", rating="4,5", agerestrictions="12",
                                            haveread="1", planned="2", reviews="3", quotes="4",
                                            genres="['Роман', 'Проза']") for i in range(1, 6)])
@@ -163,17 +163,17 @@ def test_pipeline_publishes_clean_batch(spark, scratch):
                                          "neutral": "1", "disliked": "1", "favorite": "1", "reading": "1"}])
     p = bronze_frame(spark, "publishers", [{"publisherid": "5-pub", "name": "x", "books": "Книги (3)",
                                             "years": "1999", "page": "p", "favorite": "(2)"}])
-    results = pipeline.run(spark, {"books": b, "authors": a, "publishers": p}, scratch)
+    results = daily.run(spark, {"books": b, "authors": a, "publishers": p}, scratch)
     assert results.where("NOT success").count() == 0
-    layout = pipeline.Layout(scratch)
+    layout = daily.Layout(scratch)
     assert spark.read.parquet(layout.gold("books")).count() == 5
     assert spark.read.parquet(layout.gold("genres")).count() == 2
     assert spark.read.parquet(layout.gold("book_genre")).count() == 10
-    pipeline.run(spark, {"books": b, "authors": a, "publishers": p}, scratch)
+    daily.run(spark, {"books": b, "authors": a, "publishers": p}, scratch)
     assert spark.read.parquet(layout.gold("authors")).count() == 1
 
 
-def test_pipeline_is_all_or_nothing(spark, scratch):
+def test_daily_job_is_all_or_nothing(spark, scratch):
     b = bronze_frame(spark, "books", [book(id="1", covertype="Мягкая", rating="4,5", agerestrictions="12",
                                            haveread="1", planned="2", reviews="3", quotes="4")])
     a = bronze_frame(spark, "authors", [{"authorid": "7", "name": "n", "originalname": "o", "liked": "-5",
@@ -181,8 +181,8 @@ def test_pipeline_is_all_or_nothing(spark, scratch):
     p = bronze_frame(spark, "publishers", [{"publisherid": "5-pub", "name": "x", "books": "Книги (3)",
                                             "years": "1999", "page": "p", "favorite": "(2)"}])
     with pytest.raises(V.ValidationFailed, match="gold_authors"):
-        pipeline.run(spark, {"books": b, "authors": a, "publishers": p}, scratch)
-    layout = pipeline.Layout(scratch)
+        daily.run(spark, {"books": b, "authors": a, "publishers": p}, scratch)
+    layout = daily.Layout(scratch)
     import os
     assert not os.path.exists(layout.gold("books"))  # books passed but were not published alone
     assert spark.read.parquet(layout.results()).where("NOT success").count() == 1
