@@ -411,6 +411,8 @@ def build() -> dict[str, str]:
                      f"coalesce({rx(nth('edition_block', 1, None), r'^\s+|\s+$', '')}, 'null') AS series FROM b")
     recs = book_records_sql()
     o["book_pages_to_bronze"] = f"WITH {recs} SELECT * FROM recs"
+    o["book_pages_to_bronze_parsed"] = o["book_pages_to_bronze"]
+    o["html_class_text"] = f"SELECT page_id, {element_text('html', 'div', cls='ad')} AS ad_text FROM pages"
     o["silver_books_from_pages"] = (f"WITH {recs}, bb AS (SELECT * FROM recs WHERE id IS NOT NULL), "
                                     f"{silver_books_ctes()} SELECT * FROM silver_books")
     return o

@@ -229,25 +229,31 @@ AUTHOR_URL_PREFIX = r"/author/"
 PUBLISHER_URL_PREFIX = r"/publisher/"
 
 
-def book_records(pages: DataFrame) -> DataFrame:
+def book_records(pages: DataFrame, parser: str = "regex") -> DataFrame:
     """One all-string bronze books row per book page (K17). Pages missing a
     required block produce a NULL id and are left to the caller's reject
     filter (C15).
 
     Two projections: the HTML is cut into its blocks once, then every field
-    is read from its (short) block, so no block regex runs once per field."""
+    is read from its (short) block, so no block regex runs once per field.
+    `parser="html"` cuts the blocks with the stdlib HTML parser instead
+    (pandas UDF), for pages whose blocks nest elements of their own tag."""
     h = F.col("html")
+    if parser == "html":
+        from quire.functions.html_parse import element_text_parsed as text_of
+    else:
+        text_of = element_text
     cut = pages.select(
         F.nullif(C.id_from_url("url", BOOK_URL_PREFIX), F.lit("")).alias("id"),
-        element_text(h, "h1", "bc__book-title").alias("booktitle"),
-        element_text(h, "h2", "bc-author").alias("author"),
+        text_of(h, "h1", "bc__book-title").alias("booktitle"),
+        text_of(h, "h2", "bc-author").alias("author"),
         F.regexp_extract(h, r'<a\s[^>]*class="[^"]*\bbc-author__link\b[^"]*"[^>]*href="([^"]*)"', 1).alias("a_href"),
         F.regexp_extract(h, r'<a\s[^>]*class="[^"]*\bbc-edition__link\b[^"]*"[^>]*href="([^"]*publisher[^"]*)"', 1)
         .alias("p_href"),
-        element_text(h, "div", "bc-info").alias("info"),
-        element_text(h, "div", "bc-rating").alias("rating_block"),
-        element_text(h, "div", "bc-stat", space_to="").alias("stat_block"),
-        element_text(h, "table", "bc-edition").alias("edition_block"),
+        text_of(h, "div", "bc-info").alias("info"),
+        text_of(h, "div", "bc-rating").alias("rating_block"),
+        text_of(h, "div", "bc-stat", space_to="").alias("stat_block"),
+        text_of(h, "table", "bc-edition").alias("edition_block"),
     )
     fields = info_fields("info")
     return cut.select(

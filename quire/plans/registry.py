@@ -411,6 +411,19 @@ def book_pages_to_bronze(spark, d):
     return P.book_records(blocks.book_pages(spark, d))
 
 
+@query
+def book_pages_to_bronze_parsed(spark, d):
+    """Same records through the HTML-parser block cutter (nested-markup safe)."""
+    return P.book_records(blocks.book_pages(spark, d), parser="html")
+
+
+@query
+def html_class_text(spark, d):
+    """Text of the first element selected by class (K2 with a class selector)."""
+    pg = _table(spark, d, "pages")
+    return pg.select("page_id", P.element_text("html", "div", "ad").alias("ad_text"))
+
+
 @query
 def silver_books_from_pages(spark, d):
     """Pages -> bronze records -> silver books, end to end."""

@@ -94,3 +94,33 @@ def test_bucketed_merge_does_not_shuffle_stored_side(spark):
     plan = probe._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1  # only the staged side's de-dup
     spark.sql(f"DROP TABLE {table}")
+
+
+def test_hot_key_join_back_is_split_by_aqe(spark):
+    """A third of the rows share one author: with broadcasts off, the group-mean
+    join-back is a sort-merge join whose hot partition AQE splits."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(300000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("null")).otherwise((F.col("id") % 5000).cast("string")).alias("a"),
+            (F.col("id") % 97).alias("v"), F.lit("x" * 50).alias("pad"))
+        out = attach_group_means(df, "a", {"m": F.col("v")})
+        hot = out.where("a = 'null'").agg(F.count(F.lit(1)), F.min("m"), F.max("m")).collect()[0]
+        assert hot[0] == 100000 and hot[1] == hot[2]
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

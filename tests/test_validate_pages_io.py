@@ -186,3 +186,17 @@ def test_daily_job_is_all_or_nothing(spark, scratch):
     import os
     assert not os.path.exists(layout.gold("books"))  # books passed but were not published alone
     assert spark.read.parquet(layout.results()).where("NOT success").count() == 1
+
+
+def test_parser_path_handles_nested_blocks(spark):
+    from quire.functions.html_parse import element_text_parsed, first_element_text
+    nested = BOOK_PAGE.replace('<div class="bc-info">', '<div class="bc-info"><div class="row">ISBN block</div>\n')
+    pages = spark.createDataFrame([(1, "https://site.org/book/85378-x", nested)], "page_id long, url string, html string")
+    regex_info = pages.select(P.element_text("html", "div", "bc-info")).collect()[0][0]
+    parsed_info = pages.select(element_text_parsed(F.col("html"), "div", "bc-info")).collect()[0][0]
+    assert regex_info == "ISBN block"                      # cut at the inner </div>
+    assert parsed_info.startswith("ISBN block\nISBN: 978") and parsed_info.endswith("Иванов, Петров")
+    r = P.book_records(pages, parser="html").collect()[0].asDict()
+    assert r["editionyear"] == "2015" and r["translatorname"] == "['Иванов', ' Петров']"
+    assert first_element_text("<p>a<br>b &amp; c</p>", "p") == "ab & c"
+    assert first_element_text("<div>x</div>", "span") is None
