@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of dictionaries / extracted records go away with their RDDs
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

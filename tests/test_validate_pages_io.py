@@ -200,3 +200,16 @@ def test_parser_path_handles_nested_blocks(spark):
     assert r["editionyear"] == "2015" and r["translatorname"] == "['Иванов', ' Петров']"
     assert first_element_text("<p>a<br>b &amp; c</p>", "p") == "ab & c"
     assert first_element_text("<div>x</div>", "span") is None
+
+
+def test_overwrite_keeps_target_schema(spark):
+    spark.sql("CREATE TABLE gold_books_t (id INT, rating DOUBLE, series STRING) USING parquet")
+    try:
+        df = spark.createDataFrame([("x", "7", 4)], "series string, id string, rating int")
+        io.overwrite_keep_schema(spark, df, "gold_books_t")
+        io.overwrite_keep_schema(spark, df, "gold_books_t")
+        rows = spark.table("gold_books_t").collect()
+        assert [tuple(r) for r in rows] == [(7, 4.0, "x")]
+        assert [f.dataType.simpleString() for f in spark.table("gold_books_t").schema] == ["int", "double", "string"]
+    finally:
+        spark.sql("DROP TABLE gold_books_t")
