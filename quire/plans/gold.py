@@ -59,7 +59,7 @@ def genre_postings(pairs: DataFrame, block: int = POSTING_BLOCK) -> DataFrame:
     known = pairs.where(F.col("book_id").isNotNull())
     grouped = known.groupBy("genre", F.floor(F.col("book_id") / block).alias("block")) \
         .agg(F.array_sort(F.collect_set("book_id")).alias("book_ids"))
-    return grouped.withColumn("n_books", F.size("book_ids"))
+    return grouped.withColumn("n_books", F.size("book_ids").cast("long"))
 
 
 def merge_entity(gold_existing: DataFrame, silver: DataFrame, entity: str) -> DataFrame:

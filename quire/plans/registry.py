@@ -111,7 +111,7 @@ def list_string_clean(spark, d):
     items = C.list_items("genres")
     return b.select("id", C.strip_list_syntax("isbn").alias("isbn"),
                     C.genres_clean("genres").alias("genres"),
-                    F.array_join(items, "|").alias("genre_items"), F.size(items).alias("n_items"))
+                    F.array_join(items, "|").alias("genre_items"), F.size(items).cast("long").alias("n_items"))
 
 
 @query
@@ -394,7 +394,7 @@ def regex_all_matches(spark, d):
     info = blocks.info_blocks(spark, d)
     line = F.regexp_extract("info", P.ISBN_LINE, 0)
     found = C.all_matches(line, P.ISBN_NUMBER)
-    return info.select("book_key", F.array_join(found, ",").alias("isbns"), F.size(found).alias("n_isbn"))
+    return info.select("book_key", F.array_join(found, ",").alias("isbns"), F.size(found).cast("long").alias("n_isbn"))
 
 
 @query
