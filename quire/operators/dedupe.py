@@ -50,15 +50,6 @@ def insert_ignore(stored: DataFrame, staged: DataFrame, key) -> DataFrame:
     return stored.unionByName(added)
 
 
-def append_new_keys(stored: DataFrame, staged: DataFrame, key, writer) -> DataFrame:
-    """Compute the new rows and hand them to `writer(df)` (an append sink).
-
-    Re-running with the same staged batch appends nothing (idempotent)."""
-    added = new_rows(stored, staged.select(*stored.columns), key)
-    writer(added)
-    return added
-
-
 def merge_into_bucketed_table(staged: DataFrame, table: str, key: str, buckets: int | None = None) -> DataFrame:
     """Insert-ignore `staged` into catalog table `table`, stored bucketed and
     sorted by `key` (B6 at scale).

@@ -109,7 +109,3 @@ def run(spark: SparkSession, staged: dict[str, DataFrame], root: str, corrected:
     build_silver(spark, layout, corrected)
     return publish_gold(spark, layout, corrected)
 
-
-def report(df: DataFrame, suite: str) -> DataFrame:
-    """Validation rows of `suite` for a frame, without publishing."""
-    return validate(df, suite)

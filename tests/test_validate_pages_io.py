@@ -213,3 +213,10 @@ def test_overwrite_keeps_target_schema(spark):
         assert [f.dataType.simpleString() for f in spark.table("gold_books_t").schema] == ["int", "double", "string"]
     finally:
         spark.sql("DROP TABLE gold_books_t")
+
+
+def test_read_table_by_path_and_name(spark):
+    part = io.read_table(spark, f"{SF_SMALL}/part.parquet")
+    part.createOrReplaceTempView("part_t")
+    assert io.read_table(spark, "part_t", fmt="table").count() == part.count() > 0
+    assert io.read_table(spark, f"{SF_SMALL}/part.parquet", options={"mergeSchema": "false"}).columns == part.columns
