@@ -412,6 +412,15 @@ def build() -> dict[str, str]:
     recs = book_records_sql()
     o["book_pages_to_bronze"] = f"WITH {recs} SELECT * FROM recs"
     o["book_pages_to_bronze_parsed"] = o["book_pages_to_bronze"]
+    o["listing_book_frontier"] = (
+        f"WITH part_pages AS ({blocks.LISTING_PAGE_SQL.replace("array_join(array_sort(collect_list(item)), '')", "array_to_string(list_sort(list(item)), '')")}), "
+        "tags AS (SELECT url, unnest(regexp_extract_all(html, '<a\\s[^>]*>', 0)) AS tag FROM part_pages), "
+        "hrefs AS (SELECT url, regexp_extract(tag, 'href=\"([^\"]*)\"', 1) AS href FROM tags "
+        "WHERE regexp_matches(tag, 'class=\"[^\"]*\\bbook-item__link\\b')), "
+        "lk AS (SELECT DISTINCT CASE WHEN regexp_matches(href, '^[a-z]+://') THEN href "
+        "WHEN starts_with(href, '/') THEN concat(regexp_extract(url, '^[a-z]+://[^/]+', 0), href) ELSE href END AS link "
+        "FROM hrefs WHERE href <> '') "
+        "SELECT link AS url, regexp_extract(link, '/book/([^-/?#]*)', 1) AS book_id FROM lk")
     o["html_class_text"] = f"SELECT page_id, {element_text('html', 'div', cls='ad')} AS ad_text FROM pages"
     o["silver_books_from_pages"] = (f"WITH {recs}, bb AS (SELECT * FROM recs WHERE id IS NOT NULL), "
                                     f"{silver_books_ctes()} SELECT * FROM silver_books")
@@ -499,6 +508,7 @@ def add_corrected(o: dict[str, str]) -> None:
 def add_entity_pages(o: dict[str, str]) -> None:
     o["author_pages_to_bronze"] = f"WITH {author_records_sql()} SELECT * FROM arecs"
     o["publisher_pages_to_bronze"] = f"WITH {publisher_records_sql()} SELECT * FROM precs WHERE books IS NOT NULL"
+    o["publisher_page_rejects"] = f"WITH {publisher_records_sql()} SELECT * FROM precs WHERE books IS NULL"
     o["silver_authors_from_pages"] = (f"WITH {author_records_sql()}, ba AS (SELECT * FROM arecs), "
                                       f"{silver_authors_ctes()} SELECT * FROM silver_authors")
     o["silver_publishers_from_pages"] = (f"WITH {publisher_records_sql()}, bp AS (SELECT * FROM precs WHERE books IS NOT NULL), "

@@ -120,6 +120,26 @@ def links(pages: DataFrame, anchor_class: str | None = None) -> DataFrame:
     return out.select("page_id", "href", link.alias("link"))
 
 
+LISTING_ITEM_CLASS = "book-item__link"  # fixed value: class of book anchors on a listing page
+
+
+def book_frontier(listing: DataFrame) -> DataFrame:
+    """Crawl fan-out (K20, K1, H2, C16): book anchors of the listing pages ->
+    distinct absolute book URLs with their ids."""
+    found = links(listing, anchor_class=LISTING_ITEM_CLASS)
+    urls = found.select("link").distinct()
+    return urls.select(F.col("link").alias("url"), C.id_from_url("link", BOOK_URL_PREFIX).alias("book_id"))
+
+
+def split_rejects(records: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejects): records missing any required field go to the side
+    frame instead of failing the batch (C15)."""
+    complete = F.lit(True)
+    for c in required:
+        complete = complete & F.col(c).isNotNull()
+    return records.where(complete), records.where(~complete)
+
+
 def frontier(link_rows: DataFrame) -> DataFrame:
     """Distinct links across all pages (H1, H2)."""
     return link_rows.select("link").distinct()

@@ -377,6 +377,13 @@ def html_first_element_text(spark, d):
                      P.element_text("html", "h1").alias("h1"))
 
 
+@query
+def listing_book_frontier(spark, d):
+    """Listing pages rendered from `part` -> book anchors by class -> distinct
+    book URLs and ids (crawl fan-out)."""
+    return P.book_frontier(blocks.listing_pages(spark, d))
+
+
 @query
 def html_attribute(spark, d):
     pg = _table(spark, d, "pages")
@@ -452,7 +459,15 @@ def author_pages_to_bronze(spark, d):
 def publisher_pages_to_bronze(spark, d):
     """Publisher pages rendered from `supplier` -> accepted bronze publishers
     rows (K19); pages without a book count are rejects (C15)."""
-    return P.publisher_records(blocks.publisher_pages(spark, d)).where(F.col("books").isNotNull())
+    accepted, _ = P.split_rejects(P.publisher_records(blocks.publisher_pages(spark, d)), ["books"])
+    return accepted
+
+
+@query
+def publisher_page_rejects(spark, d):
+    """The side frame of rejected publisher pages."""
+    _, rejects = P.split_rejects(P.publisher_records(blocks.publisher_pages(spark, d)), ["books"])
+    return rejects
 
 
 @query

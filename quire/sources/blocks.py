@@ -101,6 +101,21 @@ SELECT s_suppkey AS page_id,
 FROM supplier
 """
 
+# A listing page of new books: 20 books per page (part keys k*20 .. k*20+19),
+# each a titled anchor of the listing's item class, plus navigation anchors.
+LISTING_PAGE_SIZE = 20
+LISTING_PAGE_SQL = f"""
+SELECT page_no AS page_id,
+  concat('https://books.example.org/books/novelties/listview/biglist/~', CAST(page_no + 1 AS STRING)) AS url,
+  concat('<html><body><nav><a class="nav-link" href="/books/novelties">new</a></nav><ul>',
+    array_join(array_sort(collect_list(item)), ''),
+    '</ul><a class="pagination" href="/books/novelties/listview/biglist/~', CAST(page_no + 2 AS STRING), '">next</a></body></html>') AS html
+FROM (SELECT CAST(floor(p_partkey / {LISTING_PAGE_SIZE}) AS BIGINT) AS page_no,
+        concat('<li><a class="book-item__link" href="/book/', CAST(p_partkey AS STRING), '-', replace(p_name, ' ', '-'), '">', p_name, '</a></li>') AS item
+      FROM part)
+GROUP BY page_no
+"""
+
 
 def _register_spread(spark: SparkSession, sf_dir: str, table: str, key: str) -> None:
     """Register a driver table for rendering, spread over the session's cores.
@@ -146,3 +161,8 @@ def author_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publisher_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     _register_spread(spark, sf_dir, "supplier", "s_suppkey")
     return spark.sql(PUBLISHER_PAGE_SQL)
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _register_spread_part(spark, sf_dir)
+    return spark.sql(LISTING_PAGE_SQL)

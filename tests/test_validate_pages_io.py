@@ -220,3 +220,22 @@ def test_read_table_by_path_and_name(spark):
     part.createOrReplaceTempView("part_t")
     assert io.read_table(spark, "part_t", fmt="table").count() == part.count() > 0
     assert io.read_table(spark, f"{SF_SMALL}/part.parquet", options={"mergeSchema": "false"}).columns == part.columns
+
+
+def test_staged_csv_with_file_bom(spark, scratch):
+    path = f"{scratch}/bom.csv"
+    with open(path, "w", encoding="utf-8-sig") as fh:  # the landing files start with a BOM
+        fh.write('12-slug,"Name, with comma","",,"line1\nline2",4,5,6\n')
+    r = io.read_staged_csv(spark, path, "authors").collect()[0].asDict()
+    assert r["authorid"] == "12-slug" and r["name"] == "Name, with comma"
+    assert r["originalname"] == "" and r["liked"] is None and r["neutral"] == "line1\nline2"
+
+
+def test_split_rejects_and_listing_frontier(spark):
+    recs = spark.createDataFrame([("1", "Книги (3)"), ("2", None)], "publisherid string, books string")
+    ok, bad = P.split_rejects(recs, ["books"])
+    assert [r.publisherid for r in ok.collect()] == ["1"] and [r.publisherid for r in bad.collect()] == ["2"]
+    listing = spark.createDataFrame([(0, "https://s.org/books/new", BOOK_PAGE + '<a class="x book-item__link" href="/book/7-a">a</a>')],
+                                    "page_id long, url string, html string")
+    got = sorted((r.url, r.book_id) for r in P.book_frontier(listing).collect())
+    assert got == [("https://s.org/book/1", "1"), ("https://s.org/book/7-a", "7")]
