@@ -340,8 +340,8 @@ def build() -> dict[str, str]:
                "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
     li = ("li AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, "
           "l_tax, l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate FROM lineitem)")
-    o["dedupe_by_key_query"] = f"WITH {li} {dedupe('li', ['l_orderkey', 'l_linenumber'], li_cols)}"
-    o["distinct_rows_query"] = "SELECT DISTINCT l_orderkey, l_returnflag, l_linestatus FROM lineitem"
+    o["dedupe_by_key"] = f"WITH {li} {dedupe('li', ['l_orderkey', 'l_linenumber'], li_cols)}"
+    o["distinct_rows"] = "SELECT DISTINCT l_orderkey, l_returnflag, l_linestatus FROM lineitem"
     stored = ("s0 AS (SELECT l_orderkey AS orderkey, l_linestatus AS status, l_extendedprice AS amount FROM lineitem), "
               f"stored AS ({dedupe('s0', 'orderkey', ['orderkey', 'status', 'amount'])}), "
               "staged0 AS (SELECT o_orderkey AS orderkey, o_orderstatus AS status, o_totalprice AS amount FROM orders WHERE o_orderkey IS NOT NULL), "

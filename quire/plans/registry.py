@@ -25,9 +25,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(fn: Query | None = None, *, name: str | None = None):
+    """Register a query under its function name, or under `name`."""
+    def register(f: Query) -> Query:
+        QUERIES[name or f.__name__] = f
+        return f
+    return register(fn) if fn is not None else register
 
 
 def _bb(spark, d):
@@ -201,12 +204,12 @@ def _lineitem_rows(spark, d):
                      F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("l_shipdate"))
 
 
-@query
+@query(name="dedupe_by_key")
 def dedupe_by_key_query(spark, d):
     return dedupe_by_key(_lineitem_rows(spark, d), ["l_orderkey", "l_linenumber"])
 
 
-@query
+@query(name="distinct_rows")
 def distinct_rows_query(spark, d):
     li = _table(spark, d, "lineitem")
     return distinct_rows(li.select("l_orderkey", "l_returnflag", "l_linestatus"))
