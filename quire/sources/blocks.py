@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quire.sources.bronze_views import sql_over
+
 
 INFO_EXPR = """concat(
   CASE WHEN p_partkey % 9 = 0 THEN '' ELSE concat('ISBN: 978-5-', CAST(1000000 + p_partkey AS STRING), '-X, 5-17-', CAST(100000 + p_size AS STRING), '-1', chr(10)) END,
@@ -45,9 +47,9 @@ STAT_EXPR = """CASE WHEN p_partkey % 3 = 0 THEN concat(CAST(p_size AS STRING), c
 
 EDITION_EXPR = """concat('Издание', chr(10), CASE WHEN p_partkey % 14 = 0 THEN '' ELSE concat(' ', p_type, ' ') END)"""
 
-INFO_SQL = f"SELECT p_partkey AS book_key, {INFO_EXPR} AS info FROM part"
+INFO_SQL = f"SELECT p_partkey AS book_key, {INFO_EXPR} AS info FROM part\n"
 STAT_SQL = (f"SELECT p_partkey AS book_key, {RATING_EXPR} AS rating_block, {STAT_EXPR} AS stat_block, "
-            f"{EDITION_EXPR} AS edition_block FROM part")
+            f"{EDITION_EXPR} AS edition_block FROM part\n")
 
 # A book page in the layout the extractor expects (title, author link,
 # information block, rating, stats, edition table with a publisher link).
@@ -112,23 +114,21 @@ SELECT page_no AS page_id,
     '</ul><a class="pagination" href="/books/novelties/listview/biglist/~', CAST(page_no + 2 AS STRING), '">next</a></body></html>') AS html
 FROM (SELECT CAST(floor(p_partkey / {LISTING_PAGE_SIZE}) AS BIGINT) AS page_no,
         concat('<li><a class="book-item__link" href="/book/', CAST(p_partkey AS STRING), '-', replace(p_name, ' ', '-'), '">', p_name, '</a></li>') AS item
-      FROM part)
+      FROM part
+      )
 GROUP BY page_no
 """
 
 
-def _register_spread(spark: SparkSession, sf_dir: str, table: str, key: str) -> None:
-    """Register a driver table for rendering, spread over the session's cores.
+def _render(spark: SparkSession, sf_dir: str, sql: str, table: str, key: str) -> DataFrame:
+    """Run a rendering SQL text over a driver table spread over the session's
+    cores.
 
     Rendering and regex extraction cost far more per row than the scan; a
     small table read as one split would run all of it in one task. A large
     scan already has more splits than cores and is left as it is (no shuffle
     of big inputs)."""
-    spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"), key).createOrReplaceTempView(table)
-
-
-def _register_spread_part(spark: SparkSession, sf_dir: str) -> None:
-    _register_spread(spark, sf_dir, "part", "p_partkey")
+    return sql_over(spark, sql, table, spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"), key))
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -139,30 +139,24 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def info_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _register_spread_part(spark, sf_dir)
-    return spark.sql(INFO_SQL)
+    return _render(spark, sf_dir, INFO_SQL, "part", "p_partkey")
 
 
 def stat_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _register_spread_part(spark, sf_dir)
-    return spark.sql(STAT_SQL)
+    return _render(spark, sf_dir, STAT_SQL, "part", "p_partkey")
 
 
 def book_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _register_spread_part(spark, sf_dir)
-    return spark.sql(BOOK_PAGE_SQL)
+    return _render(spark, sf_dir, BOOK_PAGE_SQL, "part", "p_partkey")
 
 
 def author_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _register_spread(spark, sf_dir, "customer", "c_custkey")
-    return spark.sql(AUTHOR_PAGE_SQL)
+    return _render(spark, sf_dir, AUTHOR_PAGE_SQL, "customer", "c_custkey")
 
 
 def publisher_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _register_spread(spark, sf_dir, "supplier", "s_suppkey")
-    return spark.sql(PUBLISHER_PAGE_SQL)
+    return _render(spark, sf_dir, PUBLISHER_PAGE_SQL, "supplier", "s_suppkey")
 
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _register_spread_part(spark, sf_dir)
-    return spark.sql(LISTING_PAGE_SQL)
+    return _render(spark, sf_dir, LISTING_PAGE_SQL, "part", "p_partkey")

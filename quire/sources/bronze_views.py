@@ -56,25 +56,17 @@ FROM supplier
 BRONZE_SQL = {"books": BRONZE_BOOKS_SQL, "authors": BRONZE_AUTHORS_SQL,
               "publishers": BRONZE_PUBLISHERS_SQL}
 SOURCE_TABLE = {"books": "part", "authors": "customer", "publishers": "supplier"}
-SOURCE_COLUMNS = {
-    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size"],
-    "customer": ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"],
-    "supplier": ["s_suppkey", "s_name", "s_nationkey"],
-}
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names) -> None:
-    """Register driver parquet tables as temp views (scan stays lazy and prunable)."""
-    for name in names:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+def sql_over(spark: SparkSession, sql: str, table: str, df: DataFrame) -> DataFrame:
+    """Run a shared SQL text whose only input is `FROM <table>`, binding the
+    DataFrame directly (no session-global temp view; the scan stays lazy and
+    prunable)."""
+    return spark.sql(sql.replace(f"FROM {table}\n", f"FROM {{{table}}}\n"), **{table: df})
 
 
 def bronze(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     """All-string bronze table `entity` (books | authors | publishers) from sf_dir."""
-    register_tables(spark, sf_dir, [SOURCE_TABLE[entity]])
-    return spark.sql(BRONZE_SQL[entity])
+    table = SOURCE_TABLE[entity]
+    return sql_over(spark, BRONZE_SQL[entity], table, spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
-
-def oracle_cte(entity: str, name: str | None = None) -> str:
-    """`name AS (...)` fragment for DuckDB oracle queries."""
-    return f"{name or 'b' + entity[0]} AS ({BRONZE_SQL[entity]})"
