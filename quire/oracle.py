@@ -226,8 +226,7 @@ def unescape(x):
 
 
 def element_text(html, tag, space_to=" ", cls=None):
-    attrs = "[^>]*" if cls is None else '[^>]*class="[^"]*\\b' + cls + '\\b[^"]*"[^>]*'
-    inner = f"regexp_extract({html}, {q('(?s)<' + tag + attrs + '>(.*?)</' + tag + '>')}, 1)"
+    inner = f"regexp_extract({html}, {q(P.element_pattern(tag, cls))}, 1)"
     s = unescape(rx(inner, "<[^>]+>", ""))
     s = rx(s, r"\n+", "\n")
     s = rx(s, " +", space_to)
@@ -236,16 +235,16 @@ def element_text(html, tag, space_to=" ", cls=None):
 
 
 def attribute(html, tag, attr):
-    return f"regexp_extract({html}, {q('<' + tag + r'\s[^>]*' + attr + '=\"([^\"]*)\"')}, 1)"
+    return f"regexp_extract({html}, {q('<' + tag + r'\s[^>]*' + P.value_pattern(attr))}, 1)"
 
 
-LINKS = r"""links AS (
+LINKS = f"""links AS (
   SELECT page_id, href,
     CASE WHEN regexp_matches(href, '^[a-z]+://') THEN href
          WHEN starts_with(href, '/') THEN concat(regexp_extract(url, '^[a-z]+://[^/]+', 0), href)
          ELSE href END AS link
-  FROM (SELECT page_id, url, regexp_extract(tag, 'href="([^"]*)"', 1) AS href
-        FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '<a\s[^>]*>', 0)) AS tag FROM pages))
+  FROM (SELECT page_id, url, regexp_extract(tag, {q(P.value_pattern("href"))}, 1) AS href
+        FROM (SELECT page_id, url, unnest(regexp_extract_all(html, {q(P.ANCHOR_TAG)}, 0)) AS tag FROM pages))
   WHERE href <> '')"""
 
 
@@ -414,9 +413,9 @@ def build() -> dict[str, str]:
     o["book_pages_to_bronze_parsed"] = o["book_pages_to_bronze"]
     o["listing_book_frontier"] = (
         f"WITH part_pages AS ({blocks.LISTING_PAGE_SQL.replace("array_join(array_sort(collect_list(item)), '')", "array_to_string(list_sort(list(item)), '')")}), "
-        "tags AS (SELECT url, unnest(regexp_extract_all(html, '<a\\s[^>]*>', 0)) AS tag FROM part_pages), "
-        "hrefs AS (SELECT url, regexp_extract(tag, 'href=\"([^\"]*)\"', 1) AS href FROM tags "
-        "WHERE regexp_matches(tag, 'class=\"[^\"]*\\bbook-item__link\\b')), "
+        f"tags AS (SELECT url, unnest(regexp_extract_all(html, {q(P.ANCHOR_TAG)}, 0)) AS tag FROM part_pages), "
+        f"hrefs AS (SELECT url, regexp_extract(tag, {q(P.value_pattern('href'))}, 1) AS href FROM tags "
+        f"WHERE regexp_matches(tag, {q(P.class_pattern(P.LISTING_ITEM_CLASS))})), "
         "lk AS (SELECT DISTINCT CASE WHEN regexp_matches(href, '^[a-z]+://') THEN href "
         "WHEN starts_with(href, '/') THEN concat(regexp_extract(url, '^[a-z]+://[^/]+', 0), href) ELSE href END AS link "
         "FROM hrefs WHERE href <> '') "
@@ -434,13 +433,19 @@ PUBLISHER_ID = "regexp_extract(ph, '/publisher/([^-/?#]*)', 1)"
 def book_records_sql() -> str:
     """CTE `recs`: one bronze books row per rendered book page."""
     f = info_fields("info")
-    a_href = r'<a\s[^>]*class="[^"]*\bbc-author__link\b[^"]*"[^>]*href="([^"]*)"'
-    p_href = r'<a\s[^>]*class="[^"]*\bbc-edition__link\b[^"]*"[^>]*href="([^"]*publisher[^"]*)"'
+    def anchor_href(cls, must_contain=None):
+        tags = (f"list_filter(regexp_extract_all(html, {q(P.ANCHOR_TAG)}, 0), "
+                f"lambda t: regexp_matches(t, {q(P.class_pattern(cls))}))")
+        hrefs = f"list_transform({tags}, lambda t: regexp_extract(t, {q(P.value_pattern('href'))}, 1))"
+        if must_contain is not None:
+            hrefs = f"list_filter({hrefs}, lambda x: contains(x, {q(must_contain)}))"
+        return f"coalesce({hrefs}[1], '')"
     blocks_sel = (f"SELECT url, html, {element_text('html', 'div', cls='bc-info')} AS info, "
                   f"{element_text('html', 'div', cls='bc-rating')} AS rb, "
                   f"{element_text('html', 'div', space_to='', cls='bc-stat')} AS sb, "
                   f"{element_text('html', 'table', cls='bc-edition')} AS eb, "
-                  f"regexp_extract(html, {q(a_href)}, 1) AS ah, regexp_extract(html, {q(p_href)}, 1) AS ph FROM pg")
+                  f"{anchor_href(P.AUTHOR_LINK_CLASS)} AS ah, "
+                  f"{anchor_href(P.EDITION_LINK_CLASS, 'publisher')} AS ph FROM pg")
     stats = ", ".join(f"{nth('sb', i)} AS {c}" for c, i in P.STAT_LINES.items())
     fields = ", ".join(f"{f[c]} AS {c}" for c in ("isbn", "editionyear", "pages", "size", "covertype",
                                                   "language", "copiesissued", "agerestrictions",
@@ -456,13 +461,7 @@ def book_records_sql() -> str:
 
 
 def pattern(tag, cls=None, attr=None):
-    if cls is not None:
-        attrs = '[^>]*class="[^"]*\\b' + cls + '\\b[^"]*"[^>]*'
-    elif attr is not None:
-        attrs = "[^>]*" + attr[0] + '="' + attr[1] + '"[^>]*'
-    else:
-        attrs = "[^>]*"
-    return "(?s)<" + tag + attrs + ">(.*?)</" + tag + ">"
+    return P.element_pattern(tag, cls, attr)
 
 
 def node_text(inner):

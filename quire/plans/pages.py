@@ -53,13 +53,28 @@ def strip_tags(c) -> Column:
     return F.regexp_replace(C._c(c), r"<[^>]+>", "")
 
 
+QUOTE = r"""["']"""          # an attribute value may be in double or single quotes
+UNQUOTED = r"""[^"']"""      # a character of an attribute value
+ANCHOR_TAG = r"<a\s[^>]*>"
+
+
+def class_pattern(cls: str) -> str:
+    """Regex matching a class attribute whose class list holds `cls`."""
+    return r"class=" + QUOTE + UNQUOTED + r"*\b" + cls + r"\b" + UNQUOTED + r"*" + QUOTE
+
+
+def value_pattern(name: str, value_regex: str = UNQUOTED + "*") -> str:
+    """Regex matching attribute `name`; group 1 is its value."""
+    return name + r"=" + QUOTE + r"(" + value_regex + r")" + QUOTE
+
+
 def element_pattern(tag: str, cls: str | None = None, attr: tuple[str, str] | None = None) -> str:
     """Regex whose group 1 is the inner HTML of a <tag> element, optionally one
     whose class list holds `cls` or whose attribute attr[0] equals attr[1]."""
     if cls is not None:
-        attrs = r'[^>]*class="[^"]*\b' + cls + r'\b[^"]*"[^>]*'
+        attrs = r"[^>]*" + class_pattern(cls) + r"[^>]*"
     elif attr is not None:
-        attrs = r"[^>]*" + attr[0] + r'="' + attr[1] + r'"[^>]*'
+        attrs = r"[^>]*" + attr[0] + r"=" + QUOTE + attr[1] + QUOTE + r"[^>]*"
     else:
         attrs = r"[^>]*"
     return r"(?s)<" + tag + attrs + r">(.*?)</" + tag + r">"
@@ -97,7 +112,7 @@ def element_text(html, tag: str, cls: str | None = None, space_to: str = " ") ->
 
 def attribute(html, tag: str, attr: str) -> Column:
     """Value of `attr` on the first <tag> carrying it (K3); '' when absent."""
-    return F.regexp_extract(C._c(html), r"<" + tag + r"\s[^>]*" + attr + r'="([^"]*)"', 1)
+    return F.regexp_extract(C._c(html), r"<" + tag + r"\s[^>]*" + value_pattern(attr), 1)
 
 
 def site_root(url) -> Column:
@@ -109,10 +124,10 @@ def links(pages: DataFrame, anchor_class: str | None = None) -> DataFrame:
     against the page's site (K1). With `anchor_class`, only anchors whose
     class attribute lists it."""
     tags = pages.select("page_id", "url",
-                        F.explode(F.regexp_extract_all("html", F.lit(r"<a\s[^>]*>"), 0)).alias("tag"))
+                        F.explode(F.regexp_extract_all("html", F.lit(ANCHOR_TAG), 0)).alias("tag"))
     if anchor_class is not None:
-        tags = tags.where(F.col("tag").rlike(r'class="[^"]*\b' + anchor_class + r'\b'))
-    href = F.regexp_extract("tag", r'href="([^"]*)"', 1)
+        tags = tags.where(F.col("tag").rlike(class_pattern(anchor_class)))
+    href = F.regexp_extract("tag", value_pattern("href"), 1)
     out = tags.select("page_id", "url", href.alias("href")).where(F.col("href") != "")
     link = (F.when(F.col("href").rlike(r"^[a-z]+://"), F.col("href"))
             .when(F.col("href").startswith("/"), F.concat(site_root("url"), F.col("href")))
@@ -140,6 +155,17 @@ def split_rejects(records: DataFrame, required: list[str]) -> tuple[DataFrame, D
     return records.where(complete), records.where(~complete)
 
 
+def anchor_href(html, cls: str, must_contain: str | None = None) -> Column:
+    """href of the first <a> whose class list holds `cls` (and whose href
+    contains `must_contain`), whatever the attribute order (K3)."""
+    tags = F.filter(F.regexp_extract_all(C._c(html), F.lit(ANCHOR_TAG), 0),
+                    lambda t: t.rlike(class_pattern(cls)))
+    hrefs = F.transform(tags, lambda t: F.regexp_extract(t, value_pattern("href"), 1))
+    if must_contain is not None:
+        hrefs = F.filter(hrefs, lambda x: x.contains(must_contain))
+    return F.coalesce(F.get(hrefs, 0), F.lit(""))
+
+
 def frontier(link_rows: DataFrame) -> DataFrame:
     """Distinct links across all pages (H1, H2)."""
     return link_rows.select("link").distinct()
@@ -244,6 +270,8 @@ PUBLISHER_FAVORITE_CLASS = "count-in-fav"
 # ---------------------------------------------------------------------------
 
 # --- whole records (K17-K19) -------------------------------------------------
+AUTHOR_LINK_CLASS = "bc-author__link"
+EDITION_LINK_CLASS = "bc-edition__link"
 BOOK_URL_PREFIX = r"/book/"
 AUTHOR_URL_PREFIX = r"/author/"
 PUBLISHER_URL_PREFIX = r"/publisher/"
@@ -267,9 +295,8 @@ def book_records(pages: DataFrame, parser: str = "regex") -> DataFrame:
         F.nullif(C.id_from_url("url", BOOK_URL_PREFIX), F.lit("")).alias("id"),
         text_of(h, "h1", "bc__book-title").alias("booktitle"),
         text_of(h, "h2", "bc-author").alias("author"),
-        F.regexp_extract(h, r'<a\s[^>]*class="[^"]*\bbc-author__link\b[^"]*"[^>]*href="([^"]*)"', 1).alias("a_href"),
-        F.regexp_extract(h, r'<a\s[^>]*class="[^"]*\bbc-edition__link\b[^"]*"[^>]*href="([^"]*publisher[^"]*)"', 1)
-        .alias("p_href"),
+        anchor_href(h, AUTHOR_LINK_CLASS).alias("a_href"),
+        anchor_href(h, EDITION_LINK_CLASS, must_contain="publisher").alias("p_href"),
         text_of(h, "div", "bc-info").alias("info"),
         text_of(h, "div", "bc-rating").alias("rating_block"),
         text_of(h, "div", "bc-stat", space_to="").alias("stat_block"),

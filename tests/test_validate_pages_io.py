@@ -239,3 +239,14 @@ def test_split_rejects_and_listing_frontier(spark):
                                     "page_id long, url string, html string")
     got = sorted((r.url, r.book_id) for r in P.book_frontier(listing).collect())
     assert got == [("https://s.org/book/1", "1"), ("https://s.org/book/7-a", "7")]
+
+
+def test_selectors_accept_single_quotes_and_any_attribute_order(spark):
+    html = ("<html lang='ru'><h1 class='bc__book-title x'>T</h1>"
+            "<a href='/author/5-x' class='bc-author__link'>A</a>"
+            "<a href='/series/3' class='bc-edition__link'>s</a><a class=\"bc-edition__link\" href='/publisher/9-p'>p</a></html>")
+    pages = spark.createDataFrame([(1, "https://s.org/book/1-t", html)], "page_id long, url string, html string")
+    r = P.book_records(pages).collect()[0]
+    assert (r.booktitle, r.authorid, r.publisherid) == ("T", "5", "9")
+    assert pages.select(P.attribute("html", "html", "lang")).collect()[0][0] == "ru"
+    assert [x.link for x in P.links(pages, anchor_class="bc-author__link").collect()] == ["https://s.org/author/5-x"]
