@@ -47,3 +47,12 @@ def test_streaming_merge_into_bucketed_table(spark, scratch):
     got = {r.publisherid: r.name for r in spark.table(table).collect()}
     assert got == {"1-pub": "a", "2-pub": "a", "3-pub": "a"}
     spark.sql(f"DROP TABLE {table}")
+
+
+def test_cli_stages_three_batches(spark):
+    from quire.__main__ import staged_batches
+    from quire.sources.schemas import BRONZE
+    for from_pages in (False, True):
+        batches = staged_batches(spark, SF_SMALL, from_pages)
+        assert {e: b.columns for e, b in batches.items()} == {e: BRONZE[e].names for e in batches}
+        assert all(b.count() > 0 for b in batches.values())
