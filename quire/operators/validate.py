@@ -90,11 +90,13 @@ def _outside(c: Column, lo, hi) -> Column:
     return cond
 
 
-def _duplicated_rows(df: DataFrame, column: str) -> Column:
-    """Rows whose non-null value occurs more than once, as a scalar subquery."""
+def _duplicated_rows(df: DataFrame, column: str) -> tuple[Column, Column]:
+    """(rows whose non-null value occurs more than once, smallest such value),
+    from one grouped count evaluated as a scalar subquery."""
     c = F.col(column)
     dup = df.where(c.isNotNull()).groupBy(c).count().where(F.col("count") > 1)
-    return F.coalesce(dup.select(F.sum("count")).scalar(), F.lit(0)).cast("long")
+    both = dup.select(F.struct(F.sum("count").alias("n"), F.min(c).alias("v"))).scalar()
+    return F.coalesce(both.getField("n"), F.lit(0)).cast("long"), both.getField("v").cast("string")
 
 
 def _percent(unexpected: Column, denominator: Column) -> Column:
@@ -104,7 +106,8 @@ def _percent(unexpected: Column, denominator: Column) -> Column:
 
 def validate(df: DataFrame, suite: str, expectations: list[Expectation] | None = None) -> DataFrame:
     """One row per expectation: suite, expectation, column_name, success,
-    element_count, unexpected_count, unexpected_percent, observed_value."""
+    element_count, unexpected_count, unexpected_percent, observed_value and
+    example_unexpected (the smallest offending value, as text)."""
     exps = SUITES[suite] if expectations is None else expectations
     metrics = [F.count(F.lit(1)).alias("__n")]
     for i, e in enumerate(exps):
@@ -112,12 +115,14 @@ def validate(df: DataFrame, suite: str, expectations: list[Expectation] | None =
         metrics.append(F.count(c).alias(f"__nn{i}"))
         if e.kind == NOT_NULL:
             metrics.append(F.count_if(c.isNull()).alias(f"__u{i}"))
-        elif e.kind == BETWEEN:
-            metrics.append(F.count_if(_outside(c, e.min_value, e.max_value)).alias(f"__u{i}"))
-        elif e.kind == IN_SET:
-            metrics.append(F.count_if(~c.isin(*e.value_set)).alias(f"__u{i}"))
+        elif e.kind in (BETWEEN, IN_SET):
+            bad = _outside(c, e.min_value, e.max_value) if e.kind == BETWEEN else ~c.isin(*e.value_set)
+            metrics.append(F.count_if(bad).alias(f"__u{i}"))
+            metrics.append(F.min(F.when(bad, c)).cast("string").alias(f"__x{i}"))
         elif e.kind == UNIQUE:
-            metrics.append(_duplicated_rows(df, e.column).alias(f"__u{i}"))
+            count, example = _duplicated_rows(df, e.column)
+            metrics.append(count.alias(f"__u{i}"))
+            metrics.append(example.alias(f"__x{i}"))
         elif e.kind == MAX_BETWEEN:
             metrics.append(F.max(c).cast("double").alias(f"__o{i}"))
         else:
@@ -129,6 +134,7 @@ def validate(df: DataFrame, suite: str, expectations: list[Expectation] | None =
     for i, e in enumerate(exps):
         nn = F.col(f"__nn{i}")
         observed = F.lit(None).cast("double")
+        example = F.col(f"__x{i}") if e.kind in (BETWEEN, IN_SET, UNIQUE) else F.lit(None).cast("string")
         if e.kind == MAX_BETWEEN:
             observed = F.col(f"__o{i}")
             unexpected = F.lit(None).cast("long")
@@ -144,7 +150,8 @@ def validate(df: DataFrame, suite: str, expectations: list[Expectation] | None =
             F.lit(suite).alias("suite"), F.lit(e.kind).alias("expectation"),
             F.lit(e.column).alias("column_name"), success.alias("success"),
             n.cast("long").alias("element_count"), unexpected.alias("unexpected_count"),
-            percent.alias("unexpected_percent"), observed.alias("observed_value")))
+            percent.alias("unexpected_percent"), observed.alias("observed_value"),
+            example.alias("example_unexpected")))
     out = one.select(F.inline(F.array(*rows)))
     return out.select(*[F.col(f.name).cast(f.dataType) for f in VALIDATION_RESULT.fields])
 

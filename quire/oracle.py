@@ -195,22 +195,27 @@ def expectation_sql(table: str, suite: str, e: V.Expectation) -> str:
         obs = f"CAST(max({c}) AS DOUBLE)"
         ok = f"({obs} IS NOT NULL AND NOT {_outside(obs, e)})"
         return (f"{head}, {ok} AS success, {n} AS element_count, CAST(NULL AS BIGINT) AS unexpected_count, "
-                f"CAST(NULL AS DOUBLE) AS unexpected_percent, {obs} AS observed_value FROM {table}")
+                f"CAST(NULL AS DOUBLE) AS unexpected_percent, {obs} AS observed_value, "
+                f"CAST(NULL AS VARCHAR) AS example_unexpected FROM {table}")
+    x = "CAST(NULL AS VARCHAR)"
     if e.kind == V.NOT_NULL:
         u, d = f"count(*) FILTER (WHERE {c} IS NULL)", "count(*)"
     elif e.kind == V.BETWEEN:
         u, d = f"count(*) FILTER (WHERE {_outside(c, e)})", f"count({c})"
+        x = f"CAST(min({c}) FILTER (WHERE {_outside(c, e)}) AS VARCHAR)"
     elif e.kind == V.IN_SET:
         vals = ", ".join(q(v) for v in e.value_set)
         u, d = f"count(*) FILTER (WHERE {c} NOT IN ({vals}))", f"count({c})"
+        x = f"CAST(min({c}) FILTER (WHERE {c} NOT IN ({vals})) AS VARCHAR)"
     else:  # unique
-        u = (f"(SELECT coalesce(sum(k), 0) FROM (SELECT count(*) AS k FROM {table} "
-             f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1))")
+        dups = f"(SELECT {c} AS v, count(*) AS k FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"
+        u = f"(SELECT coalesce(sum(k), 0) FROM {dups})"
+        x = f"(SELECT CAST(min(v) AS VARCHAR) FROM {dups})"
         d = f"count({c})"
     pct = f"(CASE WHEN {d} > 0 THEN CAST({u} AS DOUBLE) * 100.0 / CAST({d} AS DOUBLE) END)"
     ok = f"({d} = 0 OR CAST({d} - {u} AS DOUBLE) / CAST({d} AS DOUBLE) >= {float(e.mostly)})"
     return (f"{head}, {ok} AS success, {n} AS element_count, CAST({u} AS BIGINT) AS unexpected_count, "
-            f"{pct} AS unexpected_percent, CAST(NULL AS DOUBLE) AS observed_value FROM {table}")
+            f"{pct} AS unexpected_percent, CAST(NULL AS DOUBLE) AS observed_value, {x} AS example_unexpected FROM {table}")
 
 
 def suite_sql(table: str, suite: str, exps=None) -> str:

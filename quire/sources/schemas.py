@@ -67,4 +67,5 @@ VALIDATION_RESULT = T.StructType([
     T.StructField("unexpected_count", _LONG, True),
     T.StructField("unexpected_percent", _DBL, True),
     T.StructField("observed_value", _DBL, True),
+    T.StructField("example_unexpected", _STR, True),
 ])

@@ -58,6 +58,10 @@ def test_expectation_counts_match_python(spark, rows):
     assert got[V.BETWEEN].unexpected_count == sum(1 for x in nn if x < 0 or x > 21)
     assert got[V.IN_SET].unexpected_count == sum(1 for _, c in rows if c is not None and c not in ("H", "S"))
     assert got[V.UNIQUE].unexpected_count == sum(n for n in counts.values() if n > 1)
+    dups = [x for x, k in counts.items() if k > 1]
+    assert got[V.UNIQUE].example_unexpected == (str(min(dups)) if dups else None)
+    outside = [x for x in nn if x < 0 or x > 21]
+    assert got[V.BETWEEN].example_unexpected == (str(min(outside)) if outside else None)
     assert got[V.MAX_BETWEEN].observed_value == (float(max(nn)) if nn else None)
     assert got[V.MAX_BETWEEN].success == (bool(nn) and max(nn) <= 21)
     assert all(r.element_count == len(rows) for r in got.values())

@@ -30,6 +30,8 @@ def test_expectations_pass_and_fail(spark):
     mx = r[V.MAX_BETWEEN + ":rating"]
     assert not mx.success and mx.observed_value == 6.0
     assert r[V.NOT_NULL + ":id"].success
+    assert (bt.example_unexpected, r[V.IN_SET + ":cover"].example_unexpected,
+            r[V.UNIQUE + ":id"].example_unexpected, nn.example_unexpected) == ("30", "X", "2", None)
 
 
 def test_mostly_threshold(spark):
