@@ -252,3 +252,22 @@ def test_selectors_accept_single_quotes_and_any_attribute_order(spark):
     assert (r.booktitle, r.authorid, r.publisherid) == ("T", "5", "9")
     assert pages.select(P.attribute("html", "html", "lang")).collect()[0][0] == "ru"
     assert [x.link for x in P.links(pages, anchor_class="bc-author__link").collect()] == ["https://s.org/author/5-x"]
+
+
+def test_page_count_forms_size_fallback_and_missing_labels(spark):
+    infos = ["Количество страниц: 320", "Страниц: 288", "Объем: 96 стр.", "Кол-во страниц: 64",
+             "Размер: 60x90 мм\nТираж: 3000", "ничего"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(infos)], "i int, info string")
+    got = [(r.pages, r.size, r.copies) for r in df.select(
+        "i", P.page_count("info").alias("pages"), P.size("info").alias("size"), P.copies("info").alias("copies"))
+        .orderBy("i").collect()]
+    assert [g[0] for g in got] == ["320", "288", "96", "64", "null", "null"]
+    assert got[4][1:] == ("60x90 мм", "3000") and got[5][1:] == ("null", "null")
+
+
+def test_staged_csv_empty_last_field_is_null(spark, scratch):
+    path = f"{scratch}/last.csv"
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write('7,"n","o",1,2,3,4,\n8,"m","",1,2,3,4,""\n')
+    rows = {r.authorid: r.reading for r in io.read_staged_csv(spark, path, "authors").collect()}
+    assert rows == {"7": None, "8": ""}
