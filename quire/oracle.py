@@ -445,10 +445,11 @@ def book_records_sql() -> str:
         if must_contain is not None:
             hrefs = f"list_filter({hrefs}, lambda x: contains(x, {q(must_contain)}))"
         return f"coalesce({hrefs}[1], '')"
-    blocks_sel = (f"SELECT url, html, {element_text('html', 'div', cls='bc-info')} AS info, "
-                  f"{element_text('html', 'div', cls='bc-rating')} AS rb, "
-                  f"{element_text('html', 'div', space_to='', cls='bc-stat')} AS sb, "
-                  f"{element_text('html', 'table', cls='bc-edition')} AS eb, "
+    b = P.BOOK_BLOCKS
+    blocks_sel = (f"SELECT url, html, {element_text('html', b['info'][0], cls=b['info'][1])} AS info, "
+                  f"{element_text('html', b['rating'][0], cls=b['rating'][1])} AS rb, "
+                  f"{element_text('html', b['stat'][0], space_to='', cls=b['stat'][1])} AS sb, "
+                  f"{element_text('html', b['edition'][0], cls=b['edition'][1])} AS eb, "
                   f"{anchor_href(P.AUTHOR_LINK_CLASS)} AS ah, "
                   f"{anchor_href(P.EDITION_LINK_CLASS, 'publisher')} AS ph FROM pg")
     stats = ", ".join(f"{nth('sb', i)} AS {c}" for c, i in P.STAT_LINES.items())
@@ -456,8 +457,8 @@ def book_records_sql() -> str:
                                                   "language", "copiesissued", "agerestrictions",
                                                   "genres", "translatorname"))
     rec = (f"SELECT nullif(regexp_extract(url, '/book/([^-/?#]*)', 1), '') AS id, "
-           f"{element_text('html', 'h1', cls='bc__book-title')} AS booktitle, "
-           f"{element_text('html', 'h2', cls='bc-author')} AS author, "
+           f"{element_text('html', b['title'][0], cls=b['title'][1])} AS booktitle, "
+           f"{element_text('html', b['author'][0], cls=b['author'][1])} AS author, "
            f"{or_sentinel(AUTHOR_ID)} AS authorid, {fields}, "
            f"{nth('rb', 0)} AS rating, {stats}, "
            f"coalesce({rx(nth('eb', 1, None), r'^\s+|\s+$', '')}, 'null') AS series, "

@@ -37,6 +37,15 @@ GENRES_BETWEEN = r"(?s)Жанры:(.*?)Теги:"
 GENRES_NOISE = r" \n |\n|№\d+в"
 TRANSLATOR_LABEL = r"Перевод[чик]*[и]*: (.+)"
 STAT_LINES = {"haveread": 0, "planned": 2, "reviews": 4, "quotes": 7}
+# --- fixed values: page selectors and URL paths ----------------------------
+BOOK_BLOCKS = {"title": ("h1", "bc__book-title"), "author": ("h2", "bc-author"), "info": ("div", "bc-info"),
+               "rating": ("div", "bc-rating"), "stat": ("div", "bc-stat"), "edition": ("table", "bc-edition")}
+AUTHOR_LINK_CLASS = "bc-author__link"
+EDITION_LINK_CLASS = "bc-edition__link"
+LISTING_ITEM_CLASS = "book-item__link"
+BOOK_URL_PREFIX = r"/book/"
+AUTHOR_URL_PREFIX = r"/author/"
+PUBLISHER_URL_PREFIX = r"/publisher/"
 # ---------------------------------------------------------------------------
 
 
@@ -135,7 +144,6 @@ def links(pages: DataFrame, anchor_class: str | None = None) -> DataFrame:
     return out.select("page_id", "href", link.alias("link"))
 
 
-LISTING_ITEM_CLASS = "book-item__link"  # fixed value: class of book anchors on a listing page
 
 
 def book_frontier(listing: DataFrame) -> DataFrame:
@@ -270,11 +278,6 @@ PUBLISHER_FAVORITE_CLASS = "count-in-fav"
 # ---------------------------------------------------------------------------
 
 # --- whole records (K17-K19) -------------------------------------------------
-AUTHOR_LINK_CLASS = "bc-author__link"
-EDITION_LINK_CLASS = "bc-edition__link"
-BOOK_URL_PREFIX = r"/book/"
-AUTHOR_URL_PREFIX = r"/author/"
-PUBLISHER_URL_PREFIX = r"/publisher/"
 
 
 def book_records(pages: DataFrame, parser: str = "regex") -> DataFrame:
@@ -293,14 +296,14 @@ def book_records(pages: DataFrame, parser: str = "regex") -> DataFrame:
         text_of = element_text
     cut = pages.select(
         F.nullif(C.id_from_url("url", BOOK_URL_PREFIX), F.lit("")).alias("id"),
-        text_of(h, "h1", "bc__book-title").alias("booktitle"),
-        text_of(h, "h2", "bc-author").alias("author"),
+        text_of(h, *BOOK_BLOCKS["title"]).alias("booktitle"),
+        text_of(h, *BOOK_BLOCKS["author"]).alias("author"),
         anchor_href(h, AUTHOR_LINK_CLASS).alias("a_href"),
         anchor_href(h, EDITION_LINK_CLASS, must_contain="publisher").alias("p_href"),
-        text_of(h, "div", "bc-info").alias("info"),
-        text_of(h, "div", "bc-rating").alias("rating_block"),
-        text_of(h, "div", "bc-stat", space_to="").alias("stat_block"),
-        text_of(h, "table", "bc-edition").alias("edition_block"),
+        text_of(h, *BOOK_BLOCKS["info"]).alias("info"),
+        text_of(h, *BOOK_BLOCKS["rating"]).alias("rating_block"),
+        text_of(h, *BOOK_BLOCKS["stat"], space_to="").alias("stat_block"),
+        text_of(h, *BOOK_BLOCKS["edition"]).alias("edition_block"),
     )
     fields = info_fields("info")
     return cut.select(
