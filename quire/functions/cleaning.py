@@ -40,64 +40,64 @@ CYRILLIC_REGEX = r"[\p{IsCyrillic}]"
 # ---------------------------------------------------------------------------
 
 
-def _c(c) -> Column:
+def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def sentinel_to_null(c, sentinel: str = SENTINEL) -> Column:
     """'null' -> NULL; SQL NULL stays NULL."""
-    c = _c(c)
+    c = as_col(c)
     return F.when(c == F.lit(sentinel), F.lit(None).cast("string")).otherwise(c)
 
 
 def sentinel_to_default(c, default: str, sentinel: str = SENTINEL) -> Column:
     """'null' -> default; SQL NULL stays NULL (C2). Default is kept a string so
     the column type never silently changes under ANSI coercion."""
-    c = _c(c)
+    c = as_col(c)
     return F.when(c == F.lit(sentinel), F.lit(default)).otherwise(c)
 
 
 def empty_to_default(c, default: str) -> Column:
     """'' -> default; 'null' and NULL untouched."""
-    c = _c(c)
+    c = as_col(c)
     return F.when(c == F.lit(""), F.lit(default)).otherwise(c)
 
 
 def null_to_default(c, default) -> Column:
     """SQL NULL -> default (C4)."""
-    return F.coalesce(_c(c), F.lit(default))
+    return F.coalesce(as_col(c), F.lit(default))
 
 
 def double_lenient(c) -> Column:
     """String -> double; unparsable -> NULL."""
-    return _c(c).try_cast("double")
+    return as_col(c).try_cast("double")
 
 
 def int_lenient(c) -> Column:
     """String -> int the way a non-ANSI cast reads it: blanks trimmed,
     '2005.5' -> 2005, '-2.7' -> -2; text, NaN and overflow -> NULL (C9)."""
-    return _c(c).try_cast("double").try_cast("int")
+    return as_col(c).try_cast("double").try_cast("int")
 
 
 def first_int(c) -> Column:
     """First run of ASCII digits -> int; no digits -> NULL (I14). Also drops a
     leading BOM or a trailing slug from ids."""
-    return F.regexp_extract(_c(c), r"\d+", 0).try_cast("int")
+    return F.regexp_extract(as_col(c), r"\d+", 0).try_cast("int")
 
 
 def strip_list_syntax(c) -> Column:
     """"['a', 'b']" -> "a, b": delete brackets, then quotes."""
-    return F.replace(F.regexp_replace(_c(c), LIST_BRACKETS_REGEX, ""), F.lit("'"), F.lit(""))
+    return F.replace(F.regexp_replace(as_col(c), LIST_BRACKETS_REGEX, ""), F.lit("'"), F.lit(""))
 
 
 def list_items(c) -> Column:
     """Stringified list -> array of items with spaces removed."""
-    return F.split(F.regexp_replace(_c(c), r"[\[\]' ]", ""), ",")
+    return F.split(F.regexp_replace(as_col(c), r"[\[\]' ]", ""), ",")
 
 
 def cover_code(c) -> Column:
     """Cover type spelled 6 ways -> H / S; sentinel -> S; other text kept."""
-    c = _c(c)
+    c = as_col(c)
     low = F.lower(c)
     return (F.when(c == F.lit(SENTINEL), F.lit("S"))
             .when(low.isin(*SOFT_COVER_WORDS), F.lit("S"))
@@ -127,7 +127,7 @@ def translator_clean(c, corrected: bool = False) -> Column:
 
 def rating_clean(c) -> Column:
     """Decimal comma -> dot, then sentinel -> 0, as double."""
-    return double_lenient(sentinel_to_default(F.replace(_c(c), F.lit(","), F.lit(".")), "0"))
+    return double_lenient(sentinel_to_default(F.replace(as_col(c), F.lit(","), F.lit(".")), "0"))
 
 
 def genres_clean(c) -> Column:
@@ -136,7 +136,7 @@ def genres_clean(c) -> Column:
 
 
 def has_cyrillic(c) -> Column:
-    return _c(c).rlike(CYRILLIC_REGEX)
+    return as_col(c).rlike(CYRILLIC_REGEX)
 
 
 def language_fill(language, title) -> Column:
@@ -147,58 +147,58 @@ def language_fill(language, title) -> Column:
 
 def publisher_name_clean(c) -> Column:
     """Drop guillemets and the word for publishing house; not trimmed."""
-    return F.regexp_replace(_c(c), PUBLISHER_NAME_NOISE_REGEX, "")
+    return F.regexp_replace(as_col(c), PUBLISHER_NAME_NOISE_REGEX, "")
 
 
 def book_count_clean(c) -> Column:
     """'Книги (345)' -> ' 345' (I13)."""
-    return F.regexp_replace(_c(c), BOOK_COUNT_NOISE_REGEX, "")
+    return F.regexp_replace(as_col(c), BOOK_COUNT_NOISE_REGEX, "")
 
 
 def strip_parens(c) -> Column:
-    return F.regexp_replace(_c(c), PARENS_REGEX, "")
+    return F.regexp_replace(as_col(c), PARENS_REGEX, "")
 
 
 def strip_ws(c) -> Column:
     """Leading and trailing whitespace removed (not only spaces)."""
-    return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+    return F.regexp_replace(as_col(c), r"^\s+|\s+$", "")
 
 
 def squeeze_whitespace(c, space_to: str = " ") -> Column:
     """Runs of newlines -> one newline, runs of spaces -> `space_to`, stripped."""
-    s = F.regexp_replace(_c(c), r"\n+", "\n")
+    s = F.regexp_replace(as_col(c), r"\n+", "\n")
     s = F.regexp_replace(s, r" +", space_to)
     return strip_ws(s)
 
 
 def drop_nbsp(c) -> Column:
     """Delete no-break space U+00A0 and en space U+2002."""
-    return F.translate(_c(c), "\u00a0\u2002", "")
+    return F.translate(as_col(c), "\u00a0\u2002", "")
 
 
 def nth_line(c, i: int, default: str | None = SENTINEL) -> Column:
     """Line i (0-based) of a text block; missing line -> default."""
-    line = F.get(F.split(_c(c), "\n"), i)
+    line = F.get(F.split(as_col(c), "\n"), i)
     return line if default is None else F.coalesce(line, F.lit(default))
 
 
 def first_match(c, patterns: list[str], group: int = 0) -> Column:
     """Value of the first pattern that matches (I22); NULL when none does."""
-    parts = [F.nullif(F.regexp_extract(_c(c), p, group), F.lit("")) for p in patterns]
+    parts = [F.nullif(F.regexp_extract(as_col(c), p, group), F.lit("")) for p in patterns]
     return F.coalesce(*parts)
 
 
 def all_matches(c, pattern: str, group: int = 0) -> Column:
     """Array of every match of `pattern`."""
-    return F.regexp_extract_all(_c(c), F.lit(pattern), group)
+    return F.regexp_extract_all(as_col(c), F.lit(pattern), group)
 
 
 def id_from_url(url, prefix_regex: str) -> Column:
     """Entity id from a URL: text after the prefix up to the first '-', '/', '?'
     or '#' (C16). Empty when the prefix is absent."""
-    return F.regexp_extract(_c(url), prefix_regex + r"([^-/?#]*)", 1)
+    return F.regexp_extract(as_col(url), prefix_regex + r"([^-/?#]*)", 1)
 
 
 def url_from_id(id_col, prefix: str) -> Column:
     """C17."""
-    return F.concat(F.lit(prefix), _c(id_col))
+    return F.concat(F.lit(prefix), as_col(id_col))

@@ -51,7 +51,7 @@ PUBLISHER_URL_PREFIX = r"/publisher/"
 
 def unescape(c) -> Column:
     """Decode the named entities of ENTITIES; texts without '&' pass through."""
-    raw = C._c(c)
+    raw = C.as_col(c)
     s = raw
     for ent, ch in ENTITIES:
         s = F.replace(s, F.lit(ent), F.lit(ch))
@@ -59,7 +59,7 @@ def unescape(c) -> Column:
 
 
 def strip_tags(c) -> Column:
-    return F.regexp_replace(C._c(c), r"<[^>]+>", "")
+    return F.regexp_replace(C.as_col(c), r"<[^>]+>", "")
 
 
 QUOTE = r"""["']"""          # an attribute value may be in double or single quotes
@@ -91,12 +91,12 @@ def element_pattern(tag: str, cls: str | None = None, attr: tuple[str, str] | No
 
 def element_html(html, tag: str, cls: str | None = None, attr: tuple[str, str] | None = None) -> Column:
     """Inner HTML of the first matching <tag>; '' when there is none."""
-    return F.regexp_extract(C._c(html), element_pattern(tag, cls, attr), 1)
+    return F.regexp_extract(C.as_col(html), element_pattern(tag, cls, attr), 1)
 
 
 def element_texts(html, tag: str, cls: str | None = None) -> Column:
     """Inner HTML of every matching <tag>, as an array."""
-    return F.regexp_extract_all(C._c(html), F.lit(element_pattern(tag, cls)), 1)
+    return F.regexp_extract_all(C.as_col(html), F.lit(element_pattern(tag, cls)), 1)
 
 
 def node_text(inner) -> Column:
@@ -107,7 +107,7 @@ def node_text(inner) -> Column:
 
 def first_node_text(html, tag: str, cls: str | None = None, attr: tuple[str, str] | None = None) -> Column:
     """node_text of the first matching element; 'null' when there is none."""
-    found = F.regexp_like(C._c(html), F.lit(element_pattern(tag, cls, attr)))
+    found = F.regexp_like(C.as_col(html), F.lit(element_pattern(tag, cls, attr)))
     return F.when(found, node_text(element_html(html, tag, cls, attr))).otherwise(F.lit(C.SENTINEL))
 
 
@@ -116,16 +116,16 @@ def element_text(html, tag: str, cls: str | None = None, space_to: str = " ") ->
     newline and space runs squeezed, trimmed (K2, I18). NULL when absent."""
     inner = element_html(html, tag, cls)
     text = C.squeeze_whitespace(unescape(strip_tags(inner)), space_to)
-    return F.when(F.regexp_like(C._c(html), F.lit(r"<" + tag + r"[\s>]")), text)
+    return F.when(F.regexp_like(C.as_col(html), F.lit(r"<" + tag + r"[\s>]")), text)
 
 
 def attribute(html, tag: str, attr: str) -> Column:
     """Value of `attr` on the first <tag> carrying it (K3); '' when absent."""
-    return F.regexp_extract(C._c(html), r"<" + tag + r"\s[^>]*" + value_pattern(attr), 1)
+    return F.regexp_extract(C.as_col(html), r"<" + tag + r"\s[^>]*" + value_pattern(attr), 1)
 
 
 def site_root(url) -> Column:
-    return F.regexp_extract(C._c(url), r"^[a-z]+://[^/]+", 0)
+    return F.regexp_extract(C.as_col(url), r"^[a-z]+://[^/]+", 0)
 
 
 def links(pages: DataFrame, anchor_class: str | None = None) -> DataFrame:
@@ -166,7 +166,7 @@ def split_rejects(records: DataFrame, required: list[str]) -> tuple[DataFrame, D
 def anchor_href(html, cls: str, must_contain: str | None = None) -> Column:
     """href of the first <a> whose class list holds `cls` (and whose href
     contains `must_contain`), whatever the attribute order (K3)."""
-    tags = F.filter(F.regexp_extract_all(C._c(html), F.lit(ANCHOR_TAG), 0),
+    tags = F.filter(F.regexp_extract_all(C.as_col(html), F.lit(ANCHOR_TAG), 0),
                     lambda t: t.rlike(class_pattern(cls)))
     hrefs = F.transform(tags, lambda t: F.regexp_extract(t, value_pattern("href"), 1))
     if must_contain is not None:
@@ -191,12 +191,12 @@ def or_sentinel(c: Column) -> Column:
 
 
 def isbn_list(info) -> Column:
-    line = F.regexp_extract(C._c(info), ISBN_LINE, 0)
+    line = F.regexp_extract(C.as_col(info), ISBN_LINE, 0)
     return F.when(line != "", py_list_literal(C.all_matches(line, ISBN_NUMBER))).otherwise(F.lit(C.SENTINEL))
 
 
 def edition_year(info) -> Column:
-    return or_sentinel(F.regexp_extract(C._c(info), YEAR_LABEL, 1))
+    return or_sentinel(F.regexp_extract(C.as_col(info), YEAR_LABEL, 1))
 
 
 def page_count(info) -> Column:
@@ -205,7 +205,7 @@ def page_count(info) -> Column:
 
 
 def copies(info) -> Column:
-    return or_sentinel(F.trim(F.regexp_extract(C._c(info), COPIES_LABEL, 1)))
+    return or_sentinel(F.trim(F.regexp_extract(C.as_col(info), COPIES_LABEL, 1)))
 
 
 def size(info) -> Column:
@@ -214,29 +214,29 @@ def size(info) -> Column:
 
 
 def cover(info) -> Column:
-    line = F.regexp_extract(C._c(info), COVER_LINE, 0)
+    line = F.regexp_extract(C.as_col(info), COVER_LINE, 0)
     return or_sentinel(F.regexp_extract(line, COVER_WORD, 0))
 
 
 def language(info) -> Column:
-    return or_sentinel(F.trim(F.regexp_extract(C._c(info), LANGUAGE_LABEL, 1)))
+    return or_sentinel(F.trim(F.regexp_extract(C.as_col(info), LANGUAGE_LABEL, 1)))
 
 
 def age_limit(info) -> Column:
-    return or_sentinel(F.regexp_extract(C._c(info), AGE_LABEL, 1))
+    return or_sentinel(F.regexp_extract(C.as_col(info), AGE_LABEL, 1))
 
 
 def genres(info) -> Column:
     """Text between the genre and tag labels, cleaned, as a printed list;
     missing -> "['null']" (K12)."""
-    block = F.regexp_extract(C._c(info), GENRES_BETWEEN, 1)
-    has = F.regexp_like(C._c(info), F.lit(GENRES_BETWEEN))
+    block = F.regexp_extract(C.as_col(info), GENRES_BETWEEN, 1)
+    has = F.regexp_like(C.as_col(info), F.lit(GENRES_BETWEEN))
     cleaned = F.regexp_replace(C.drop_nbsp(block), GENRES_NOISE, "")
     return py_list_literal(F.when(has, F.split(cleaned, ",")).otherwise(F.array(F.lit(C.SENTINEL))))
 
 
 def translators(info) -> Column:
-    names = F.trim(F.regexp_extract(C._c(info), TRANSLATOR_LABEL, 1))
+    names = F.trim(F.regexp_extract(C.as_col(info), TRANSLATOR_LABEL, 1))
     return F.when(names != "", py_list_literal(F.split(names, ","))).otherwise(F.lit(C.SENTINEL))
 
 
