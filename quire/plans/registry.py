@@ -473,6 +473,15 @@ def publisher_page_rejects(spark, d):
     return rejects
 
 
+@query
+def referenced_author_records(spark, d):
+    """Follow-on scope on pages (D5, K20): author records only for the authors
+    that this batch's book pages link to (semi join on distinct ids)."""
+    refs = P.book_records(blocks.book_pages(spark, d)).select("authorid").where(F.col("authorid") != C.SENTINEL)
+    authors = P.author_records(blocks.author_pages(spark, d))
+    return authors.join(refs.distinct(), "authorid", "left_semi")
+
+
 @query
 def silver_authors_from_pages(spark, d):
     return silver.authors(P.author_records(blocks.author_pages(spark, d)))
