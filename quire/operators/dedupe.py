@@ -22,7 +22,8 @@ def dedupe_by_key(df: DataFrame, key, order: list[str] | None = None) -> DataFra
 
     Expressed as `min(struct(...))` per key: an aggregate with a partial
     (map-side) step, so a key holding a large share of the rows is reduced
-    in every task before the shuffle, never gathered into one sort.
+    in every task before the shuffle, never gathered into one sort. The
+    ordering columns must be orderable types (no maps).
     """
     keys = _keys(key)
     others = order or [c for c in df.columns if c not in keys]

@@ -16,7 +16,7 @@ from quire.operators.impute import approx_median, attach_group_means, global_val
 from quire.sources.schemas import SILVER
 
 
-def _yes_sentinel_or_null(c: str):
+def _sentinel_or_null(c: str):
     col = F.col(c)
     return (col == F.lit(C.SENTINEL)) | col.isNull()
 
@@ -40,7 +40,7 @@ def books(bronze: DataFrame, corrected: bool = False) -> DataFrame:
     means = attach_group_means(means, "authorid", {"__year_author": year_num,
                                                     "__pages_author": pages_num}, source=once)
 
-    year = F.when(_yes_sentinel_or_null("editionyear"),
+    year = F.when(_sentinel_or_null("editionyear"),
                   F.coalesce(F.col("__year_pub"), F.col("__year_author"))) \
         .otherwise(year_num.cast("double"))
     pages_raw = C.sentinel_to_null("pages")
