@@ -134,8 +134,12 @@ def _render(spark: SparkSession, sf_dir: str, sql: str, table: str, key: str) ->
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-repartition `df` on `key` only when it has fewer partitions than
     the session's default parallelism."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the layout to the scan
+        return df
+    return df.repartition(cores, key) if parts < cores else df
 
 
 def info_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
