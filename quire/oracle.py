@@ -517,6 +517,9 @@ def add_entity_pages(o: dict[str, str]) -> None:
     o["referenced_author_records"] = (
         f"WITH {book_records_sql()}, {author_records_sql()} SELECT * FROM arecs "
         "WHERE authorid IN (SELECT authorid FROM recs WHERE authorid <> 'null')")
+    o["referenced_publisher_records"] = (
+        f"WITH {book_records_sql()}, {publisher_records_sql()} SELECT * FROM precs "
+        "WHERE books IS NOT NULL AND publisherid IN (SELECT publisherid FROM recs WHERE publisherid <> 'null')")
     o["silver_authors_from_pages"] = (f"WITH {author_records_sql()}, ba AS (SELECT * FROM arecs), "
                                       f"{silver_authors_ctes()} SELECT * FROM silver_authors")
     o["silver_publishers_from_pages"] = (f"WITH {publisher_records_sql()}, bp AS (SELECT * FROM precs WHERE books IS NOT NULL), "

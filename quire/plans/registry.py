@@ -482,6 +482,16 @@ def referenced_author_records(spark, d):
     return authors.join(refs.distinct(), "authorid", "left_semi")
 
 
+@query
+def referenced_publisher_records(spark, d):
+    """Follow-on scope on pages (D5, K20): accepted publisher records only for
+    the publishers that this batch's book pages link to."""
+    refs = P.book_records(blocks.book_pages(spark, d)).select("publisherid") \
+        .where(F.col("publisherid") != C.SENTINEL)
+    accepted, _ = P.split_rejects(P.publisher_records(blocks.publisher_pages(spark, d)), ["books"])
+    return accepted.join(refs.distinct(), "publisherid", "left_semi")
+
+
 @query
 def silver_authors_from_pages(spark, d):
     return silver.authors(P.author_records(blocks.author_pages(spark, d)))
