@@ -39,9 +39,9 @@ def main(argv=None) -> int:
     ap.add_argument("--out", required=True, help="output root (shared storage on a cluster)")
     ap.add_argument("--from-pages", action="store_true")
     ap.add_argument("--corrected", action="store_true")
-    ap.add_argument("--master", default="local[8]")
+    ap.add_argument("--master", default=None, help="only for local runs; spark-submit's master is kept")
     args = ap.parse_args(argv)
-    spark = build_session(master=args.master)
+    spark = build_session(master=args.master, shuffle_partitions=8 if args.master else None)
     try:
         results = daily.run(spark, staged_batches(spark, args.sf_dir, args.from_pages), args.out, args.corrected)
         results.groupBy("suite").agg(F.count_if(~F.col("success")).alias("failed")).show()
