@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.sources.schemas import VALIDATION_RESULT
 
@@ -104,11 +105,9 @@ def _percent(unexpected: Column, denominator: Column) -> Column:
                   unexpected.cast("double") * F.lit(100.0) / denominator.cast("double"))
 
 
-def validate(df: DataFrame, suite: str, expectations: list[Expectation] | None = None) -> DataFrame:
-    """One row per expectation: suite, expectation, column_name, success,
-    element_count, unexpected_count, unexpected_percent, observed_value and
-    example_unexpected (the smallest offending value, as text)."""
-    exps = SUITES[suite] if expectations is None else expectations
+def _metrics(df: DataFrame, exps: list[Expectation], with_unique: bool = True) -> list[Column]:
+    """The aggregate expressions of one pass over `df` (uniqueness checks as
+    scalar subqueries when `with_unique`)."""
     metrics = [F.count(F.lit(1)).alias("__n")]
     for i, e in enumerate(exps):
         c = F.col(e.column)
@@ -120,15 +119,19 @@ def validate(df: DataFrame, suite: str, expectations: list[Expectation] | None =
             metrics.append(F.count_if(bad).alias(f"__u{i}"))
             metrics.append(F.min(F.when(bad, c)).cast("string").alias(f"__x{i}"))
         elif e.kind == UNIQUE:
-            count, example = _duplicated_rows(df, e.column)
-            metrics.append(count.alias(f"__u{i}"))
-            metrics.append(example.alias(f"__x{i}"))
+            if with_unique:
+                count, example = _duplicated_rows(df, e.column)
+                metrics.append(count.alias(f"__u{i}"))
+                metrics.append(example.alias(f"__x{i}"))
         elif e.kind == MAX_BETWEEN:
             metrics.append(F.max(c).cast("double").alias(f"__o{i}"))
         else:
             raise ValueError(f"unknown expectation {e.kind}")
-    one = df.agg(*metrics)
+    return metrics
 
+
+def _assemble(one: DataFrame, suite: str, exps: list[Expectation]) -> DataFrame:
+    """One-row metrics frame -> one result row per expectation."""
     rows = []
     n = F.col("__n")
     for i, e in enumerate(exps):
@@ -156,6 +159,42 @@ def validate(df: DataFrame, suite: str, expectations: list[Expectation] | None =
     return out.select(*[F.col(f.name).cast(f.dataType) for f in VALIDATION_RESULT.fields])
 
 
+def validate(df: DataFrame, suite: str, expectations: list[Expectation] | None = None) -> DataFrame:
+    """One row per expectation: suite, expectation, column_name, success,
+    element_count, unexpected_count, unexpected_percent, observed_value and
+    example_unexpected (the smallest offending value, as text)."""
+    exps = SUITES[suite] if expectations is None else expectations
+    return _assemble(df.agg(*_metrics(df, exps)), suite, exps)
+
+
+def write_and_validate(df: DataFrame, suite: str, writer,
+                       expectations: list[Expectation] | None = None, reread=None) -> DataFrame:
+    """Write `df` with `writer(frame)` and evaluate the suite while writing:
+    the single-column checks ride along the write as `DataFrame.observe`
+    metrics (no extra pass); uniqueness checks, which need a grouped count,
+    then run on the key columns only, of `reread()` (the written data) when
+    given, else of `df`. Returns the same rows as `validate`."""
+    from pyspark.sql import Observation
+
+    exps = SUITES[suite] if expectations is None else expectations
+    spark = df.sparkSession
+    obs = Observation(f"suite_{suite}")
+    writer(df.observe(obs, *_metrics(df, exps, with_unique=False)))
+    values = dict(obs.get)
+    fields = [T.StructField(k, T.DoubleType() if k.startswith("__o") else
+                            T.StringType() if k.startswith("__x") else T.LongType(), True) for k in values]
+    one = spark.createDataFrame([tuple(values[f.name] for f in fields)], T.StructType(fields))
+    uniques = [(i, e) for i, e in enumerate(exps) if e.kind == UNIQUE]
+    if uniques:
+        extra = []
+        source = reread() if reread is not None else df
+        for i, e in uniques:
+            count, example = _duplicated_rows(source, e.column)
+            extra += [count.alias(f"__u{i}"), example.alias(f"__x{i}")]
+        one = one.select("*", *extra)
+    return _assemble(one, suite, exps)
+
+
 def gate_decision(results: DataFrame) -> DataFrame:
     """One row per suite: passed (all expectations succeeded) and failures."""
     return results.groupBy("suite").agg(

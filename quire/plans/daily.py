@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators.dedupe import merge_into_bucketed_table, new_rows
-from quire.operators.validate import ValidationFailed, validate
+from quire.operators.validate import ValidationFailed, validate, write_and_validate
 from quire.plans import gold, silver
 from quire.sources import io
 from quire.sources.schemas import BRONZE, GOLD, KEYS
@@ -59,14 +59,22 @@ def merge_bronze_table(entity: str, staged: DataFrame, table_prefix: str = "bron
                                      f"{table_prefix}{entity}_raw", KEYS[entity], buckets)
 
 
-def build_silver(spark: SparkSession, layout: Layout, corrected: bool = False) -> None:
+def build_silver(spark: SparkSession, layout: Layout, corrected: bool = False) -> DataFrame:
+    """Write the three silver tables. The gold books suite (its columns are all
+    in silver books) is evaluated while silver books is written, so the gate
+    needs no further scan of it; returns those result rows."""
     read = lambda e: spark.read.schema(BRONZE[e]).parquet(layout.bronze(e))
-    io.overwrite(silver.books(read("books"), corrected), layout.silver("books"))
+    books_results = write_and_validate(
+        silver.books(read("books"), corrected), "gold_books",
+        lambda df: io.overwrite(df, layout.silver("books")),
+        reread=lambda: spark.read.parquet(layout.silver("books")))
     io.overwrite(silver.authors(read("authors")), layout.silver("authors"))
     io.overwrite(silver.publishers(read("publishers")), layout.silver("publishers"))
+    return books_results.checkpoint(eager=True)
 
 
-def publish_gold(spark: SparkSession, layout: Layout, corrected: bool = False) -> DataFrame:
+def publish_gold(spark: SparkSession, layout: Layout, corrected: bool = False,
+                 books_results: DataFrame | None = None) -> DataFrame:
     """Validate all three candidate gold tables, then publish all of them or
     none (L6, L7): books are overwritten, authors / publishers get their new
     keys (insert-ignore, B7), and the genre dictionary and bridge are rebuilt.
@@ -81,8 +89,10 @@ def publish_gold(spark: SparkSession, layout: Layout, corrected: bool = False) -
         added[entity] = new_rows(existing, staged.select(*existing.columns), KEYS[entity]).checkpoint(eager=True)
         candidates[f"gold_{entity}"] = existing.unionByName(added[entity])
 
-    results = None
+    results = books_results
     for suite, df in candidates.items():
+        if suite == "gold_books" and books_results is not None:
+            continue  # evaluated while silver books was written
         r = validate(df, suite)
         results = r if results is None else results.unionByName(r)
     results = results.checkpoint(eager=True)  # one evaluation for the table and the verdict
@@ -106,6 +116,6 @@ def run(spark: SparkSession, staged: dict[str, DataFrame], root: str, corrected:
     layout = Layout(root)
     for entity in ENTITIES:
         merge_bronze(spark, layout, entity, staged[entity])
-    build_silver(spark, layout, corrected)
-    return publish_gold(spark, layout, corrected)
+    books_results = build_silver(spark, layout, corrected)
+    return publish_gold(spark, layout, corrected, books_results)
 

@@ -271,3 +271,13 @@ def test_staged_csv_empty_last_field_is_null(spark, scratch):
         fh.write('7,"n","o",1,2,3,4,\n8,"m","",1,2,3,4,""\n')
     rows = {r.authorid: r.reading for r in io.read_staged_csv(spark, path, "authors").collect()}
     assert rows == {"7": None, "8": ""}
+
+
+def test_write_and_validate_matches_validate(spark, scratch):
+    sb = silver.books(bronze(spark, SF_SMALL, "books"))
+    observed = V.write_and_validate(sb, "gold_books", lambda df: df.write.mode("overwrite").parquet(f"{scratch}/sb"))
+    plain = V.validate(sb, "gold_books")
+    key = lambda r: (r.expectation, r.column_name)
+    assert sorted(map(tuple, observed.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    assert spark.read.parquet(f"{scratch}/sb").count() == sb.count()
+    assert key(observed.collect()[0]) == ("expect_column_values_to_not_be_null", "id")
