@@ -387,6 +387,7 @@ def build() -> dict[str, str]:
         exps = [e for e in V.SUITES["gold_books"] if e.kind == kind]
         o[name] = f"{sb} {suite_sql('silver_books', 'gold_books', exps)}"
     o["suite_report_books"] = f"{sb}, gold_books AS ({gold_books_select()}) {suite_sql('gold_books', 'gold_books')}"
+    o["suite_report_books_observed"] = o["suite_report_books"]
     o["suite_report_authors"] = f"{sa} {suite_sql('silver_authors', 'gold_authors')}"
     o["suite_report_publishers"] = f"{sp} {suite_sql('silver_publishers', 'gold_publishers')}"
     all_three = (f"WITH bb AS ({BRONZE_SQL['books']}), ba AS ({BRONZE_SQL['authors']}), bp AS ({BRONZE_SQL['publishers']}), "

@@ -344,6 +344,16 @@ def suite_report_books(spark, d):
     return V.validate(gold.books(silver_books_table(spark, d)), "gold_books")
 
 
+@query
+def suite_report_books_observed(spark, d):
+    """The books suite evaluated while the gold books candidate is written
+    (observe metrics + key-column uniqueness on the written copy)."""
+    path = _scratch(spark, "gold-books-candidate")
+    candidate = gold.books(_silver_books(spark, d))
+    return V.write_and_validate(candidate, "gold_books", lambda df: df.write.parquet(path),
+                                reread=lambda: spark.read.parquet(path))
+
+
 @query
 def suite_report_authors(spark, d):
     return V.validate(silver.authors(_ba(spark, d)), "gold_authors")
