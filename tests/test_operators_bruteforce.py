@@ -10,7 +10,7 @@ from quire.operators import validate as V
 from quire.operators.ids import dense_ids
 from quire.operators.impute import attach_group_means
 
-SETTINGS = settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SETTINGS = settings(max_examples=10, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 @SETTINGS
