@@ -31,10 +31,11 @@ def events(path):
                     yield json.loads(line)
 
 
-def main() -> None:
+def summarize(path) -> dict:
+    """{job group: {jobs, stages, tasks, stage_ms, shuffle_mb, spill_mb}}."""
     job_group, stage_job = {}, {}
     agg = defaultdict(lambda: {"jobs": 0, "stages": 0, "tasks": 0, "stage_ms": 0, "shuffle_mb": 0.0, "spill_mb": 0.0})
-    for e in events(sys.argv[1]):
+    for e in events(path):
         kind = e.get("Event")
         if kind == "SparkListenerJobStart":
             group = (e.get("Properties") or {}).get("spark.jobGroup.id", "-")
@@ -60,6 +61,11 @@ def main() -> None:
                     a["shuffle_mb"] += value / 2**20
                 elif name in ("internal.metrics.memoryBytesSpilled", "internal.metrics.diskBytesSpilled"):
                     a["spill_mb"] += value / 2**20
+    return dict(agg)
+
+
+def main() -> None:
+    agg = summarize(sys.argv[1])
     print(f"{'query':28s} {'jobs':>4s} {'stages':>6s} {'tasks':>6s} {'stage s':>8s} {'shuffle MB':>10s} {'spill MB':>8s}")
     for group, a in sorted(agg.items(), key=lambda kv: -kv[1]["stage_ms"]):
         print(f"{group:28s} {a['jobs']:4d} {a['stages']:6d} {a['tasks']:6d} {a['stage_ms'] / 1000:8.2f} "
