@@ -79,14 +79,15 @@ def value_pattern(name: str, value_regex: str = UNQUOTED + "*") -> str:
 
 def element_pattern(tag: str, cls: str | None = None, attr: tuple[str, str] | None = None) -> str:
     """Regex whose group 1 is the inner HTML of a <tag> element, optionally one
-    whose class list holds `cls` or whose attribute attr[0] equals attr[1]."""
+    whose class list holds `cls` or whose attribute attr[0] equals attr[1].
+    The tag name must end where it does (`<p>` never matches `<pre>`)."""
     if cls is not None:
-        attrs = r"[^>]*" + class_pattern(cls) + r"[^>]*"
+        opening = r"<" + tag + r"\s[^>]*" + class_pattern(cls) + r"[^>]*>"
     elif attr is not None:
-        attrs = r"[^>]*" + attr[0] + r"=" + QUOTE + attr[1] + QUOTE + r"[^>]*"
+        opening = r"<" + tag + r"\s[^>]*" + attr[0] + r"=" + QUOTE + attr[1] + QUOTE + r"[^>]*>"
     else:
-        attrs = r"[^>]*"
-    return r"(?s)<" + tag + attrs + r">(.*?)</" + tag + r">"
+        opening = r"<" + tag + r"(?:\s[^>]*)?>"
+    return r"(?s)" + opening + r"(.*?)</" + tag + r">"
 
 
 def element_html(html, tag: str, cls: str | None = None, attr: tuple[str, str] | None = None) -> Column:

@@ -281,3 +281,11 @@ def test_write_and_validate_matches_validate(spark, scratch):
     assert sorted(map(tuple, observed.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
     assert spark.read.parquet(f"{scratch}/sb").count() == sb.count()
     assert key(observed.collect()[0]) == ("expect_column_values_to_not_be_null", "id")
+
+
+def test_tag_names_must_end(spark):
+    html = "<pre>code</pre><picture>x</picture><p class='a'>para</p><link rel='x'><li>item</li>"
+    df = spark.createDataFrame([(html,)], "html string")
+    r = df.select(P.element_text("html", "p").alias("p"), P.element_text("html", "li").alias("li"),
+                  F.array_join(P.element_texts("html", "p"), "|").alias("ps")).collect()[0]
+    assert (r.p, r.li, r.ps) == ("para", "item", "para")
