@@ -240,7 +240,7 @@ def element_text(html, tag, space_to=" ", cls=None):
 
 
 def attribute(html, tag, attr):
-    return f"regexp_extract({html}, {q('<' + tag + r'\s[^>]*' + P.value_pattern(attr))}, 1)"
+    return f"regexp_extract({html}, {q(P.attribute_pattern(tag, attr))}, 1)"
 
 
 LINKS = f"""links AS (

@@ -68,13 +68,19 @@ ANCHOR_TAG = r"<a\s[^>]*>"
 
 
 def class_pattern(cls: str) -> str:
-    """Regex matching a class attribute whose class list holds `cls`."""
-    return r"class=" + QUOTE + UNQUOTED + r"*\b" + cls + r"\b" + UNQUOTED + r"*" + QUOTE
+    """Regex matching a class attribute whose class list holds `cls` (the
+    attribute name starts after whitespace, so `subclass=` does not count)."""
+    return r"\sclass=" + QUOTE + UNQUOTED + r"*\b" + cls + r"\b" + UNQUOTED + r"*" + QUOTE
 
 
 def value_pattern(name: str, value_regex: str = UNQUOTED + "*") -> str:
-    """Regex matching attribute `name`; group 1 is its value."""
-    return name + r"=" + QUOTE + r"(" + value_regex + r")" + QUOTE
+    """Regex matching attribute `name` (not `data-name`); group 1 is its value."""
+    return r"\s" + name + r"=" + QUOTE + r"(" + value_regex + r")" + QUOTE
+
+
+def attribute_pattern(tag: str, name: str) -> str:
+    """Regex whose group 1 is attribute `name` of a <tag> element."""
+    return r"<" + tag + r"(?:\s[^>]*)?" + value_pattern(name)
 
 
 def element_pattern(tag: str, cls: str | None = None, attr: tuple[str, str] | None = None) -> str:
@@ -82,9 +88,9 @@ def element_pattern(tag: str, cls: str | None = None, attr: tuple[str, str] | No
     whose class list holds `cls` or whose attribute attr[0] equals attr[1].
     The tag name must end where it does (`<p>` never matches `<pre>`)."""
     if cls is not None:
-        opening = r"<" + tag + r"\s[^>]*" + class_pattern(cls) + r"[^>]*>"
+        opening = r"<" + tag + r"(?:\s[^>]*)?" + class_pattern(cls) + r"[^>]*>"
     elif attr is not None:
-        opening = r"<" + tag + r"\s[^>]*" + attr[0] + r"=" + QUOTE + attr[1] + QUOTE + r"[^>]*>"
+        opening = r"<" + tag + r"(?:\s[^>]*)?\s" + attr[0] + r"=" + QUOTE + attr[1] + QUOTE + r"[^>]*>"
     else:
         opening = r"<" + tag + r"(?:\s[^>]*)?>"
     return r"(?s)" + opening + r"(.*?)</" + tag + r">"
@@ -122,7 +128,7 @@ def element_text(html, tag: str, cls: str | None = None, space_to: str = " ") ->
 
 def attribute(html, tag: str, attr: str) -> Column:
     """Value of `attr` on the first <tag> carrying it (K3); '' when absent."""
-    return F.regexp_extract(C.as_col(html), r"<" + tag + r"\s[^>]*" + value_pattern(attr), 1)
+    return F.regexp_extract(C.as_col(html), attribute_pattern(tag, attr), 1)
 
 
 def site_root(url) -> Column:

@@ -289,3 +289,13 @@ def test_tag_names_must_end(spark):
     r = df.select(P.element_text("html", "p").alias("p"), P.element_text("html", "li").alias("li"),
                   F.array_join(P.element_texts("html", "p"), "|").alias("ps")).collect()[0]
     assert (r.p, r.li, r.ps) == ("para", "item", "para")
+
+
+def test_attribute_names_must_start_after_whitespace(spark):
+    html = ('<html data-lang="xx" lang="ru"><a data-href="/wrong" href="/right" data-class="bc-author__link">a</a>'
+            '<a class="bc-author__link" href="/author/7-x">b</a><div subclass="bc-info">no</div><div class="bc-info">yes</div></html>')
+    pages = spark.createDataFrame([(1, "https://s.org/book/1", html)], "page_id long, url string, html string")
+    assert pages.select(P.attribute("html", "html", "lang")).collect()[0][0] == "ru"
+    assert [r.href for r in P.links(pages).collect()] == ["/right", "/author/7-x"]
+    assert pages.select(P.element_text("html", "div", "bc-info")).collect()[0][0] == "yes"
+    assert P.book_records(pages).collect()[0].authorid == "7"
