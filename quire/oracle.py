@@ -246,7 +246,7 @@ def attribute(html, tag, attr):
 LINKS = f"""links AS (
   SELECT page_id, href,
     CASE WHEN regexp_matches(href, '^[a-z]+://') THEN href
-         WHEN starts_with(href, '/') THEN concat(regexp_extract(url, '^[a-z]+://[^/]+', 0), href)
+         WHEN starts_with(href, '//') THEN concat(regexp_extract(url, '^[a-z]+:', 0), href) WHEN starts_with(href, '/') THEN concat(regexp_extract(url, '^[a-z]+://[^/]+', 0), href)
          ELSE href END AS link
   FROM (SELECT page_id, url, regexp_extract(tag, {q(P.value_pattern("href"))}, 1) AS href
         FROM (SELECT page_id, url, unnest(regexp_extract_all(html, {q(P.ANCHOR_TAG)}, 0)) AS tag FROM pages))
@@ -423,7 +423,7 @@ def build() -> dict[str, str]:
         f"hrefs AS (SELECT url, regexp_extract(tag, {q(P.value_pattern('href'))}, 1) AS href FROM tags "
         f"WHERE regexp_matches(tag, {q(P.class_pattern(P.LISTING_ITEM_CLASS))})), "
         "lk AS (SELECT DISTINCT CASE WHEN regexp_matches(href, '^[a-z]+://') THEN href "
-        "WHEN starts_with(href, '/') THEN concat(regexp_extract(url, '^[a-z]+://[^/]+', 0), href) ELSE href END AS link "
+        "WHEN starts_with(href, '//') THEN concat(regexp_extract(url, '^[a-z]+:', 0), href) WHEN starts_with(href, '/') THEN concat(regexp_extract(url, '^[a-z]+://[^/]+', 0), href) ELSE href END AS link "
         "FROM hrefs WHERE href <> '') "
         "SELECT link AS url, regexp_extract(link, '/book/([^-/?#]*)', 1) AS book_id FROM lk")
     o["html_class_text"] = f"SELECT page_id, {element_text('html', 'div', cls='ad')} AS ad_text FROM pages"

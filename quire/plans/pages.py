@@ -146,6 +146,8 @@ def links(pages: DataFrame, anchor_class: str | None = None) -> DataFrame:
     href = F.regexp_extract("tag", value_pattern("href"), 1)
     out = tags.select("page_id", "url", href.alias("href")).where(F.col("href") != "")
     link = (F.when(F.col("href").rlike(r"^[a-z]+://"), F.col("href"))
+            .when(F.col("href").startswith("//"),
+                  F.concat(F.regexp_extract("url", r"^[a-z]+:", 0), F.col("href")))
             .when(F.col("href").startswith("/"), F.concat(site_root("url"), F.col("href")))
             .otherwise(F.col("href")))
     return out.select("page_id", "href", link.alias("link"))

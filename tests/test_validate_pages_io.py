@@ -299,3 +299,9 @@ def test_attribute_names_must_start_after_whitespace(spark):
     assert [r.href for r in P.links(pages).collect()] == ["/right", "/author/7-x"]
     assert pages.select(P.element_text("html", "div", "bc-info")).collect()[0][0] == "yes"
     assert P.book_records(pages).collect()[0].authorid == "7"
+
+
+def test_protocol_relative_links(spark):
+    html = '<a href="//cdn.example.org/x">c</a><a href="/y">y</a><a href="z">z</a>'
+    pages = spark.createDataFrame([(1, "http://s.org/p/q", html)], "page_id long, url string, html string")
+    assert [r.link for r in P.links(pages).collect()] == ["http://cdn.example.org/x", "http://s.org/y", "z"]
