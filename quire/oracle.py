@@ -224,10 +224,22 @@ def suite_sql(table: str, suite: str, exps=None) -> str:
 
 
 # --- pages -----------------------------------------------------------------------------
+def decode_char_refs(x):
+    dec, hx = q(P.DEC_REF), q(P.HEX_REF)
+    piece = (f"CASE WHEN regexp_matches(t, {dec}) THEN concat(chr(CAST(regexp_extract(t, {dec}, 1) AS INTEGER)), "
+             f"regexp_replace(t, {dec}, '')) "
+             f"WHEN regexp_matches(t, {hx}) THEN concat(chr(CAST(concat('0x', regexp_extract(t, {hx}, 1)) AS INTEGER)), "
+             f"regexp_replace(t, {hx}, '')) ELSE concat('&#', t) END")
+    parts = f"string_split({x}, '&#')"
+    return (f"(CASE WHEN contains({x}, '&#') THEN concat({parts}[1], array_to_string(list_transform("
+            f"list_slice({parts}, 2, len({parts})), lambda t: {piece}), '')) ELSE {x} END)")
+
+
 def unescape(x):
+    s = decode_char_refs(x)
     for ent, ch in P.ENTITIES:
-        x = f"replace({x}, {q(ent)}, {q(ch)})"
-    return x
+        s = f"replace({s}, {q(ent)}, {q(ch)})"
+    return f"(CASE WHEN contains({x}, '&') THEN {s} ELSE {x} END)"
 
 
 def element_text(html, tag, space_to=" ", cls=None):

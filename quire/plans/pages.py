@@ -49,10 +49,37 @@ PUBLISHER_URL_PREFIX = r"/publisher/"
 # ---------------------------------------------------------------------------
 
 
+DEC_REF = r"^([0-9]{1,7});"
+HEX_REF = r"^[xX]([0-9a-fA-F]{1,6});"
+
+
+def _code_point(hex_digits: Column) -> Column:
+    """The character of a code point given in hex, decoded natively (UTF-32)."""
+    return F.decode(F.unhex(F.lpad(hex_digits, 8, "0")), "UTF-32")
+
+
+def _after_ref(t: Column) -> Column:
+    """One piece of text that followed '&#': decode its leading reference."""
+    dec = F.regexp_extract(t, DEC_REF, 1)
+    hx = F.regexp_extract(t, HEX_REF, 1)
+    return (F.when(dec != "", F.concat(_code_point(F.hex(dec.cast("long"))), F.regexp_replace(t, DEC_REF, "")))
+            .when(hx != "", F.concat(_code_point(hx), F.regexp_replace(t, HEX_REF, "")))
+            .otherwise(F.concat(F.lit("&#"), t)))
+
+
+def decode_char_refs(c) -> Column:
+    """Numeric character references (&#1085; &#x43D;) -> characters."""
+    s = C.as_col(c)
+    parts = F.split(s, "&#")
+    tail = F.transform(F.slice(parts, 2, F.size(parts)), _after_ref)
+    return F.when(s.contains("&#"), F.concat(F.get(parts, 0), F.array_join(tail, ""))).otherwise(s)
+
+
 def unescape(c) -> Column:
-    """Decode the named entities of ENTITIES; texts without '&' pass through."""
+    """Decode numeric references, then the named entities of ENTITIES (each
+    reference once: '&amp;#39;' becomes '&#39;'); texts without '&' pass through."""
     raw = C.as_col(c)
-    s = raw
+    s = decode_char_refs(raw)
     for ent, ch in ENTITIES:
         s = F.replace(s, F.lit(ent), F.lit(ch))
     return F.when(raw.contains("&"), s).otherwise(raw)

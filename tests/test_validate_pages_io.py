@@ -305,3 +305,8 @@ def test_protocol_relative_links(spark):
     html = '<a href="//cdn.example.org/x">c</a><a href="/y">y</a><a href="z">z</a>'
     pages = spark.createDataFrame([(1, "http://s.org/p/q", html)], "page_id long, url string, html string")
     assert [r.link for r in P.links(pages).collect()] == ["http://cdn.example.org/x", "http://s.org/y", "z"]
+
+
+def test_character_references_decode_once(spark):
+    df = spark.createDataFrame([("Пр&#1080;вет &#x41D;&#X41d; &#128512; a&#b &amp;#39; &amp;amp; &#39;",)], "t string")
+    assert df.select(P.unescape("t")).collect()[0][0] == "Привет НН 😀 a&#b &#39; &amp; '"
