@@ -18,7 +18,7 @@ from quire.functions import cleaning as C
 
 # --- fixed values: HTML entities decoded by `unescape` (named + quotes) ------
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&mdash;", "—"),
+            ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&mdash;", "—"),
             ("&ndash;", "–"), ("&laquo;", "«"), ("&raquo;", "»"), ("&hellip;", "…"),
             ("&amp;", "&")]  # &amp; last, so "&amp;lt;" stays "&lt;"
 # --- fixed values: labels of the book information block --------------------

@@ -310,3 +310,10 @@ def test_protocol_relative_links(spark):
 def test_character_references_decode_once(spark):
     df = spark.createDataFrame([("Пр&#1080;вет &#x41D;&#X41d; &#128512; a&#b &amp;#39; &amp;amp; &#39;",)], "t string")
     assert df.select(P.unescape("t")).collect()[0][0] == "Привет НН 😀 a&#b &#39; &amp; '"
+
+
+def test_nbsp_entity_is_a_no_break_space(spark):
+    df = spark.createDataFrame([("<div class='bc-rating'>4,5&nbsp;\nоценок</div>",)], "html string")
+    text = df.select(P.element_text("html", "div", "bc-rating").alias("t")).collect()[0].t
+    assert text == "4,5\u00a0\nоценок"
+    assert df.select(P.rating(P.element_text("html", "div", "bc-rating"))).collect()[0][0] == "4,5"
