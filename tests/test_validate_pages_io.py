@@ -89,7 +89,7 @@ def test_book_page_record(spark):
     assert r["booktitle"] == "Война и мир" and r["author"] == "Лев Толстой"
     assert r["isbn"] == "['978-5-17-090335-2', '5-17-123456-X']"
     assert r["editionyear"] == "2015" and r["pages"] == "1300"
-    assert r["copiesissued"] == "5 000"
+    assert r["copiesissued"] == "5\u00a0000"
     assert r["size"] == "84x108/32 (130x200 мм)"
     assert r["covertype"] == "Твердый" and r["language"] == "Русский" and r["agerestrictions"] == "16"
     assert r["genres"] == "[' Проза ', ' Классика']"
