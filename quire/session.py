@@ -30,21 +30,27 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str | None = "local[8]", shuffle_partitions: int | None = 8,
-                  app_name: str = "quire", extra: dict | None = None) -> SparkSession:
-    """Session with the library's settings. `master=None` keeps the master
-    chosen by spark-submit (never override it on a cluster); likewise
-    `shuffle_partitions=None` keeps the submitted value."""
-    builder = SparkSession.builder.appName(app_name)
-    if master is not None:
-        builder = builder.master(master)
+def session_conf(master: str | None = "local[8]", shuffle_partitions: int | None = 8,
+                 extra: dict | None = None) -> dict[str, str]:
+    """The settings `build_session` applies. `master=None` leaves the master
+    (and the memory) chosen by spark-submit alone; `shuffle_partitions=None`
+    keeps the submitted value."""
     conf = dict(DEFAULT_CONF)
+    if master is not None:
+        conf["spark.master"] = master
+        if master.startswith("local"):
+            conf["spark.driver.memory"] = "16g"
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if master is not None and master.startswith("local"):
-        conf.setdefault("spark.driver.memory", "16g")
     conf.update(extra or {})
-    for k, v in conf.items():
+    return conf
+
+
+def build_session(master: str | None = "local[8]", shuffle_partitions: int | None = 8,
+                  app_name: str = "quire", extra: dict | None = None) -> SparkSession:
+    """Session with the library's settings (see `session_conf`)."""
+    builder = SparkSession.builder.appName(app_name)
+    for k, v in session_conf(master, shuffle_partitions, extra).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

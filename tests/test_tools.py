@@ -21,3 +21,13 @@ def test_summarize_groups_stages_by_job_group(tmp_path):
     s = summarize(str(tmp_path))
     assert s["q1"]["jobs"] == 1 and s["q1"]["stages"] == 2 and s["q1"]["tasks"] == 6
     assert s["q1"]["stage_ms"] == 700 and s["q1"]["shuffle_mb"] == 2.0 and s["q1"]["spill_mb"] == 1.0
+
+
+def test_session_conf_never_overrides_a_submitted_master():
+    from quire.session import session_conf
+    submitted = session_conf(master=None, shuffle_partitions=None)
+    assert "spark.master" not in submitted and "spark.sql.shuffle.partitions" not in submitted
+    assert "spark.driver.memory" not in submitted and submitted["spark.sql.adaptive.enabled"] == "true"
+    local = session_conf("local[4]", 4, {"spark.sql.shuffle.partitions": "2"})
+    assert local["spark.master"] == "local[4]" and local["spark.sql.shuffle.partitions"] == "2"
+    assert local["spark.ui.enabled"] == "false"
