@@ -317,3 +317,25 @@ def test_nbsp_entity_is_a_no_break_space(spark):
     text = df.select(P.element_text("html", "div", "bc-rating").alias("t")).collect()[0].t
     assert text == "4,5\u00a0\nоценок"
     assert df.select(P.rating(P.element_text("html", "div", "bc-rating"))).collect()[0][0] == "4,5"
+
+
+def test_daily_job_corrected_mode(spark, scratch):
+    b = bronze_frame(spark, "books", [book(id=str(i), covertype="Мягкая", rating="4,5", agerestrictions="12",
+                                           haveread="1", planned="2", reviews="3", quotes="4", size="130Х200",
+                                           translatorname="['Иванов и Петров']", genres="['Роман', ' Проза']")
+                                      for i in range(1, 4)])
+    a = bronze_frame(spark, "authors", [{"authorid": "7", "name": "n", "originalname": "o", "liked": "1",
+                                         "neutral": "1", "disliked": "1", "favorite": "1", "reading": "1"}])
+    p = bronze_frame(spark, "publishers", [{"publisherid": "5-pub", "name": "x", "books": "Книги (3)",
+                                            "years": "1999", "page": "p", "favorite": "(2)"}])
+    daily.run(spark, {"books": b, "authors": a, "publishers": p}, scratch, corrected=True)
+    layout = daily.Layout(scratch)
+    s = spark.read.parquet(layout.silver("books")).collect()[0]
+    assert (s.size, s.translatorname) == ("130x200", "Иванов, Петров")
+    assert sorted(r.genre for r in spark.read.parquet(layout.gold("genres")).collect()) == ["проза", "роман"]
+
+
+def test_read_or_empty_on_first_run(spark, scratch):
+    from quire.sources.schemas import BRONZE
+    df = io.read_or_empty(spark, f"{scratch}/nothing-here", BRONZE["publishers"])
+    assert df.count() == 0 and df.columns == BRONZE["publishers"].names
