@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import packing, repeats, token_files, url_rules
+from quire.llm import packing, repeats, simhash, token_files, url_rules
 from quire.llm.url_rules import Rule
 
 #: The rule list of the url query (fixed values).
@@ -25,6 +25,10 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES, ["page_id"])
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_table(_table(spark, sf_dir, "documents"))
 
@@ -34,7 +38,7 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_url_filters, op6_token_files, op9_suffix_array_dedup)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_url_filters, op5_simhash_near_dedup, op6_token_files, op9_suffix_array_dedup)}
 
 _RULE_ROWS = ", ".join(f"('{r.verdict}', '{r.pattern}')" for r in URL_RULES)
 
