@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import packing, repeats, simhash, token_files, url_rules
+from quire.llm import packing, pu_quality, repeats, simhash, token_files, toxicity, url_rules, warc
 from quire.llm.url_rules import Rule
 
 #: The rule list of the url query (fixed values).
@@ -25,6 +25,14 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES, ["page_id"])
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_captures(_table(spark, sf_dir, "pages"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -38,11 +46,28 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_url_filters, op5_simhash_near_dedup, op6_token_files, op9_suffix_array_dedup)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_url_filters, op3_quality_classifier, op4_warc, op5_simhash_near_dedup, op6_token_files, op9_suffix_array_dedup,
+                                    op10_toxicity)}
 
 _RULE_ROWS = ", ".join(f"('{r.verdict}', '{r.pattern}')" for r in URL_RULES)
 
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
 ORACLE_SQL = {
+    "op4_warc": f"""
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+firsts AS (SELECT hex, min(page_id) AS holder FROM hashed GROUP BY hex)
+SELECT h.page_id, h.payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('{_BASE32}', CAST(
+         (CAST('0x' || substr(h.hex, CAST((i // 4) * 5 + 1 AS INTEGER), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER) + 1, 1)), '') AS payload_digest,
+       CASE WHEN h.page_id = f.holder THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN h.page_id <> f.holder THEN f.holder END AS refers_to
+FROM hashed h JOIN firsts f ON h.hex = f.hex""",
     # Hosts are compared as strings and paths as prefixes, without regular expressions.
     "op2_url_filters": rf"""
 WITH parts AS (
