@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import packing, pu_quality, repeats, simhash, token_files, toxicity, url_rules, warc
+from quire.llm import decontaminate, kn_quality, packing, pu_quality, repeats, simhash, token_files, toxicity, url_rules, warc
 from quire.llm.url_rules import Rule
 
 #: The rule list of the url query (fixed values).
@@ -41,6 +41,14 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_table(_table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kn_quality.judge_quality(_table(spark, sf_dir, "documents"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("uid")
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(_table(spark, sf_dir, "documents")) \
         .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -50,7 +58,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_url_filters, op3_quality_classifier, op4_warc, op5_simhash_near_dedup, op6_token_files, op9_suffix_array_dedup,
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_url_filters, op3_quality_classifier, op4_warc, op5_simhash_near_dedup, op6_token_files, op7_quality_rules,
+                                    op8_decontamination, op9_suffix_array_dedup,
                                     op10_toxicity)}
 
 _RULE_ROWS = ", ".join(f"('{r.verdict}', '{r.pattern}')" for r in URL_RULES)

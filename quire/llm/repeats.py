@@ -374,13 +374,17 @@ def whole_characters(data: bytes, removed: list[tuple[int, int]]) -> list[tuple[
     return out
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Per row of `docs` (doc_id, text): doc_id, text without the characters that
-    lie wholly in removed bytes, removed (array of (b, e) byte runs), n_bytes,
-    n_removed, n_spans, kept_sha256 (of the remaining bytes)."""
-    rows = with_uid(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), ["doc_id", "text"])
+def remove_repeats(docs: DataFrame, keep: list[str] | None = None, width: int = WIDTH,
+                   group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Per row of `docs` (with a column text): its `keep` columns (default doc_id),
+    then text without the characters that lie wholly in removed bytes, removed
+    (array of (b, e) byte runs), n_bytes, n_removed, n_spans, kept_sha256 (of the
+    remaining bytes); `keep` must not hold these names."""
+    row = F.struct(*(keep or ["doc_id"])).alias("row")
+    rows = with_uid(docs.select(row, F.col("text").cast("string").alias("text")), ["row", "text"])
     spans = repeated_spans(rows, width, group_rows)
-    packed = rows.select("uid", "text", "doc_id").mapInArrow(_pack_texts, "uid long, packed binary, doc_id long")
+    kind = rows.schema["row"].dataType.simpleString()
+    packed = rows.select("uid", "text", "row").mapInArrow(_pack_texts, f"uid long, packed binary, row {kind}")
 
     def finish(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -396,11 +400,12 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, group_rows: int = GROUP_
                 out["n_removed"].append(sum(e - b for b, e in removed))
                 out["n_spans"].append(len(removed))
                 out["kept_sha256"].append(hashlib.sha256(_cut(data, removed)).hexdigest())
-            kind = pa.list_(pa.struct([("b", pa.int32()), ("e", pa.int32())]))
+            span = pa.list_(pa.struct([("b", pa.int32()), ("e", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(out["text"]), pa.array(out["removed"], kind), *(
-                    pa.array(out[k], pa.int64()) for k in ("n_bytes", "n_removed", "n_spans")), pa.array(out["kept_sha256"])],
-                names=["doc_id", *out])
+                [part.column("row"), pa.array(out["text"], pa.string()), pa.array(out["removed"], span), *(
+                    pa.array(out[k], pa.int64()) for k in ("n_bytes", "n_removed", "n_spans")), pa.array(out["kept_sha256"], pa.string())],
+                names=["row", *out])
 
     return packed.join(spans, "uid", "left").mapInArrow(
-        finish, "doc_id long, text string, removed array<struct<b:int,e:int>>, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        finish, f"row {kind}, text string, removed array<struct<b:int,e:int>>, n_bytes long, n_removed long, n_spans long, "
+        "kept_sha256 string").select("row.*", "text", "removed", "n_bytes", "n_removed", "n_spans", "kept_sha256")
