@@ -119,10 +119,10 @@ def _discounted(counts: DataFrame) -> DataFrame:
     """counts (lang, gram, n) -> lang, gram, own (discounted share of its context) and
     back (weight of the context's lower order)."""
     tally = counts.groupBy("lang").agg(*[F.count_if(F.col("n") == k).alias(f"n{k}") for k in (1, 2, 3, 4)])
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
 
     def discount(k: int) -> Column:  # modified Kneser-Ney, 1/2 where counts of counts are missing
-        d = F.lit(float(k)) - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}")
+        d = F.lit(float(k)) - (k + 1) * y * F.try_divide(F.col(f"n{k + 1}"), F.col(f"n{k}"))
         return F.when((F.col("n1") > 0) & (F.col("n2") > 0) & (F.col(f"n{k}") > 0) & (d > 0) & (d < k), d).otherwise(0.5)
 
     d = tally.select("lang", *[discount(k).alias(f"d{k}") for k in (1, 2, 3)])
@@ -140,7 +140,7 @@ def model_table(counts: DataFrame) -> DataFrame:
     tables = [counts]
     for k in range(ORDER - 1, 0, -1):  # continuation counts: distinct bytes before the shorter gram
         shorter = F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1))
-        tables.append(tables[-1].groupBy("lang", shorter.alias("gram")).agg(F.count(F.lit(1)).alias("n")))
+        tables.append(stage(tables[-1].groupBy("lang", shorter.alias("gram")).agg(F.count(F.lit(1)).alias("n")), "grams"))
     lower = None
     for k, table in zip(range(1, ORDER + 1), reversed(tables)):
         rows = _discounted(table)
@@ -151,7 +151,7 @@ def model_table(counts: DataFrame) -> DataFrame:
             now = rows.withColumn("short", short).join(lower.select("lang", F.col("gram").alias("short"), F.col("p").alias("q")),
                                                        ["lang", "short"]) \
                 .select("lang", "gram", (F.col("own") + F.col("back") * F.col("q")).alias("p"))
-        lower = now
+        lower = stage(now, "probabilities") if k < ORDER else now
     return lower.select("lang", "gram", (-F.log2("p")).alias("bits"))
 
 
