@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.llm.common import stage
 from quire.llm.labelled import held_out, labels_of, sample
 
 #: Marker words of the categories (fixed values).
@@ -154,7 +155,8 @@ def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, column: str =
     texts = docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
     rows = texts.join(F.broadcast(chosen), "doc_id").select("text", "doc_id", "label") \
         .mapInArrow(_word_rows, "words array<string>, doc_id long, label int")
-    picked = sample(rows.where("label = 1"), size).unionByName(sample(rows.where("label = 0"), size)).checkpoint()
+    picked = sample(rows.where("label = 1"), size).unionByName(sample(rows.where("label = 0"), size))
+    picked = stage(picked, "toxic-sample")
     share = picked.agg(F.avg("label")).first()[0] or 0.0
     n = F.col("n")
     counts = picked.select(F.explode("words").alias("word"), "label").groupBy("word") \
