@@ -37,6 +37,7 @@ from quire.llm.common import open_fs, shared_folder, stage, with_uid
 
 ORDER = 4
 MODEL_BYTES = 1 << 27
+MAX_BROADCAST_ROWS = 10_000
 SPREAD = 4.0
 MARGIN = 0.15
 MIN_WORDS = 50
@@ -115,6 +116,12 @@ def count_grams(rows: DataFrame) -> DataFrame:
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def _per_language(table: DataFrame) -> DataFrame:
+    """A table of one row per language, for joins: broadcast if it is measured small."""
+    held = stage(table, "languages")
+    return F.broadcast(held) if held.count() <= MAX_BROADCAST_ROWS else held
+
+
 def _discounted(counts: DataFrame) -> DataFrame:
     """counts (lang, gram, n) -> lang, gram, own (discounted share of its context) and
     back (weight of the context's lower order)."""
@@ -126,7 +133,7 @@ def _discounted(counts: DataFrame) -> DataFrame:
         return F.when((F.col("n1") > 0) & (F.col("n2") > 0) & (F.col(f"n{k}") > 0) & (d > 0) & (d < k), d).otherwise(0.5)
 
     d = tally.select("lang", *[discount(k).alias(f"d{k}") for k in (1, 2, 3)])
-    rows = counts.join(F.broadcast(d), "lang").withColumn(  # one row per language
+    rows = counts.join(_per_language(d), "lang").withColumn(
         "cut", F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))) \
         .withColumn("ctx", F.shiftright("gram", 8))
     context = rows.groupBy("lang", "ctx").agg(F.sum("n").alias("total"), F.sum("cut").alias("freed"))
@@ -252,7 +259,7 @@ def judge_quality(docs: DataFrame, spread: float = SPREAD, margin: float = MARGI
     reach = F.greatest(F.lit(margin), F.lit(spread) * (F.col("q")[1] - F.col("q")[0]))
     bands = quartiles.select("lang", F.pow(2.0, F.col("q")[0] - reach).alias("low"), F.pow(2.0, F.col("q")[1] + reach).alias("high"))
     perplexity = F.pow(F.lit(2.0), F.col("bits"))
-    return known.join(bands, "lang", "left").select(
+    return known.join(_per_language(bands), "lang", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.coalesce(perplexity.between(F.col("low"), F.col("high")), F.lit(False))).alias("kept"),
         perplexity.alias("perplexity"), "low", "high")
