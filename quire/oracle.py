@@ -225,10 +225,18 @@ def suite_sql(table: str, suite: str, exps=None) -> str:
 
 # --- pages -----------------------------------------------------------------------------
 def decode_char_refs(x):
-    dec, hx = q(P.DEC_REF), q(P.HEX_REF)
-    piece = (f"CASE WHEN regexp_matches(t, {dec}) THEN concat(chr(CAST(regexp_extract(t, {dec}, 1) AS INTEGER)), "
-             f"regexp_replace(t, {dec}, '')) "
-             f"WHEN regexp_matches(t, {hx}) THEN concat(chr(CAST(concat('0x', regexp_extract(t, {hx}, 1)) AS INTEGER)), "
+    """Written out apart from the engine's patterns: numbers by regex, characters by chr()."""
+    def char(number):
+        n = f"TRY_CAST({number} AS BIGINT)"
+        plain = (f"CASE WHEN {n} BETWEEN 1 AND 55295 OR {n} BETWEEN 57344 AND 1114111 THEN chr(CAST({n} AS INTEGER)) "
+                 f"ELSE chr(65533) END")
+        return f"translate({plain}, {q(P.C1_NUMBERS)}, {q(P.C1_MEANT)})"
+
+    dec, hx = "'^[0-9]+;'", "'^[xX][0-9a-fA-F]+;'"
+    digits = "ltrim(string_split(t, ';')[1], '0')"
+    hex_digits = "ltrim(substr(string_split(t, ';')[1], 2), '0')"
+    piece = (f"CASE WHEN regexp_matches(t, {dec}) THEN concat({char(digits)}, regexp_replace(t, {dec}, '')) "
+             f"WHEN regexp_matches(t, {hx}) THEN concat({char(f"concat('0x', {hex_digits})")}, "
              f"regexp_replace(t, {hx}, '')) ELSE concat('&#', t) END")
     parts = f"string_split({x}, '&#')"
     return (f"(CASE WHEN contains({x}, '&#') THEN concat({parts}[1], array_to_string(list_transform("
@@ -248,7 +256,7 @@ def element_text(html, tag, space_to=" ", cls=None):
     s = rx(s, r"\n+", "\n")
     s = rx(s, " +", space_to)
     s = rx(s, r"^\s+|\s+$", "")
-    return f"(CASE WHEN regexp_matches({html}, {q('<' + tag + r'[\s>]')}) THEN {s} END)"
+    return f"(CASE WHEN regexp_matches({html}, {q(P.element_pattern(tag, cls))}) THEN {s} END)"
 
 
 def attribute(html, tag, attr):
@@ -411,6 +419,8 @@ def build() -> dict[str, str]:
                           f"FROM results GROUP BY suite")
 
     o["link_extract"] = f"WITH {LINKS} SELECT page_id, href, link FROM links"
+    o["csv_roundtrip"] = BRONZE_SQL["books"]
+    o["text_roundtrip"] = f"WITH {LINKS} SELECT DISTINCT link AS url FROM links WHERE link <> ''"
     o["link_frontier_distinct"] = f"WITH {LINKS} SELECT DISTINCT link FROM links"
     o["html_first_element_text"] = (f"SELECT page_id, {element_text('html', 'title')} AS title, "
                                     f"{element_text('html', 'h1')} AS h1 FROM pages")

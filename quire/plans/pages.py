@@ -49,21 +49,32 @@ PUBLISHER_URL_PREFIX = r"/publisher/"
 # ---------------------------------------------------------------------------
 
 
-DEC_REF = r"^([0-9]{1,7});"
-HEX_REF = r"^[xX]([0-9a-fA-F]{1,6});"
+DEC_REF = r"^0*([0-9]+);"
+HEX_REF = r"^[xX]0*([0-9a-fA-F]+);"
+# fixed values: what references to the C1 controls 0x80-0x9F stand for in HTML
+C1_NUMBERS = "".join(map(chr, [0x80, *range(0x82, 0x8D), 0x8E, *range(0x91, 0x9D), 0x9E, 0x9F]))
+C1_MEANT = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
 
 
-def _code_point(hex_digits: Column) -> Column:
-    """The character of a code point given in hex, decoded natively (UTF-32)."""
-    return F.decode(F.unhex(F.lpad(hex_digits, 8, "0")), "UTF-32")
+def _code_point(number: Column) -> Column:
+    """The character of a code point, decoded natively (UTF-32). Zero, surrogates
+    and numbers beyond Unicode (or too long to be one: null) are U+FFFD."""
+    good = F.when(number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF), number)
+    char = F.decode(F.unhex(F.lpad(F.hex(F.coalesce(good, F.lit(0xFFFD))), 8, "0")), "UTF-32")
+    return F.translate(char, C1_NUMBERS, C1_MEANT)
+
+
+def _number(digits: Column, base: int) -> Column:
+    """Value of up to 8 digits; null for more."""
+    return F.when(F.length(digits) <= 8, F.conv(digits, base, 10).try_cast("long"))
 
 
 def _after_ref(t: Column) -> Column:
     """One piece of text that followed '&#': decode its leading reference."""
     dec = F.regexp_extract(t, DEC_REF, 1)
     hx = F.regexp_extract(t, HEX_REF, 1)
-    return (F.when(dec != "", F.concat(_code_point(F.hex(dec.cast("long"))), F.regexp_replace(t, DEC_REF, "")))
-            .when(hx != "", F.concat(_code_point(hx), F.regexp_replace(t, HEX_REF, "")))
+    return (F.when(dec != "", F.concat(_code_point(_number(dec, 10)), F.regexp_replace(t, DEC_REF, "")))
+            .when(hx != "", F.concat(_code_point(_number(hx, 16)), F.regexp_replace(t, HEX_REF, "")))
             .otherwise(F.concat(F.lit("&#"), t)))
 
 
@@ -95,9 +106,9 @@ ANCHOR_TAG = r"<a\s[^>]*>"
 
 
 def class_pattern(cls: str) -> str:
-    """Regex matching a class attribute whose class list holds `cls` (the
-    attribute name starts after whitespace, so `subclass=` does not count)."""
-    return r"\sclass=" + QUOTE + UNQUOTED + r"*\b" + cls + r"\b" + UNQUOTED + r"*" + QUOTE
+    """Regex matching a class attribute whose class list holds `cls` as a whole
+    token: `bc-rating` is not in `bc-rating-medium`, and `subclass=` is not `class=`."""
+    return r"\sclass=" + QUOTE + r"(?:" + UNQUOTED + r"*\s)?" + cls + r"(?:\s" + UNQUOTED + r"*)?" + QUOTE
 
 
 def value_pattern(name: str, value_regex: str = UNQUOTED + "*") -> str:
@@ -150,7 +161,7 @@ def element_text(html, tag: str, cls: str | None = None, space_to: str = " ") ->
     newline and space runs squeezed, trimmed (K2, I18). NULL when absent."""
     inner = element_html(html, tag, cls)
     text = C.squeeze_whitespace(unescape(strip_tags(inner)), space_to)
-    return F.when(F.regexp_like(C.as_col(html), F.lit(r"<" + tag + r"[\s>]")), text)
+    return F.when(F.regexp_like(C.as_col(html), F.lit(element_pattern(tag, cls))), text)
 
 
 def attribute(html, tag: str, attr: str) -> Column:

@@ -19,7 +19,7 @@ CSV_NULL_MARKER = "\u0000"
 # back as `nullValue`, quoted "" as ''; a marker that never occurs in text
 # keeps the two apart.
 STAGED_CSV_READ = {"header": "false", "multiLine": "true", "quote": '"', "escape": '"',
-                   "encoding": "UTF-8", "nullValue": CSV_NULL_MARKER}
+                   "encoding": "UTF-8", "nullValue": CSV_NULL_MARKER, "lineSep": "\n"}
 
 
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,
@@ -64,8 +64,10 @@ def read_staged_csv(spark: SparkSession, path: str, entity: str) -> DataFrame:
 
 def write_staged_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Headerless CSV sink (B3): quotes doubled, NULL written empty and ''
-    written quoted so that the reader tells them apart."""
-    df.write.mode(mode).option("header", False).option("quote", '"').option("escape", '"').csv(path)
+    written quoted so that the reader tells them apart; blanks at the edges of a
+    value and CRLF inside one stay as they are."""
+    df.write.mode(mode).options(header="false", quote='"', escape='"', ignoreLeadingWhiteSpace="false",
+                                ignoreTrailingWhiteSpace="false").csv(path)
 
 
 def read_links(spark: SparkSession, path: str) -> DataFrame:

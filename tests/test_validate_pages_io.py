@@ -339,3 +339,24 @@ def test_read_or_empty_on_first_run(spark, scratch):
     from quire.sources.schemas import BRONZE
     df = io.read_or_empty(spark, f"{scratch}/nothing-here", BRONZE["publishers"])
     assert df.count() == 0 and df.columns == BRONZE["publishers"].names
+
+
+def test_csv_round_trip_keeps_edge_blanks_and_crlf(spark, scratch):
+    rows = [{"authorid": "1", "name": "  x  ", "originalname": "a\r\nb", "liked": " ", "neutral": "c\nd",
+             "disliked": "", "favorite": None, "reading": "e\r"}]
+    df = bronze_frame(spark, "authors", rows)
+    io.write_staged_csv(df, f"{scratch}/authors")
+    assert io.read_staged_csv(spark, f"{scratch}/authors", "authors").collect() == df.collect()
+
+
+def test_bad_character_references_never_fail(spark):
+    html = "<h1>&#9999999; &#xD800; &#0; &#151; &#x97; &#000000041; &#x0000000041; &#99999999999999999999; &#x; &#;</h1>"
+    got = spark.createDataFrame([(html,)], "html string").select(P.element_text("html", "h1")).first()[0]
+    assert got == "\ufffd \ufffd \ufffd \u2014 \u2014 ) A \ufffd &#x; &#;"
+
+
+def test_classes_match_as_whole_tokens(spark):
+    html = '<div class="bc-rating-medium">WRONG</div><div class="a bc-rating b">4,5</div><div class="x">y</div>'
+    one = spark.createDataFrame([(html,)], "html string")
+    assert one.select(P.element_text("html", "div", "bc-rating")).first()[0] == "4,5"
+    assert one.select(P.element_text("html", "div", "bc-info")).first()[0] is None
