@@ -513,7 +513,7 @@ def silver_publishers_from_pages(spark, d):
     return silver.publishers(recs)
 
 
-# --- file sources and sinks (rows-only: a file round trip has no SQL twin) --------
+# --- file sources and sinks --------
 
 def _scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's shared checkpoint folder."""
