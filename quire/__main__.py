@@ -27,7 +27,7 @@ def staged_batches(spark, sf_dir: str, from_pages: bool) -> dict:
     if not from_pages:
         return {e: bronze(spark, sf_dir, e) for e in daily.ENTITIES}
     return {
-        "books": P.book_records(blocks.book_pages(spark, sf_dir)).where(F.col("id").isNotNull()),
+        "books": P.accepted_books(blocks.book_pages(spark, sf_dir)),
         "authors": P.author_records(blocks.author_pages(spark, sf_dir)).where(F.col("authorid").isNotNull()),
         "publishers": P.publisher_records(blocks.publisher_pages(spark, sf_dir)).where(F.col("books").isNotNull()),
     }

@@ -8,13 +8,63 @@ bronze views, information blocks and expectation specs are shared text/data.
 
 from __future__ import annotations
 
-from quire.functions import cleaning as C
 from quire.operators import validate as V
-from quire.plans import pages as P
 from quire.sources import blocks
 from quire.sources.bronze_views import BRONZE_SQL
 
 
+# --- fixed values, written out here so that no rule comes from the engine -------
+BOOK_COUNT_NOISE_REGEX = r"\(|\)|Книги"
+DEFAULT_AGE = "13"
+DEFAULT_GENRE = "Проза"
+DEFAULT_ISBN = "unknown"
+DEFAULT_LANGUAGE_CYRILLIC = "Русский"
+DEFAULT_ORIGINALNAME = "unknown"
+DEFAULT_PAGE = "none"
+DEFAULT_SERIES = "Standalone"
+DEFAULT_SIZE = "130x200"
+DEFAULT_TRANSLATOR = "unknown"
+HARD_COVER_WORDS = ["твёрдая", "твердый", "твёрдый", "твердая"]
+LIST_BRACKETS_REGEX = r"\[|\]"
+PAGES_OUTLIER = 10000
+PARENS_REGEX = r"\(|\)"
+SENTINEL = "null"
+SENTINEL_LIST = "['null']"
+SIZE_NOISE_REGEX = r"\.|\,|\-|\~|\;|мм|mm"
+SIZE_TIMES_CLASS = r"[XХх×*]"
+SIZE_TIMES_LITERAL = r"XХх×\*"
+SOFT_COVER_WORDS = ["мягкая", "мягкий"]
+TRANSLATOR_AND_CORRECTED = ", "
+TRANSLATOR_AND_REFERENCE = ",s"
+TRANSLATOR_AND_REGEX = r"\sи\s"
+TRANSLATOR_NOISE_REGEX = r"\d|\-|стр\.|роман"
+ISBN_LINE = r"ISBN: [-X0-9]{10,18}.+"
+ISBN_NUMBER = r"[-X0-9]{10,18}"
+YEAR_LABEL = r"(?:^|[^\p{L}\p{N}_])Год.издания: (\d+)"
+PAGES_PATTERNS = [r"Количество.страниц.*\d+", r"Страниц.+\d+", r"\d+.стр", r"Кол-во.страниц.*\d+"]
+COPIES_LABEL = r"Тираж.? ((?:\d+[\s\x{00A0}]?)+)"
+SIZE_PATTERNS = [r"Формат: .+", r"Размер: .+"]
+SIZE_LABELS = r"Возрастные ограничения: .+|Формат:|Размер:"
+COVER_LINE = r"Тип обложки: .+|\n.+[Пп]ереплет.+|\n.+[Оо]бложка.+"
+COVER_WORD = r"[Мм]ягкий|[Мм]ягкая|[Тт]в[её]рдый|[Тт]в[её]рдая"
+LANGUAGE_LABEL = r"Язык: \n (.+)"
+AGE_LABEL = r"Возрастные.ограничения: (\d+)"
+GENRES_BETWEEN = r"(?s)Жанры:(.*?)Теги:"
+GENRES_NOISE = r" \n |\n|№\d+в"
+TRANSLATOR_LABEL = r"Перевод[чик]*[и]*: (.+)"
+STAT_LINES = {"haveread": 0, "planned": 2, "reviews": 4, "quotes": 7}
+C1_NUMBERS = "".join(map(chr, [0x80, *range(0x82, 0x8D), 0x8E, *range(0x91, 0x9D), 0x9E, 0x9F]))
+C1_MEANT = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&laquo;", "«"), ("&raquo;", "»"), ("&amp;", "&")]
+COUNTERS = {"liked": "Писатель понравился", "neutral": "Отнеслись нейтрально",
+            "disliked": "Писатель не понравился", "favorite": "Почитатели творчества", "reading": "Читателей"}
+BOOKS_LABEL = "Книги ("
+FOUNDED_LABEL = "Год основания: "
+ANCHOR = r"<a\s[^>]*>"
+HREF = r"\shref=[\"']?([^\"'\s>]*)"
+# ---------------------------------------------------------------------------------
+
+
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -53,29 +103,29 @@ def rx(x, pattern, repl):
 
 
 def strip_list(x):
-    return f"replace({rx(x, C.LIST_BRACKETS_REGEX, '')}, '''', '')"
+    return f"replace({rx(x, LIST_BRACKETS_REGEX, '')}, '''', '')"
 
 
 def cover(x):
-    soft = ", ".join(q(w) for w in C.SOFT_COVER_WORDS)
-    hard = ", ".join(q(w) for w in C.HARD_COVER_WORDS)
+    soft = ", ".join(q(w) for w in SOFT_COVER_WORDS)
+    hard = ", ".join(q(w) for w in HARD_COVER_WORDS)
     return (f"(CASE WHEN {x} = 'null' THEN 'S' WHEN lower({x}) IN ({soft}) THEN 'S' "
             f"WHEN lower({x}) IN ({hard}) THEN 'H' ELSE {x} END)")
 
 
 def size(x, corrected=False):
-    s = s_def(x, C.DEFAULT_SIZE)
-    s = rx(s, C.SIZE_NOISE_REGEX, "")
+    s = s_def(x, DEFAULT_SIZE)
+    s = rx(s, SIZE_NOISE_REGEX, "")
     s = f"replace({s}, ' ', '')"
-    s = rx(s, C.SIZE_TIMES_CLASS if corrected else C.SIZE_TIMES_LITERAL, "x")
+    s = rx(s, SIZE_TIMES_CLASS if corrected else SIZE_TIMES_LITERAL, "x")
     s = rx(s, r".+\(", "")
     return rx(s, r"\).*", "")
 
 
 def translator(x, corrected=False):
-    s = strip_list(s_def(x, C.DEFAULT_TRANSLATOR))
-    s = rx(s, C.TRANSLATOR_NOISE_REGEX, "")
-    return rx(s, C.TRANSLATOR_AND_REGEX, C.TRANSLATOR_AND_CORRECTED if corrected else C.TRANSLATOR_AND_REFERENCE)
+    s = strip_list(s_def(x, DEFAULT_TRANSLATOR))
+    s = rx(s, TRANSLATOR_NOISE_REGEX, "")
+    return rx(s, TRANSLATOR_AND_REGEX, TRANSLATOR_AND_CORRECTED if corrected else TRANSLATOR_AND_REFERENCE)
 
 
 def rating(x):
@@ -84,12 +134,12 @@ def rating(x):
 
 
 def genres(x):
-    return strip_list(s_def(x, C.DEFAULT_GENRE, sentinel=C.SENTINEL_LIST))
+    return strip_list(s_def(x, DEFAULT_GENRE, sentinel=SENTINEL_LIST))
 
 
 def language(lang, title):
     n = s_null(lang)
-    return f"(CASE WHEN {n} IS NULL AND regexp_matches({title}, '\\p{{Cyrillic}}') THEN {q(C.DEFAULT_LANGUAGE_CYRILLIC)} ELSE {n} END)"
+    return f"(CASE WHEN {n} IS NULL AND regexp_matches({title}, '\\p{{Cyrillic}}') THEN {q(DEFAULT_LANGUAGE_CYRILLIC)} ELSE {n} END)"
 
 
 def order_all(cols):
@@ -134,16 +184,16 @@ def silver_books_ctes(corrected: bool = False) -> str:
            f"avg({int_len(p_raw)}) OVER (PARTITION BY authorid) AS p_auth FROM once)")
     year = (f"(CASE WHEN editionyear = 'null' OR editionyear IS NULL THEN coalesce(y_pub, y_auth) "
             f"ELSE CAST(y_num AS DOUBLE) END)")
-    pages = (f"(CASE WHEN p_raw IS NULL OR p_num > {C.PAGES_OUTLIER} THEN "
+    pages = (f"(CASE WHEN p_raw IS NULL OR p_num > {PAGES_OUTLIER} THEN "
              f"coalesce(p_auth, CAST({trunc_int('(SELECT med FROM medv)')} AS DOUBLE)) ELSE {dbl('p_raw')} END)")
     cleaned = f"""cleaned AS (SELECT {first_int('id')} AS id, booktitle, author, {first_int('authorid')} AS authorid,
-      {strip_list(s_def('isbn', C.DEFAULT_ISBN))} AS isbn, {trunc_int(year)} AS editionyear,
+      {strip_list(s_def('isbn', DEFAULT_ISBN))} AS isbn, {trunc_int(year)} AS editionyear,
       {trunc_int(pages)} AS pages, {size('size', corrected)} AS size, {cover('covertype')} AS covertype,
       {language('language', 'booktitle')} AS language, {s_null('copiesissued')} AS copiesissued,
-      {int_len(s_def('agerestrictions', C.DEFAULT_AGE))} AS agerestrictions, {genres('genres')} AS genres,
+      {int_len(s_def('agerestrictions', DEFAULT_AGE))} AS agerestrictions, {genres('genres')} AS genres,
       {translator('translatorname', corrected)} AS translatorname, {rating('rating')} AS rating,
       {', '.join(f"{int_len(s_def(c, '0'))} AS {c}" for c in ('haveread', 'planned', 'reviews', 'quotes'))},
-      {s_def('series', C.DEFAULT_SERIES)} AS series, {first_int('publisherid')} AS publisherid FROM num)"""
+      {s_def('series', DEFAULT_SERIES)} AS series, {first_int('publisherid')} AS publisherid FROM num)"""
     return (f"medv AS ({MEDIAN}), {books_once_ctes()}, {num}, {cleaned}, "
             f"silver_books AS ({dedupe('cleaned', 'id', BOOK_COLS)})")
 
@@ -151,7 +201,7 @@ def silver_books_ctes(corrected: bool = False) -> str:
 def silver_authors_ctes() -> str:
     counters = ", ".join(f"{int_len(s_def(c, '0'))} AS {c}" for c in AUTHOR_COLS[3:])
     typed = (f"SELECT {first_int('authorid')} AS authorid, name, "
-             f"{e_def('originalname', C.DEFAULT_ORIGINALNAME)} AS originalname, {counters} FROM a_once")
+             f"{e_def('originalname', DEFAULT_ORIGINALNAME)} AS originalname, {counters} FROM a_once")
     return (f"a_once AS ({dedupe('ba', 'authorid', AUTHOR_COLS)}), a_typed AS ({typed}), "
             f"silver_authors AS ({dedupe('a_typed', 'authorid', AUTHOR_COLS)})")
 
@@ -159,10 +209,10 @@ def silver_authors_ctes() -> str:
 def silver_publishers_ctes() -> str:
     mean = f"(SELECT {trunc_int(f"avg({dbl('years')})")} FROM p_once)"
     typed = (f"SELECT {first_int('publisherid')} AS publisherid, {rx('name', '«|»|Издательство', '')} AS name, "
-             f"{int_len(rx('books', C.BOOK_COUNT_NOISE_REGEX, ''))} AS books, "
+             f"{int_len(rx('books', BOOK_COUNT_NOISE_REGEX, ''))} AS books, "
              f"(CASE WHEN years IS NULL THEN {mean} ELSE {int_len('years')} END) AS years, "
-             f"{s_def('page', C.DEFAULT_PAGE)} AS page, "
-             f"{int_len(f"coalesce({rx('favorite', C.PARENS_REGEX, '')}, '0')")} AS favorite FROM p_once")
+             f"{s_def('page', DEFAULT_PAGE)} AS page, "
+             f"{int_len(f"coalesce({rx('favorite', PARENS_REGEX, '')}, '0')")} AS favorite FROM p_once")
     return (f"p_once AS ({dedupe('bp', 'publisherid', PUB_COLS)}), p_typed AS ({typed}), "
             f"silver_publishers AS ({dedupe('p_typed', 'publisherid', PUB_COLS)})")
 
@@ -230,7 +280,7 @@ def decode_char_refs(x):
         n = f"TRY_CAST({number} AS BIGINT)"
         plain = (f"CASE WHEN {n} BETWEEN 1 AND 55295 OR {n} BETWEEN 57344 AND 1114111 THEN chr(CAST({n} AS INTEGER)) "
                  f"ELSE chr(65533) END")
-        return f"translate({plain}, {q(P.C1_NUMBERS)}, {q(P.C1_MEANT)})"
+        return f"translate({plain}, {q(C1_NUMBERS)}, {q(C1_MEANT)})"
 
     dec, hx = "'^[0-9]+;'", "'^[xX][0-9a-fA-F]+;'"
     digits = "ltrim(string_split(t, ';')[1], '0')"
@@ -245,22 +295,23 @@ def decode_char_refs(x):
 
 def unescape(x):
     s = decode_char_refs(x)
-    for ent, ch in P.ENTITIES:
+    for ent, ch in ENTITIES:
         s = f"replace({s}, {q(ent)}, {q(ch)})"
     return f"(CASE WHEN contains({x}, '&') THEN {s} ELSE {x} END)"
 
 
-def element_text(html, tag, space_to=" ", cls=None):
-    inner = f"regexp_extract({html}, {q(P.element_pattern(tag, cls))}, 1)"
-    s = unescape(rx(inner, "<[^>]+>", ""))
+def seen(html):
+    """The page without comments, scripts and style sheets."""
+    return rx(html, r"(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>", "")
+
+
+def first_text(html, pattern, space_to=" "):
+    """Text of group 1 of `pattern` on the seen page; null without a match."""
+    s = unescape(rx(f"regexp_extract({seen(html)}, {q(pattern)}, 1)", "<[^>]+>", ""))
     s = rx(s, r"\n+", "\n")
     s = rx(s, " +", space_to)
     s = rx(s, r"^\s+|\s+$", "")
-    return f"(CASE WHEN regexp_matches({html}, {q(P.element_pattern(tag, cls))}) THEN {s} END)"
-
-
-def attribute(html, tag, attr):
-    return f"regexp_extract({html}, {q(P.attribute_pattern(tag, attr))}, 1)"
+    return f"(CASE WHEN regexp_matches({seen(html)}, {q(pattern)}) THEN {s} END)"
 
 
 LINKS = f"""links AS (
@@ -268,8 +319,8 @@ LINKS = f"""links AS (
     CASE WHEN regexp_matches(href, '^[a-z]+://') THEN href
          WHEN starts_with(href, '//') THEN concat(regexp_extract(url, '^[a-z]+:', 0), href) WHEN starts_with(href, '/') THEN concat(regexp_extract(url, '^[a-z]+://[^/]+', 0), href)
          ELSE href END AS link
-  FROM (SELECT page_id, url, regexp_extract(tag, {q(P.value_pattern("href"))}, 1) AS href
-        FROM (SELECT page_id, url, unnest(regexp_extract_all(html, {q(P.ANCHOR_TAG)}, 0)) AS tag FROM pages))
+  FROM (SELECT page_id, url, regexp_extract(tag, {q(HREF)}, 1) AS href
+        FROM (SELECT page_id, url, unnest(regexp_extract_all({seen('html')}, {q(ANCHOR)}, 0)) AS tag FROM pages))
   WHERE href <> '')"""
 
 
@@ -290,21 +341,21 @@ def drop_nbsp(x):
 
 
 def info_fields(x):
-    isbn_line = f"regexp_extract({x}, {q(P.ISBN_LINE)}, 0)"
-    genre_block = f"regexp_extract({x}, {q(P.GENRES_BETWEEN)}, 1)"
-    genre_clean = rx(drop_nbsp(genre_block), P.GENRES_NOISE, "")
-    trans = f"trim(regexp_extract({x}, {q(P.TRANSLATOR_LABEL)}, 1))"
-    size_hit = f"coalesce({first_match(x, P.SIZE_PATTERNS)}, '')"
+    isbn_line = f"regexp_extract({x}, {q(ISBN_LINE)}, 0)"
+    genre_block = f"regexp_extract({x}, {q(GENRES_BETWEEN)}, 1)"
+    genre_clean = rx(drop_nbsp(genre_block), GENRES_NOISE, "")
+    trans = f"trim(regexp_extract({x}, {q(TRANSLATOR_LABEL)}, 1))"
+    size_hit = f"coalesce({first_match(x, SIZE_PATTERNS)}, '')"
     return {
-        "isbn": f"(CASE WHEN {isbn_line} <> '' THEN {py_list(f'regexp_extract_all({isbn_line}, {q(P.ISBN_NUMBER)}, 0)')} ELSE 'null' END)",
-        "editionyear": or_sentinel(f"regexp_extract({x}, {q(P.YEAR_LABEL)}, 1)"),
-        "pages": or_sentinel(f"regexp_extract(coalesce({first_match(x, P.PAGES_PATTERNS)}, ''), '\\d+', 0)"),
-        "size": or_sentinel(f"trim({rx(size_hit, P.SIZE_LABELS, '')})"),
-        "covertype": or_sentinel(f"regexp_extract(regexp_extract({x}, {q(P.COVER_LINE)}, 0), {q(P.COVER_WORD)}, 0)"),
-        "language": or_sentinel(f"trim(regexp_extract({x}, {q(P.LANGUAGE_LABEL)}, 1))"),
-        "copiesissued": or_sentinel(f"trim(regexp_extract({x}, {q(P.COPIES_LABEL)}, 1))"),
-        "agerestrictions": or_sentinel(f"regexp_extract({x}, {q(P.AGE_LABEL)}, 1)"),
-        "genres": py_list(f"(CASE WHEN regexp_matches({x}, {q(P.GENRES_BETWEEN)}) THEN string_split({genre_clean}, ',') ELSE ['null'] END)"),
+        "isbn": f"(CASE WHEN {isbn_line} <> '' THEN {py_list(f'regexp_extract_all({isbn_line}, {q(ISBN_NUMBER)}, 0)')} ELSE 'null' END)",
+        "editionyear": or_sentinel(f"regexp_extract({x}, {q(YEAR_LABEL)}, 1)"),
+        "pages": or_sentinel(f"regexp_extract(coalesce({first_match(x, PAGES_PATTERNS)}, ''), '\\d+', 0)"),
+        "size": or_sentinel(f"trim({rx(size_hit, SIZE_LABELS, '')})"),
+        "covertype": or_sentinel(f"regexp_extract(regexp_extract({x}, {q(COVER_LINE)}, 0), {q(COVER_WORD)}, 0)"),
+        "language": or_sentinel(f"trim(regexp_extract({x}, {q(LANGUAGE_LABEL)}, 1))"),
+        "copiesissued": or_sentinel(f"trim(regexp_extract({x}, {q(COPIES_LABEL)}, 1))"),
+        "agerestrictions": or_sentinel(f"regexp_extract({x}, {q(AGE_LABEL)}, 1)"),
+        "genres": py_list(f"(CASE WHEN regexp_matches({x}, {q(GENRES_BETWEEN)}) THEN string_split({genre_clean}, ',') ELSE ['null'] END)"),
         "translatorname": f"(CASE WHEN {trans} <> '' THEN {py_list(f'string_split({trans}, chr(44))')} ELSE 'null' END)",
     }
 
@@ -320,14 +371,14 @@ def build() -> dict[str, str]:
     bb = with_bronze("books")
     o["sentinel_to_null"] = f"{bb} SELECT id, " + ", ".join(
         f"{s_null(c)} AS {c}" for c in ("pages", "language", "copiesissued", "publisherid")) + " FROM bb"
-    o["sentinel_to_default"] = (f"{bb} SELECT id, {s_def('isbn', C.DEFAULT_ISBN)} AS isbn, "
-                                f"{s_def('series', C.DEFAULT_SERIES)} AS series, "
-                                f"{s_def('agerestrictions', C.DEFAULT_AGE)} AS agerestrictions, "
-                                f"{s_def('translatorname', C.DEFAULT_TRANSLATOR)} AS translatorname FROM bb")
+    o["sentinel_to_default"] = (f"{bb} SELECT id, {s_def('isbn', DEFAULT_ISBN)} AS isbn, "
+                                f"{s_def('series', DEFAULT_SERIES)} AS series, "
+                                f"{s_def('agerestrictions', DEFAULT_AGE)} AS agerestrictions, "
+                                f"{s_def('translatorname', DEFAULT_TRANSLATOR)} AS translatorname FROM bb")
     o["empty_to_default"] = (f"{with_bronze('authors')} SELECT authorid, "
-                             f"{e_def('originalname', C.DEFAULT_ORIGINALNAME)} AS originalname FROM ba")
+                             f"{e_def('originalname', DEFAULT_ORIGINALNAME)} AS originalname FROM ba")
     o["null_to_default"] = (f"{with_bronze('publishers')} SELECT publisherid, "
-                            f"coalesce({rx('favorite', C.PARENS_REGEX, '')}, '0') AS favorite, "
+                            f"coalesce({rx('favorite', PARENS_REGEX, '')}, '0') AS favorite, "
                             f"coalesce(years, 'unknown') AS years FROM bp")
     o["drop_all_null"] = (f"{bb}, k AS (SELECT id, {s_null('publisherid')} AS publisherid FROM bb) "
                           f"SELECT id, publisherid FROM k WHERE publisherid IS NOT NULL")
@@ -349,11 +400,11 @@ def build() -> dict[str, str]:
     o["impute_year_by_group"] = (
         f"{bb}, {books_once_ctes()}, w AS (SELECT *, avg({y}) OVER (PARTITION BY publisherid) AS y_pub, "
         f"avg({y}) OVER (PARTITION BY authorid) AS y_auth FROM once) "
-        f"SELECT id, publisherid, authorid, {trunc_int(f'(CASE WHEN editionyear = {q(C.SENTINEL)} OR editionyear IS NULL THEN coalesce(y_pub, y_auth) ELSE CAST({y} AS DOUBLE) END)')} AS editionyear FROM w")
+        f"SELECT id, publisherid, authorid, {trunc_int(f'(CASE WHEN editionyear = {q(SENTINEL)} OR editionyear IS NULL THEN coalesce(y_pub, y_auth) ELSE CAST({y} AS DOUBLE) END)')} AS editionyear FROM w")
     p_raw = s_null("pages")
     o["impute_pages_by_group_median"] = (
         f"{bb}, medv AS ({MEDIAN}), {books_once_ctes()}, w AS (SELECT *, avg({int_len(p_raw)}) OVER (PARTITION BY authorid) AS p_auth FROM once) "
-        f"SELECT id, authorid, {trunc_int(f'(CASE WHEN {p_raw} IS NULL OR {int_len(p_raw)} > {C.PAGES_OUTLIER} THEN coalesce(p_auth, CAST({trunc_int('(SELECT med FROM medv)')} AS DOUBLE)) ELSE {dbl(p_raw)} END)')} AS pages FROM w")
+        f"SELECT id, authorid, {trunc_int(f'(CASE WHEN {p_raw} IS NULL OR {int_len(p_raw)} > {PAGES_OUTLIER} THEN coalesce(p_auth, CAST({trunc_int('(SELECT med FROM medv)')} AS DOUBLE)) ELSE {dbl(p_raw)} END)')} AS pages FROM w")
     o["impute_global_mean"] = (
         f"{with_bronze('publishers')}, p_once AS ({dedupe('bp', 'publisherid', PUB_COLS)}) "
         f"SELECT publisherid, (CASE WHEN years IS NULL THEN (SELECT {trunc_int(f"avg({dbl('years')})")} FROM p_once) "
@@ -422,34 +473,35 @@ def build() -> dict[str, str]:
     o["csv_roundtrip"] = BRONZE_SQL["books"]
     o["text_roundtrip"] = f"WITH {LINKS} SELECT DISTINCT link AS url FROM links WHERE link <> ''"
     o["link_frontier_distinct"] = f"WITH {LINKS} SELECT DISTINCT link FROM links"
-    o["html_first_element_text"] = (f"SELECT page_id, {element_text('html', 'title')} AS title, "
-                                    f"{element_text('html', 'h1')} AS h1 FROM pages")
-    o["html_attribute"] = (f"SELECT page_id, {attribute('html', 'html', 'lang')} AS lang, "
-                           f"{attribute('html', 'a', 'href')} AS first_href FROM pages")
+    o["html_first_element_text"] = (f"SELECT page_id, {first_text('html', '(?s)<title>(.*?)</title>')} AS title, "
+                                    f"{first_text('html', '(?s)<h1>(.*?)</h1>')} AS h1 FROM pages")
+    o["html_attribute"] = (f"SELECT page_id, regexp_extract(html, '<html lang=\"([^\"]*)\"', 1) AS lang, "
+                           f"regexp_extract({seen('html')}, '<a href=\"([^\"]*)\"', 1) AS first_href FROM pages")
     o["id_from_url"] = "SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]+/[a-z]{2}/([^-/?#]*)', 1) AS url_id FROM pages"
     f = info_fields("info")
     o["labelled_field_cascade"] = (f"WITH b AS ({blocks.INFO_SQL}) SELECT book_key, "
                                    + ", ".join(f"{v} AS {k}" for k, v in f.items()) + " FROM b")
-    found = f"regexp_extract_all(regexp_extract(info, {q(P.ISBN_LINE)}, 0), {q(P.ISBN_NUMBER)}, 0)"
+    found = f"regexp_extract_all(regexp_extract(info, {q(ISBN_LINE)}, 0), {q(ISBN_NUMBER)}, 0)"
     o["regex_all_matches"] = (f"WITH b AS ({blocks.INFO_SQL}) SELECT book_key, array_to_string({found}, ',') AS isbns, "
                               f"len({found}) AS n_isbn FROM b")
-    stats = ", ".join(f"{nth('stat_block', i)} AS {c}" for c, i in P.STAT_LINES.items())
+    stats = ", ".join(f"{nth('stat_block', i)} AS {c}" for c, i in STAT_LINES.items())
     o["nth_line"] = (f"WITH b AS ({blocks.STAT_SQL}) SELECT book_key, {nth('rating_block', 0)} AS rating, {stats}, "
                      f"coalesce({rx(nth('edition_block', 1, None), r'^\s+|\s+$', '')}, 'null') AS series FROM b")
     recs = book_records_sql()
     o["book_pages_to_bronze"] = f"WITH {recs} SELECT * FROM recs"
     o["book_pages_to_bronze_parsed"] = o["book_pages_to_bronze"]
+    o["book_page_rejects"] = f"WITH {recs} SELECT * FROM broken"
     o["listing_book_frontier"] = (
         f"WITH part_pages AS ({blocks.LISTING_PAGE_SQL.replace("array_join(array_sort(collect_list(item)), '')", "array_to_string(list_sort(list(item)), '')")}), "
-        f"tags AS (SELECT url, unnest(regexp_extract_all(html, {q(P.ANCHOR_TAG)}, 0)) AS tag FROM part_pages), "
-        f"hrefs AS (SELECT url, regexp_extract(tag, {q(P.value_pattern('href'))}, 1) AS href FROM tags "
-        f"WHERE regexp_matches(tag, {q(P.class_pattern(P.LISTING_ITEM_CLASS))})), "
+        f"tags AS (SELECT url, unnest(regexp_extract_all(html, {q(ANCHOR)}, 0)) AS tag FROM part_pages), "
+        f"hrefs AS (SELECT url, regexp_extract(tag, {q(HREF)}, 1) AS href FROM tags "
+        f"WHERE regexp_matches(tag, {q('class="book-item__link"')})), "
         "lk AS (SELECT DISTINCT CASE WHEN regexp_matches(href, '^[a-z]+://') THEN href "
         "WHEN starts_with(href, '//') THEN concat(regexp_extract(url, '^[a-z]+:', 0), href) WHEN starts_with(href, '/') THEN concat(regexp_extract(url, '^[a-z]+://[^/]+', 0), href) ELSE href END AS link "
         "FROM hrefs WHERE href <> '') "
         "SELECT link AS url, regexp_extract(link, '/book/([^-/?#]*)', 1) AS book_id FROM lk")
-    o["html_class_text"] = f"SELECT page_id, {element_text('html', 'div', cls='ad')} AS ad_text FROM pages"
-    o["silver_books_from_pages"] = (f"WITH {recs}, bb AS (SELECT * FROM recs WHERE id IS NOT NULL), "
+    o["html_class_text"] = f"SELECT page_id, {first_text('html', '(?s)<div class="ad">(.*?)</div>')} AS ad_text FROM pages"
+    o["silver_books_from_pages"] = (f"WITH {recs}, bb AS (SELECT * FROM recs), "
                                     f"{silver_books_ctes()} SELECT * FROM silver_books")
     return o
 
@@ -459,70 +511,67 @@ PUBLISHER_ID = "regexp_extract(ph, '/publisher/([^-/?#]*)', 1)"
 
 
 def book_records_sql() -> str:
-    """CTE `recs`: one bronze books row per rendered book page."""
+    """CTEs `found` (every rendered book page), `recs` (the accepted ones) and
+    `broken`. Blocks are cut by the layout of the rendered pages, not by nesting."""
     f = info_fields("info")
-    def anchor_href(cls, must_contain=None):
-        tags = (f"list_filter(regexp_extract_all(html, {q(P.ANCHOR_TAG)}, 0), "
-                f"lambda t: regexp_matches(t, {q(P.class_pattern(cls))}))")
-        hrefs = f"list_transform({tags}, lambda t: regexp_extract(t, {q(P.value_pattern('href'))}, 1))"
-        if must_contain is not None:
-            hrefs = f"list_filter({hrefs}, lambda x: contains(x, {q(must_contain)}))"
-        return f"coalesce({hrefs}[1], '')"
-    b = P.BOOK_BLOCKS
-    blocks_sel = (f"SELECT url, html, {element_text('html', b['info'][0], cls=b['info'][1])} AS info, "
-                  f"{element_text('html', b['rating'][0], cls=b['rating'][1])} AS rb, "
-                  f"{element_text('html', b['stat'][0], space_to='', cls=b['stat'][1])} AS sb, "
-                  f"{element_text('html', b['edition'][0], cls=b['edition'][1])} AS eb, "
-                  f"{anchor_href(P.AUTHOR_LINK_CLASS)} AS ah, "
-                  f"{anchor_href(P.EDITION_LINK_CLASS, 'publisher')} AS ph FROM pg")
-    stats = ", ".join(f"{nth('sb', i)} AS {c}" for c, i in P.STAT_LINES.items())
-    fields = ", ".join(f"{f[c]} AS {c}" for c in ("isbn", "editionyear", "pages", "size", "covertype",
-                                                  "language", "copiesissued", "agerestrictions",
-                                                  "genres", "translatorname"))
-    rec = (f"SELECT nullif(regexp_extract(url, '/book/([^-/?#]*)', 1), '') AS id, "
-           f"{element_text('html', b['title'][0], cls=b['title'][1])} AS booktitle, "
-           f"{element_text('html', b['author'][0], cls=b['author'][1])} AS author, "
-           f"{or_sentinel(AUTHOR_ID)} AS authorid, {fields}, "
-           f"{nth('rb', 0)} AS rating, {stats}, "
-           f"coalesce({rx(nth('eb', 1, None), r'^\s+|\s+$', '')}, 'null') AS series, "
-           f"{or_sentinel(PUBLISHER_ID)} AS publisherid FROM blk")
-    return f"pg AS ({blocks.BOOK_PAGE_SQL}), blk AS ({blocks_sel}), recs AS ({rec})"
 
-
-def pattern(tag, cls=None, attr=None):
-    return P.element_pattern(tag, cls, attr)
+    def href(cls, path):
+        pattern = f'<a class="{cls}" href="?({path}[^">]*)'
+        return f"regexp_extract({seen('html')}, {q(pattern)}, 1)"
+
+    blocks_sel = (
+        f"SELECT url, {first_text('html', '(?is)bc__book-title">(.*?)</h1>')} AS title, "
+        f"{first_text('html', '(?s)<h2 class="bc-author">(.*?)</h2>')} AS author, "
+        f"{first_text('html', '(?s)<div class="bc-info">(.*)</div><div class="bc-rating-medium">')} AS info, "
+        f"{first_text('html', '(?s)<div class="bc-rating">(.*?)</div>')} AS rb, "
+        f"{first_text('html', '(?s)<div class="bc-stat">(.*?)</div>', space_to='')} AS sb, "
+        f"{first_text('html', '(?s)<table class="bc-edition">(.*?)</table>')} AS eb, "
+        f"{href('bc-author__link', '')} AS ah, {href('bc-edition__link', '/publisher')} AS ph FROM pg")
+    stats = ", ".join(f"CASE WHEN sb IS NOT NULL THEN {nth('sb', i)} END AS {c}" for c, i in STAT_LINES.items())
+    fields = ", ".join(f"CASE WHEN info IS NOT NULL THEN {f[c]} END AS {c}" for c in (
+        "isbn", "editionyear", "pages", "size", "covertype", "language", "copiesissued", "agerestrictions",
+        "genres", "translatorname"))
+    rec = (f"SELECT nullif(regexp_extract(url, '/book/([^-/?#]*)', 1), '') AS id, title AS booktitle, author, "
+           f"CASE WHEN ah <> '' THEN {or_sentinel(AUTHOR_ID)} END AS authorid, {fields}, "
+           f"CASE WHEN rb IS NOT NULL THEN {nth('rb', 0)} END AS rating, {stats}, "
+           f"CASE WHEN eb IS NOT NULL THEN coalesce({rx(nth('eb', 1, None), r'^\s+|\s+$', '')}, 'null') END AS series, "
+           f"{or_sentinel(PUBLISHER_ID)} AS publisherid FROM blk")
+    whole = ("id IS NOT NULL AND booktitle IS NOT NULL AND author IS NOT NULL AND authorid IS NOT NULL "
+             "AND isbn IS NOT NULL AND rating IS NOT NULL AND haveread IS NOT NULL AND series IS NOT NULL")
+    return (f"pg AS ({blocks.BOOK_PAGE_SQL}), blk AS ({blocks_sel}), found AS ({rec}), "
+            f"recs AS (SELECT * FROM found WHERE {whole}), broken AS (SELECT * FROM found WHERE NOT ({whole}))")
 
 
 def node_text(inner):
     return rx(unescape(rx(inner, "<[^>]+>", "")), r"\n+", "")
 
 
-def first_node_text(tag, cls=None, attr=None):
-    pat = q(pattern(tag, cls, attr))
+def first_node_text(tag, attr, value):
+    pat = q(f'(?s)<{tag} {attr}="{value}"[^>]*>(.*?)</{tag}>')
     return f"(CASE WHEN regexp_matches(html, {pat}) THEN {node_text(f'regexp_extract(html, {pat}, 1)')} ELSE 'null' END)"
 
 
 def author_records_sql() -> str:
-    counters = ", ".join(f"{first_node_text('span', attr=('title', t))} AS {c}"
-                         for c, t in P.AUTHOR_COUNTER_TITLES.items())
+    counters = ", ".join(f"{first_node_text('span', 'title', t)} AS {c}"
+                         for c, t in COUNTERS.items())
     return (f"apg AS ({blocks.AUTHOR_PAGE_SQL}), arecs AS (SELECT "
             f"nullif(regexp_extract(url, '/author/([^-/?#]*)', 1), '') AS authorid, "
-            f"{first_node_text('span', P.AUTHOR_NAME_CLASS)} AS name, "
-            f"{first_node_text('span', P.AUTHOR_ORIGINAL_NAME_CLASS)} AS originalname, {counters} FROM apg)")
+            f"{first_node_text('span', 'class', 'header-profile-login')} AS name, "
+            f"{first_node_text('span', 'class', 'header-profile-status')} AS originalname, {counters} FROM apg)")
 
 
 def publisher_records_sql() -> str:
-    items = (f"list_filter(regexp_extract_all(html, {q(pattern('li', P.PUBLISHER_LIST_CLASS))}, 1), "
-             f"lambda x: contains(x, {q(P.PUBLISHER_BOOKS_LABEL)}))[1]")
-    paras = (f"list_filter(regexp_extract_all(html, {q(pattern('p'))}, 1), "
-             f"lambda x: contains(x, {q(P.PUBLISHER_YEAR_LABEL)}))[1]")
-    year = f"regexp_extract({paras}, {q('(?s)' + P.PUBLISHER_YEAR_LABEL.strip() + '(.*)')}, 1)"
+    items = (f"list_filter(regexp_extract_all(html, {q('(?s)<li class="standard">(.*?)</li>')}, 1), "
+             f"lambda x: contains(x, {q(BOOKS_LABEL)}))[1]")
+    paras = (f"list_filter(regexp_extract_all(html, {q('(?s)<p>(.*?)</p>')}, 1), "
+             f"lambda x: contains(x, {q(FOUNDED_LABEL)}))[1]")
+    year = f"regexp_extract({paras}, {q('(?s)' + FOUNDED_LABEL.strip() + '(.*)')}, 1)"
     return (f"ppg AS ({blocks.PUBLISHER_PAGE_SQL}), precs AS (SELECT "
             f"nullif(regexp_extract(url, '/publisher/([^-/?#]*)', 1), '') AS publisherid, "
-            f"{first_node_text('title', attr=('id', P.PUBLISHER_TITLE_ID))} AS name, "
+            f"{first_node_text('title', 'id', 'title-head')} AS name, "
             f"{node_text(items)} AS books, {rx(rx(year, '<[^>]+>', ''), r'\s+', '')} AS years, "
-            f"{first_node_text('a', P.PUBLISHER_LINK_CLASS)} AS page, "
-            f"{first_node_text('span', P.PUBLISHER_FAVORITE_CLASS)} AS favorite FROM ppg)")
+            f"{first_node_text('a', 'class', 'publisher-link')} AS page, "
+            f"{first_node_text('span', 'class', 'count-in-fav')} AS favorite FROM ppg)")
 
 
 def add_corrected(o: dict[str, str]) -> None:

@@ -2,11 +2,10 @@
 
 The reference fetches each URL and walks it with a DOM parser in a
 4-process pool. Here the input is a `pages(page_id, url, html)` DataFrame and
-every rule is a regex / split expression evaluated per row inside Spark
-tasks, so the work spreads with the pages and stays in generated code.
-Selectors cover what the reference uses: first element by tag (and class),
-attribute of the first matching tag, anchors by class. Elements nested inside
-an element of the same tag name are outside this regex form.
+every rule is a built-in expression evaluated per row inside Spark tasks, so
+the work spreads with the pages. Selectors cover what the reference uses:
+first whole element by tag (and class or attribute), attribute of the first
+matching tag, anchors by class (`quire.functions.markup`).
 """
 
 from __future__ import annotations
@@ -15,16 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import cleaning as C
+from quire.functions import markup as M
 
-# --- fixed values: HTML entities decoded by `unescape` (named + quotes) ------
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&mdash;", "—"),
-            ("&ndash;", "–"), ("&laquo;", "«"), ("&raquo;", "»"), ("&hellip;", "…"),
-            ("&amp;", "&")]  # &amp; last, so "&amp;lt;" stays "&lt;"
 # --- fixed values: labels of the book information block --------------------
 ISBN_LINE = r"ISBN: [-X0-9]{10,18}.+"
 ISBN_NUMBER = r"[-X0-9]{10,18}"
-YEAR_LABEL = r"Год.издания: (\d+)"
+YEAR_LABEL = r"(?:^|[^\p{L}\p{N}_])Год.издания: (\d+)"
 PAGES_PATTERNS = [r"Количество.страниц.*\d+", r"Страниц.+\d+", r"\d+.стр", r"Кол-во.страниц.*\d+"]
 COPIES_LABEL = r"Тираж.? ((?:\d+[\s\x{00A0}]?)+)"
 SIZE_PATTERNS = [r"Формат: .+", r"Размер: .+"]
@@ -49,124 +44,37 @@ PUBLISHER_URL_PREFIX = r"/publisher/"
 # ---------------------------------------------------------------------------
 
 
-DEC_REF = r"^0*([0-9]+);"
-HEX_REF = r"^[xX]0*([0-9a-fA-F]+);"
-# fixed values: what references to the C1 controls 0x80-0x9F stand for in HTML
-C1_NUMBERS = "".join(map(chr, [0x80, *range(0x82, 0x8D), 0x8E, *range(0x91, 0x9D), 0x9E, 0x9F]))
-C1_MEANT = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
-
-
-def _code_point(number: Column) -> Column:
-    """The character of a code point, decoded natively (UTF-32). Zero, surrogates
-    and numbers beyond Unicode (or too long to be one: null) are U+FFFD."""
-    good = F.when(number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF), number)
-    char = F.decode(F.unhex(F.lpad(F.hex(F.coalesce(good, F.lit(0xFFFD))), 8, "0")), "UTF-32")
-    return F.translate(char, C1_NUMBERS, C1_MEANT)
-
-
-def _number(digits: Column, base: int) -> Column:
-    """Value of up to 8 digits; null for more."""
-    return F.when(F.length(digits) <= 8, F.conv(digits, base, 10).try_cast("long"))
-
-
-def _after_ref(t: Column) -> Column:
-    """One piece of text that followed '&#': decode its leading reference."""
-    dec = F.regexp_extract(t, DEC_REF, 1)
-    hx = F.regexp_extract(t, HEX_REF, 1)
-    return (F.when(dec != "", F.concat(_code_point(_number(dec, 10)), F.regexp_replace(t, DEC_REF, "")))
-            .when(hx != "", F.concat(_code_point(_number(hx, 16)), F.regexp_replace(t, HEX_REF, "")))
-            .otherwise(F.concat(F.lit("&#"), t)))
-
-
-def decode_char_refs(c) -> Column:
-    """Numeric character references (&#1085; &#x43D;) -> characters."""
-    s = C.as_col(c)
-    parts = F.split(s, "&#")
-    tail = F.transform(F.slice(parts, 2, F.size(parts)), _after_ref)
-    return F.when(s.contains("&#"), F.concat(F.get(parts, 0), F.array_join(tail, ""))).otherwise(s)
-
-
-def unescape(c) -> Column:
-    """Decode numeric references, then the named entities of ENTITIES (each
-    reference once: '&amp;#39;' becomes '&#39;'); texts without '&' pass through."""
-    raw = C.as_col(c)
-    s = decode_char_refs(raw)
-    for ent, ch in ENTITIES:
-        s = F.replace(s, F.lit(ent), F.lit(ch))
-    return F.when(raw.contains("&"), s).otherwise(raw)
-
-
-def strip_tags(c) -> Column:
-    return F.regexp_replace(C.as_col(c), r"<[^>]+>", "")
-
-
-QUOTE = r"""["']"""          # an attribute value may be in double or single quotes
-UNQUOTED = r"""[^"']"""      # a character of an attribute value
-ANCHOR_TAG = r"<a\s[^>]*>"
-
-
-def class_pattern(cls: str) -> str:
-    """Regex matching a class attribute whose class list holds `cls` as a whole
-    token: `bc-rating` is not in `bc-rating-medium`, and `subclass=` is not `class=`."""
-    return r"\sclass=" + QUOTE + r"(?:" + UNQUOTED + r"*\s)?" + cls + r"(?:\s" + UNQUOTED + r"*)?" + QUOTE
-
-
-def value_pattern(name: str, value_regex: str = UNQUOTED + "*") -> str:
-    """Regex matching attribute `name` (not `data-name`); group 1 is its value."""
-    return r"\s" + name + r"=" + QUOTE + r"(" + value_regex + r")" + QUOTE
-
-
-def attribute_pattern(tag: str, name: str) -> str:
-    """Regex whose group 1 is attribute `name` of a <tag> element."""
-    return r"<" + tag + r"(?:\s[^>]*)?" + value_pattern(name)
-
-
-def element_pattern(tag: str, cls: str | None = None, attr: tuple[str, str] | None = None) -> str:
-    """Regex whose group 1 is the inner HTML of a <tag> element, optionally one
-    whose class list holds `cls` or whose attribute attr[0] equals attr[1].
-    The tag name must end where it does (`<p>` never matches `<pre>`)."""
-    if cls is not None:
-        opening = r"<" + tag + r"(?:\s[^>]*)?" + class_pattern(cls) + r"[^>]*>"
-    elif attr is not None:
-        opening = r"<" + tag + r"(?:\s[^>]*)?\s" + attr[0] + r"=" + QUOTE + attr[1] + QUOTE + r"[^>]*>"
-    else:
-        opening = r"<" + tag + r"(?:\s[^>]*)?>"
-    return r"(?s)" + opening + r"(.*?)</" + tag + r">"
-
-
-def element_html(html, tag: str, cls: str | None = None, attr: tuple[str, str] | None = None) -> Column:
-    """Inner HTML of the first matching <tag>; '' when there is none."""
-    return F.regexp_extract(C.as_col(html), element_pattern(tag, cls, attr), 1)
+def node_text(inner) -> Column:
+    """Text of an element the way the entity parsers read it: tags dropped,
+    entities decoded, newlines deleted, nothing trimmed."""
+    return F.regexp_replace(M.unescape(M.strip_tags(inner)), r"\n+", "")
 
 
 def element_texts(html, tag: str, cls: str | None = None) -> Column:
     """Inner HTML of every matching <tag>, as an array."""
-    return F.regexp_extract_all(C.as_col(html), F.lit(element_pattern(tag, cls)), 1)
+    return M.all_elements(M.visible(html), tag, cls)
 
 
-def node_text(inner) -> Column:
-    """Text of an element the way the entity parsers read it: tags dropped,
-    entities decoded, newlines deleted, nothing trimmed."""
-    return F.regexp_replace(unescape(strip_tags(inner)), r"\n+", "")
-
-
-def first_node_text(html, tag: str, cls: str | None = None, attr: tuple[str, str] | None = None) -> Column:
-    """node_text of the first matching element; 'null' when there is none."""
-    found = F.regexp_like(C.as_col(html), F.lit(element_pattern(tag, cls, attr)))
-    return F.when(found, node_text(element_html(html, tag, cls, attr))).otherwise(F.lit(C.SENTINEL))
+def first_node_text(page: Column, tag: str, cls: str | None = None, attr: tuple[str, str] | None = None) -> Column:
+    """node_text of the first matching element of a `visible` page; 'null' when there is none."""
+    return F.coalesce(node_text(M.first_element(page, tag, cls, attr)), F.lit(C.SENTINEL))
 
 
 def element_text(html, tag: str, cls: str | None = None, space_to: str = " ") -> Column:
     """Text of the first matching element: tags dropped, entities decoded,
     newline and space runs squeezed, trimmed (K2, I18). NULL when absent."""
-    inner = element_html(html, tag, cls)
-    text = C.squeeze_whitespace(unescape(strip_tags(inner)), space_to)
-    return F.when(F.regexp_like(C.as_col(html), F.lit(element_pattern(tag, cls))), text)
+    return _block_text(M.visible(html), tag, cls, space_to)
+
+
+def _block_text(page: Column, tag: str, cls: str | None = None, space_to: str = " ") -> Column:
+    inner = M.first_element(page, tag, cls)
+    return C.squeeze_whitespace(M.unescape(M.strip_tags(inner)), space_to)
 
 
 def attribute(html, tag: str, attr: str) -> Column:
     """Value of `attr` on the first <tag> carrying it (K3); '' when absent."""
-    return F.regexp_extract(C.as_col(html), attribute_pattern(tag, attr), 1)
+    values = F.transform(M.open_tags(M.visible(html), tag), lambda t: M.attribute_of(t, attr))
+    return F.coalesce(F.get(F.filter(values, lambda v: v.isNotNull()), F.lit(0)), F.lit(""))
 
 
 def site_root(url) -> Column:
@@ -178,10 +86,10 @@ def links(pages: DataFrame, anchor_class: str | None = None) -> DataFrame:
     against the page's site (K1). With `anchor_class`, only anchors whose
     class attribute lists it."""
     tags = pages.select("page_id", "url",
-                        F.explode(F.regexp_extract_all("html", F.lit(ANCHOR_TAG), 0)).alias("tag"))
+                        F.explode(M.open_tags(M.visible("html"), "a")).alias("tag"))
     if anchor_class is not None:
-        tags = tags.where(F.col("tag").rlike(class_pattern(anchor_class)))
-    href = F.regexp_extract("tag", value_pattern("href"), 1)
+        tags = tags.where(M.has_class(F.col("tag"), anchor_class))
+    href = C.strip_ws(M.attribute_of(F.col("tag"), "href"))
     out = tags.select("page_id", "url", href.alias("href")).where(F.col("href") != "")
     link = (F.when(F.col("href").rlike(r"^[a-z]+://"), F.col("href"))
             .when(F.col("href").startswith("//"),
@@ -191,8 +99,6 @@ def links(pages: DataFrame, anchor_class: str | None = None) -> DataFrame:
     return out.select("page_id", "href", link.alias("link"))
 
 
-
-
 def book_frontier(listing: DataFrame) -> DataFrame:
     """Crawl fan-out (K20, K1, H2, C16): book anchors of the listing pages ->
     distinct absolute book URLs with their ids."""
@@ -210,15 +116,14 @@ def split_rejects(records: DataFrame, required: list[str]) -> tuple[DataFrame, D
     return records.where(complete), records.where(~complete)
 
 
-def anchor_href(html, cls: str, must_contain: str | None = None) -> Column:
-    """href of the first <a> whose class list holds `cls` (and whose href
-    contains `must_contain`), whatever the attribute order (K3)."""
-    tags = F.filter(F.regexp_extract_all(C.as_col(html), F.lit(ANCHOR_TAG), 0),
-                    lambda t: t.rlike(class_pattern(cls)))
-    hrefs = F.transform(tags, lambda t: F.regexp_extract(t, value_pattern("href"), 1))
-    if must_contain is not None:
-        hrefs = F.filter(hrefs, lambda x: x.contains(must_contain))
-    return F.coalesce(F.get(hrefs, 0), F.lit(""))
+def anchor_href(page: Column, cls: str, must_contain: str | None = None) -> Column:
+    """href of the first <a> of a `visible` page whose class list holds `cls`
+    (and whose href contains `must_contain`), whatever the attribute order (K3);
+    NULL when there is none."""
+    tags = F.filter(M.open_tags(page, "a"), lambda t: M.has_class(t, cls))
+    hrefs = F.transform(tags, lambda t: M.attribute_of(t, "href"))
+    keep = (lambda x: x.contains(must_contain)) if must_contain is not None else (lambda x: x.isNotNull())
+    return F.get(F.filter(hrefs, keep), F.lit(0))
 
 
 def frontier(link_rows: DataFrame) -> DataFrame:
@@ -327,50 +232,65 @@ PUBLISHER_FAVORITE_CLASS = "count-in-fav"
 # --- whole records (K17-K19) -------------------------------------------------
 
 
-def book_records(pages: DataFrame, parser: str = "regex") -> DataFrame:
-    """One all-string bronze books row per book page (K17). Pages missing a
-    required block produce a NULL id and are left to the caller's reject
-    filter (C15).
+# a page must have its six blocks and the author link
+BOOK_REQUIRED = ["id", "booktitle", "author", "authorid", "isbn", "rating", "haveread", "series"]
 
-    Two projections: the HTML is cut into its blocks once, then every field
-    is read from its (short) block, so no block regex runs once per field.
-    `parser="html"` cuts the blocks with the stdlib HTML parser instead
-    (pandas UDF), for pages whose blocks nest elements of their own tag."""
+
+def book_records(pages: DataFrame, parser: str = "native") -> DataFrame:
+    """One all-string bronze books row per book page (K17). A field whose block
+    (or author link) the page lacks is NULL; `split_rejects` with BOOK_REQUIRED
+    parts such rows from the whole ones (C15).
+
+    Three projections: comments and scripts are dropped, the HTML is cut into
+    its blocks, and every field is read from its (short) block, so no search of
+    the page runs once per field. `parser="html"` cuts the blocks with the
+    stdlib HTML parser instead (pandas UDF), as a check of the native one."""
     h = F.col("html")
     if parser == "html":
         from quire.functions.html_parse import element_text_parsed as text_of
     else:
-        text_of = element_text
-    cut = pages.select(
+        text_of = _block_text
+    seen = pages.select("url", "html", M.visible(h).alias("page"))
+    source = F.col("html" if parser == "html" else "page")
+    cut = seen.select(
         F.nullif(C.id_from_url("url", BOOK_URL_PREFIX), F.lit("")).alias("id"),
-        text_of(h, *BOOK_BLOCKS["title"]).alias("booktitle"),
-        text_of(h, *BOOK_BLOCKS["author"]).alias("author"),
-        anchor_href(h, AUTHOR_LINK_CLASS).alias("a_href"),
-        anchor_href(h, EDITION_LINK_CLASS, must_contain="publisher").alias("p_href"),
-        text_of(h, *BOOK_BLOCKS["info"]).alias("info"),
-        text_of(h, *BOOK_BLOCKS["rating"]).alias("rating_block"),
-        text_of(h, *BOOK_BLOCKS["stat"], space_to="").alias("stat_block"),
-        text_of(h, *BOOK_BLOCKS["edition"]).alias("edition_block"),
+        text_of(source, *BOOK_BLOCKS["title"]).alias("booktitle"),
+        text_of(source, *BOOK_BLOCKS["author"]).alias("author"),
+        anchor_href(F.col("page"), AUTHOR_LINK_CLASS).alias("a_href"),
+        anchor_href(F.col("page"), EDITION_LINK_CLASS, must_contain="publisher").alias("p_href"),
+        text_of(source, *BOOK_BLOCKS["info"]).alias("info"),
+        text_of(source, *BOOK_BLOCKS["rating"]).alias("rating_block"),
+        text_of(source, *BOOK_BLOCKS["stat"], space_to="").alias("stat_block"),
+        text_of(source, *BOOK_BLOCKS["edition"]).alias("edition_block"),
     )
+
+    def of(block: str, value: Column) -> Column:
+        return F.when(F.col(block).isNotNull(), value)
+
     fields = info_fields("info")
     return cut.select(
         "id", "booktitle", "author",
-        or_sentinel(C.id_from_url("a_href", AUTHOR_URL_PREFIX)).alias("authorid"),
-        *[fields[c].alias(c) for c in ("isbn", "editionyear", "pages", "size", "covertype",
-                                       "language", "copiesissued", "agerestrictions", "genres",
-                                       "translatorname")],
-        rating("rating_block").alias("rating"),
-        *[stat("stat_block", c).alias(c) for c in ("haveread", "planned", "reviews", "quotes")],
-        series("edition_block").alias("series"),
+        of("a_href", or_sentinel(C.id_from_url("a_href", AUTHOR_URL_PREFIX))).alias("authorid"),
+        *[of("info", fields[c]).alias(c) for c in ("isbn", "editionyear", "pages", "size", "covertype",
+                                                   "language", "copiesissued", "agerestrictions", "genres",
+                                                   "translatorname")],
+        of("rating_block", rating("rating_block")).alias("rating"),
+        *[of("stat_block", stat("stat_block", c)).alias(c) for c in ("haveread", "planned", "reviews", "quotes")],
+        of("edition_block", series("edition_block")).alias("series"),
         or_sentinel(C.id_from_url("p_href", PUBLISHER_URL_PREFIX)).alias("publisherid"),
     )
 
 
+def accepted_books(pages: DataFrame) -> DataFrame:
+    """Records of the book pages that have everything they need."""
+    return split_rejects(book_records(pages), BOOK_REQUIRED)[0]
+
+
 def author_records(pages: DataFrame) -> DataFrame:
     """One all-string bronze authors row per author page (K18): name,
     original name and five counters; a missing element reads 'null'."""
-    h = F.col("html")
-    return pages.select(
+    h = F.col("page")
+    return pages.select("url", M.visible("html").alias("page")).select(
         F.nullif(C.id_from_url("url", AUTHOR_URL_PREFIX), F.lit("")).alias("authorid"),
         first_node_text(h, "span", AUTHOR_NAME_CLASS).alias("name"),
         first_node_text(h, "span", AUTHOR_ORIGINAL_NAME_CLASS).alias("originalname"),
@@ -384,16 +304,16 @@ def publisher_records(pages: DataFrame) -> DataFrame:
     one is a reject (NULL books, filter with `.where(books IS NOT NULL)`).
     `years` is the value after the founding-year label with tags and blanks
     removed, NULL when no paragraph carries the label."""
-    h = F.col("html")
-    items = F.filter(element_texts(h, "li", PUBLISHER_LIST_CLASS),
+    h = F.col("page")
+    items = F.filter(M.all_elements(h, "li", PUBLISHER_LIST_CLASS),
                      lambda x: x.contains(PUBLISHER_BOOKS_LABEL))
-    paras = F.filter(element_texts(h, "p"), lambda x: x.contains(PUBLISHER_YEAR_LABEL))
+    paras = F.filter(M.all_elements(h, "p"), lambda x: x.contains(PUBLISHER_YEAR_LABEL))
     year_text = F.regexp_extract(F.get(paras, 0), r"(?s)" + PUBLISHER_YEAR_LABEL.strip() + r"(.*)", 1)
-    return pages.select(
+    return pages.select("url", M.visible("html").alias("page")).select(
         F.nullif(C.id_from_url("url", PUBLISHER_URL_PREFIX), F.lit("")).alias("publisherid"),
         first_node_text(h, "title", attr=("id", PUBLISHER_TITLE_ID)).alias("name"),
         node_text(F.get(items, 0)).alias("books"),
-        F.regexp_replace(strip_tags(year_text), r"\s+", "").alias("years"),
+        F.regexp_replace(M.strip_tags(year_text), r"\s+", "").alias("years"),
         first_node_text(h, "a", PUBLISHER_LINK_CLASS).alias("page"),
         first_node_text(h, "span", PUBLISHER_FAVORITE_CLASS).alias("favorite"),
     )

@@ -436,13 +436,19 @@ def nth_line(spark, d):
 @query
 def book_pages_to_bronze(spark, d):
     """Whole ingest step on book pages rendered from `part` (K17 + K3 + C16)."""
-    return P.book_records(blocks.book_pages(spark, d))
+    return P.accepted_books(blocks.book_pages(spark, d))
+
+
+@query
+def book_page_rejects(spark, d):
+    """The side frame of book pages that lack a block or the author link."""
+    return P.split_rejects(P.book_records(blocks.book_pages(spark, d)), P.BOOK_REQUIRED)[1]
 
 
 @query
 def book_pages_to_bronze_parsed(spark, d):
-    """Same records through the HTML-parser block cutter (nested-markup safe)."""
-    return P.book_records(blocks.book_pages(spark, d), parser="html")
+    """Same records with the blocks cut by the stdlib HTML parser, a check of the native cut."""
+    return P.split_rejects(P.book_records(blocks.book_pages(spark, d), parser="html"), P.BOOK_REQUIRED)[0]
 
 
 @query
@@ -455,7 +461,7 @@ def html_class_text(spark, d):
 @query
 def silver_books_from_pages(spark, d):
     """Pages -> bronze records -> silver books, end to end."""
-    recs = P.book_records(blocks.book_pages(spark, d)).where(F.col("id").isNotNull())
+    recs = P.accepted_books(blocks.book_pages(spark, d))
     # silver reads bronze three times (median, rows, group means): cut the
     # lineage so the extraction runs once, as the daily job's bronze table does
     ensure_checkpoint_dir(spark)
@@ -487,7 +493,7 @@ def publisher_page_rejects(spark, d):
 def referenced_author_records(spark, d):
     """Follow-on scope on pages (D5, K20): author records only for the authors
     that this batch's book pages link to (semi join on distinct ids)."""
-    refs = P.book_records(blocks.book_pages(spark, d)).select("authorid").where(F.col("authorid") != C.SENTINEL)
+    refs = P.accepted_books(blocks.book_pages(spark, d)).select("authorid").where(F.col("authorid") != C.SENTINEL)
     authors = P.author_records(blocks.author_pages(spark, d))
     return authors.join(refs.distinct(), "authorid", "left_semi")
 
@@ -496,7 +502,7 @@ def referenced_author_records(spark, d):
 def referenced_publisher_records(spark, d):
     """Follow-on scope on pages (D5, K20): accepted publisher records only for
     the publishers that this batch's book pages link to."""
-    refs = P.book_records(blocks.book_pages(spark, d)).select("publisherid") \
+    refs = P.accepted_books(blocks.book_pages(spark, d)).select("publisherid") \
         .where(F.col("publisherid") != C.SENTINEL)
     accepted, _ = P.split_rejects(P.publisher_records(blocks.publisher_pages(spark, d)), ["books"])
     return accepted.join(refs.distinct(), "publisherid", "left_semi")

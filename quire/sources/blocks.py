@@ -52,20 +52,33 @@ STAT_SQL = (f"SELECT p_partkey AS book_key, {RATING_EXPR} AS rating_block, {STAT
             f"{EDITION_EXPR} AS edition_block FROM part\n")
 
 # A book page in the layout the extractor expects (title, author link,
-# information block, rating, stats, edition table with a publisher link).
+# information block, rating, stats, edition table with a publisher link), with
+# what real pages hold besides: a comment and a script with markup in them, a
+# class that only begins like a wanted one, a block nested in a block of its
+# own tag, upper-case tags and other ways to write an attribute. Every 29th
+# page lacks its rating, every 31st its author link, every 37th its edition.
 BOOK_PAGE_SQL = f"""
 SELECT p_partkey AS page_id,
   concat('https://books.example.org/book/', CAST(p_partkey AS STRING), '-', replace(p_name, ' ', '-')) AS url,
-  concat('<html><body><h1 class="bc__book-title">',
-    CASE WHEN p_partkey % 4 = 0 THEN concat('Книга ', p_name) ELSE p_name END, '</h1>',
-    '<h2 class="bc-author"><a class="bc-author__link" href="/author/', replace(p_brand, 'Brand#', ''), '-', lower(replace(p_brand, '#', '')), '">', p_brand, '</a></h2>',
-    '<div class="bc-info">', replace(replace({INFO_EXPR}, '&', '&amp;'), chr(10), concat('<br>', chr(10))), '</div>',
-    '<div class="bc-rating">', {RATING_EXPR}, '</div>',
+  concat('<html><body><!-- <h1 class="bc__book-title">old</h1> -->',
+    '<script>var s = "<div class=bc-info>no</div>";</script>',
+    CASE WHEN p_partkey % 4 = 0 THEN concat('<H1 title="a > b" CLASS = "wide bc__book-title">Книга ', p_name, '</H1>')
+      ELSE concat('<h1 class="bc__book-title">', p_name, '</h1>') END,
+    '<h2 class="bc-author">',
+    CASE WHEN p_partkey % 31 = 0 THEN p_brand ELSE concat(
+      '<a class="bc-author__link" href=', CASE WHEN p_partkey % 2 = 0 THEN '' ELSE '"' END,
+      '/author/', replace(p_brand, 'Brand#', ''), '-', lower(replace(p_brand, '#', '')),
+      CASE WHEN p_partkey % 2 = 0 THEN '' ELSE '"' END, '>', p_brand, '</a>') END, '</h2>',
+    '<div class="bc-info">', CASE WHEN p_partkey % 3 = 0 THEN '<div class="share"></div>' ELSE '' END,
+    replace(replace({INFO_EXPR}, '&', '&amp;'), chr(10), concat('<br>', chr(10))), '</div>',
+    '<div class="bc-rating-medium">9,9</div>',
+    CASE WHEN p_partkey % 29 = 0 THEN '' ELSE concat('<div class="bc-rating">', {RATING_EXPR}, '</div>') END,
     '<div class="bc-stat">', {STAT_EXPR}, '</div>',
-    '<table class="bc-edition"><tr><td>', replace({EDITION_EXPR}, chr(10), concat('</td></tr>', chr(10), '<tr><td>')), '</td></tr>',
-    CASE WHEN p_partkey % 13 = 0 THEN ''
-      ELSE concat(chr(10), '<tr><td><a class="bc-edition__link" href="/publisher/', CAST(p_partkey % 17 AS STRING), '-pub">pub</a></td></tr>') END,
-    chr(10), '<tr><td><a class="bc-edition__link" href="/series/', CAST(p_size AS STRING), '">series</a></td></tr></table>',
+    CASE WHEN p_partkey % 37 = 0 THEN '' ELSE concat(
+      '<table class="bc-edition"><tr><td>', replace({EDITION_EXPR}, chr(10), concat('</td></tr>', chr(10), '<tr><td>')), '</td></tr>',
+      CASE WHEN p_partkey % 13 = 0 THEN ''
+        ELSE concat(chr(10), '<tr><td><a class="bc-edition__link" href="/publisher/', CAST(p_partkey % 17 AS STRING), '-pub">pub</a></td></tr>') END,
+      chr(10), '<tr><td><a class="bc-edition__link" href="/series/', CAST(p_size AS STRING), '">series</a></td></tr></table>') END,
     '</body></html>') AS html
 FROM part
 """

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, book, bronze_frame
 from quire.operators import validate as V
+from quire.functions import markup as M
 from quire.plans import pages as P
 from quire.plans import daily, silver
 from quire.sources import io
@@ -101,12 +102,13 @@ def test_book_page_record(spark):
     assert silver_row.id == 85378 and silver_row.rating == 4.5 and silver_row.covertype == "H"
 
 
-def test_missing_blocks_give_sentinels(spark):
-    pages = spark.createDataFrame([(1, "https://s/book/9", "<html><div class=\"bc-info\">x</div></html>")],
+def test_pages_without_a_block_are_rejects(spark):
+    whole = "https://site.org/book/85378-x"
+    cut = [BOOK_PAGE.replace(x, "other") for x in ("bc__book-title", "bc-author__link", "bc-info", "bc-rating", "bc-stat", "bc-edition\"")]
+    pages = spark.createDataFrame([(0, whole, BOOK_PAGE), *[(i + 1, whole, h) for i, h in enumerate(cut)], (9, whole, None)],
                                   "page_id long, url string, html string")
-    r = P.book_records(pages).collect()[0].asDict()
-    assert r["isbn"] == "null" and r["pages"] == "null" and r["genres"] == "['null']"
-    assert r["publisherid"] == "null" and r["booktitle"] is None
+    ok, bad = P.split_rejects(P.book_records(pages), P.BOOK_REQUIRED)
+    assert ok.count() == 1 == P.accepted_books(pages).count() and bad.count() == 7
 
 
 def test_links_by_class_and_absolute(spark):
@@ -194,9 +196,9 @@ def test_parser_path_handles_nested_blocks(spark):
     from quire.functions.html_parse import element_text_parsed, first_element_text
     nested = BOOK_PAGE.replace('<div class="bc-info">', '<div class="bc-info"><div class="row">ISBN block</div>\n')
     pages = spark.createDataFrame([(1, "https://site.org/book/85378-x", nested)], "page_id long, url string, html string")
-    regex_info = pages.select(P.element_text("html", "div", "bc-info")).collect()[0][0]
+    native_info = pages.select(P.element_text("html", "div", "bc-info")).collect()[0][0]
     parsed_info = pages.select(element_text_parsed(F.col("html"), "div", "bc-info")).collect()[0][0]
-    assert regex_info == "ISBN block"                      # cut at the inner </div>
+    assert native_info == parsed_info
     assert parsed_info.startswith("ISBN block\nISBN: 978") and parsed_info.endswith("Иванов, Петров")
     r = P.book_records(pages, parser="html").collect()[0].asDict()
     assert r["editionyear"] == "2015" and r["translatorname"] == "['Иванов', ' Петров']"
@@ -309,7 +311,7 @@ def test_protocol_relative_links(spark):
 
 def test_character_references_decode_once(spark):
     df = spark.createDataFrame([("Пр&#1080;вет &#x41D;&#X41d; &#128512; a&#b &amp;#39; &amp;amp; &#39;",)], "t string")
-    assert df.select(P.unescape("t")).collect()[0][0] == "Привет НН 😀 a&#b &#39; &amp; '"
+    assert df.select(M.unescape("t")).collect()[0][0] == "Привет НН 😀 a&#b &#39; &amp; '"
 
 
 def test_nbsp_entity_is_a_no_break_space(spark):
@@ -360,3 +362,36 @@ def test_classes_match_as_whole_tokens(spark):
     one = spark.createDataFrame([(html,)], "html string")
     assert one.select(P.element_text("html", "div", "bc-rating")).first()[0] == "4,5"
     assert one.select(P.element_text("html", "div", "bc-info")).first()[0] is None
+
+
+def test_elements_equal_the_html_parser(spark):
+    from quire.functions.html_parse import first_element_text
+    pages = ['<div class="bc-info">a<DIV>b<div>c</div></div>d</div>e', '<div class="x">n</div>', None, "",
+             '<!-- <div class="bc-info">no</div> --><div class="bc-info" title="a>b">yes</div>',
+             '<script>s="<div class=bc-info>js</div>"</script><DIV CLASS = bc-info>real</DIV>',
+             "<div class='k bc-info j'>84&times;108&ensp;&eacute; &unknown; &amp;lt; a & b</div>",
+             '<div class="bc-info">never <div>closed', '<div data-class="bc-info">no</div><div class=\'bc-info\'></div>']
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, html string")
+    got = [r[0] for r in df.orderBy("i").select(P.element_text("html", "div", "bc-info")).collect()]
+    assert got == [first_element_text(h, "div", "bc-info") if h is not None else None for h in pages]
+    assert got[0] == "abcd" and got[1] is None and got[5] == "real" and got[6].startswith("84×108")
+
+
+def test_paragraphs_and_items_end_where_they_do(spark):
+    html = "<ul><li>a<ul><li>b<li>c</ul>d<li>e</ul><p>x<b>y</b><p>z</p><p>w<div>v</div>"
+    r = spark.createDataFrame([(html,)], "html string").select(
+        P.element_texts("html", "p"), P.element_texts("html", "li")).first()
+    assert r[0] == ["x<b>y</b>", "z", "w"] and r[1] == ["abcd", "b", "c", "e"]
+
+
+def test_every_form_of_an_attribute(spark):
+    html = ("<a href=\"/book/o'neil\">1</a><a href=/book/2>2</a><A HREF='/book/3'>3</A><a href = \"/book/5\">5</a>"
+            "<a href='/q?a=1&amp;b=2'>6</a><!-- <a href='/no'>x</a> --><a data-href='/no'>7</a><a href>8</a>")
+    pages = spark.createDataFrame([(1, "http://s.org/p", html)], "page_id long, url string, html string")
+    assert [r.href for r in P.links(pages).collect()] == ["/book/o'neil", "/book/2", "/book/3", "/book/5", "/q?a=1&b=2"]
+
+
+def test_long_tags_and_many_references(spark):
+    html = "<p " + "a" * 50_000 + " class='k'>" + "&amp;" * 2_000 + "x" * 100_000 + "</p>"
+    got = spark.createDataFrame([(html,)], "html string").select(P.element_text("html", "p", "k")).first()[0]
+    assert got == "&" * 2_000 + "x" * 100_000
