@@ -76,7 +76,6 @@ def unescape(c) -> Column:
     """Decode numeric (&#1085; &#x43D;) and named (&eacute;) references, each
     once: '&amp;#39;' becomes '&#39;'. Unknown names, and names without their
     semicolon, stay as they are; texts without '&' pass through."""
-    s = C.as_col(c)
     named = _named_references()
 
     def decode(t: Column) -> Column:
@@ -88,9 +87,12 @@ def unescape(c) -> Column:
                 .when(t.rlike(NAMED_REF), F.coalesce(F.concat(name, after), F.concat(F.lit("&"), t)))
                 .otherwise(F.concat(F.lit("&"), t)))
 
-    parts = F.split(s, "&")
-    tail = F.transform(F.slice(parts, 2, F.size(parts)), decode)
-    return F.when(s.contains("&"), F.concat(F.get(parts, F.lit(0)), F.array_join(tail, ""))).otherwise(s)
+    def whole(s: Column) -> Column:
+        tail = let(F.split(s, "&"), lambda parts: F.concat(
+            F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), decode), "")))
+        return F.when(s.contains("&"), tail).otherwise(s)
+
+    return let(C.as_col(c), whole)
 
 
 def strip_tags(c) -> Column:
@@ -107,7 +109,7 @@ def open_tags(page: Column, tag: str) -> Column:
 def raw_attribute(tag_text: Column, name: str) -> Column:
     """Value of an attribute of one tag, as written; '' without a value, null when absent."""
     items = F.regexp_extract_all(tag_text, F.lit(ATTRIBUTE), F.lit(0))
-    own = F.filter(F.slice(items, 2, F.greatest(F.size(items), F.lit(1))), lambda x: x.rlike(rf"(?is)^{name}\s*(=|\z)"))
+    own = F.filter(items, lambda x, i: (i > 0) & x.rlike(rf"(?is)^{name}\s*(=|\z)"))  # item 0: the tag's name
     value = F.regexp_replace(F.get(own, F.lit(0)), r"(?s)^[^=]*+(=\s*+)?", "")
     return F.regexp_replace(value, r"""(?s)^(["'])(.*)\1\z""", "$2")
 
@@ -171,7 +173,7 @@ def first_element(page: Column, tag: str, cls: str | None = None, attr: tuple[st
     def found(cut: Column) -> Column:
         hits = F.transform(cut["tags"], lambda t: _is(t, tag, cls, attr))
         place = F.array_position(hits, True).cast("int")
-        return let(F.nullif(place, F.lit(0)), lambda i: _inner(cut, i, tag))
+        return let(place, lambda i: F.when(i > 0, _inner(cut, i, tag)))
 
     return let(_cut(page, tag), found)
 

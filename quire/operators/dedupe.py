@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.operators.joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
+
 
 def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -44,6 +46,22 @@ def new_rows(stored: DataFrame, staged: DataFrame, key) -> DataFrame:
     return once.join(stored.select(*keys), keys, "left_anti")
 
 
+def new_rows_of_batch(stored: DataFrame, staged: DataFrame, key) -> DataFrame:
+    """`new_rows` for a batch that is small beside the stored table. The reduced
+    batch is checkpointed and measured; within the broadcast bound its keys go to
+    the stored rows' tasks, which pass on only the keys that the batch holds, so
+    no other stored key is shuffled. A larger batch takes the plain anti join."""
+    keys = _keys(key)
+    staged = staged.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
+    once = dedupe_by_key(staged, keys).checkpoint(eager=True)
+    size = F.sum(sum((F.octet_length(F.col(k).cast("string")) for k in keys), F.lit(0)))
+    rows, payload = once.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    known = stored.select(*keys)
+    if rows <= BROADCAST_MAX_ROWS and payload <= BROADCAST_MAX_BYTES:
+        known = known.join(F.broadcast(once.select(*keys)), keys, "left_semi")
+    return once.join(known, keys, "left_anti")
+
+
 def insert_ignore(stored: DataFrame, staged: DataFrame, key) -> DataFrame:
     """Stored table after `INSERT ... ON CONFLICT (key) DO NOTHING` of staged
     (B6/B7, H3): the first stored version of a key wins forever."""

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators.dedupe import merge_into_bucketed_table, new_rows
+from quire.operators.dedupe import merge_into_bucketed_table, new_rows_of_batch
 from quire.operators.validate import ValidationFailed, validate, write_and_validate
 from quire.plans import gold, silver
 from quire.sources import io
@@ -46,7 +46,7 @@ def merge_bronze(spark: SparkSession, layout: Layout, entity: str, staged: DataF
     rows are checkpointed first: computed once, and the returned frame does
     not change when the table it was compared against grows."""
     stored = io.read_or_empty(spark, layout.bronze(entity), BRONZE[entity])
-    added = new_rows(stored, staged.select(*BRONZE[entity].names), KEYS[entity]).checkpoint(eager=True)
+    added = new_rows_of_batch(stored, staged.select(*BRONZE[entity].names), KEYS[entity]).checkpoint(eager=True)
     io.append(added, layout.bronze(entity))
     return added
 
@@ -62,21 +62,23 @@ def merge_bronze_table(entity: str, staged: DataFrame, table_prefix: str = "bron
 def build_silver(spark: SparkSession, layout: Layout, corrected: bool = False) -> DataFrame:
     """Write the three silver tables. The gold books suite (its columns are all
     in silver books) is evaluated while silver books is written, so the gate
-    needs no further scan of it; returns those result rows."""
+    needs no further scan of it; returns those result rows. Insert-ignore keeps
+    bronze unique by its raw key, so that de-duplication is left out."""
     read = lambda e: spark.read.schema(BRONZE[e]).parquet(layout.bronze(e))
     books_results = write_and_validate(
-        silver.books(read("books"), corrected), "gold_books",
+        silver.books(read("books"), corrected, unique=True), "gold_books",
         lambda df: io.overwrite(df, layout.silver("books")),
         reread=lambda: spark.read.parquet(layout.silver("books")))
-    io.overwrite(silver.authors(read("authors")), layout.silver("authors"))
-    io.overwrite(silver.publishers(read("publishers")), layout.silver("publishers"))
+    io.overwrite(silver.authors(read("authors"), unique=True), layout.silver("authors"))
+    io.overwrite(silver.publishers(read("publishers"), unique=True), layout.silver("publishers"))
     return books_results.checkpoint(eager=True)
 
 
 def publish_gold(spark: SparkSession, layout: Layout, corrected: bool = False,
                  books_results: DataFrame | None = None) -> DataFrame:
-    """Validate all three candidate gold tables, then publish all of them or
-    none (L6, L7): books are overwritten, authors / publishers get their new
+    """Validate all three candidate gold tables, then publish only if all pass
+    (L6, L7). The tables are written one after another: after a failure in
+    between, running the batch again completes them. On success books are overwritten, authors / publishers get their new
     keys (insert-ignore, B7), and the genre dictionary and bridge are rebuilt.
     The result rows are appended to the validation table either way."""
     sb = spark.read.parquet(layout.silver("books"))
@@ -86,7 +88,7 @@ def publish_gold(spark: SparkSession, layout: Layout, corrected: bool = False,
         existing = io.read_or_empty(spark, layout.gold(entity), GOLD[entity])
         staged = spark.read.parquet(layout.silver(entity))
         # computed once: validated as part of the merged table, then appended
-        added[entity] = new_rows(existing, staged.select(*existing.columns), KEYS[entity]).checkpoint(eager=True)
+        added[entity] = new_rows_of_batch(existing, staged.select(*existing.columns), KEYS[entity]).checkpoint(eager=True)
         candidates[f"gold_{entity}"] = existing.unionByName(added[entity])
 
     results = books_results

@@ -20,6 +20,7 @@ from quire.plans import gold, pages as P, silver
 from quire.session import ensure_checkpoint_dir
 from quire.sources import blocks, io
 from quire.sources.bronze_views import bronze
+from quire.sources.schemas import GOLD
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -522,8 +523,26 @@ def silver_publishers_from_pages(spark, d):
 # --- file sources and sinks --------
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the session's shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder under the session's shared checkpoint folder, deleted when the session ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)  # only a folder that exists is noted for deletion
+    fs.deleteOnExit(folder)
+    return path
+
+
+@query
+def overwrite_keep_schema(spark, d):
+    """Gold books written twice into a table with fixed types: the second write
+    replaces the rows, the table keeps its schema (B2)."""
+    path, table = _scratch(spark, "gold-books"), f"gold_books_{uuid.uuid4().hex}"
+    spark.createDataFrame([], GOLD["books"]).write.mode("overwrite").option("path", path).saveAsTable(table)
+    books = gold.books(silver_books_table(spark, d))
+    io.overwrite_keep_schema(spark, books.where("id % 2 = 0"), table)
+    io.overwrite_keep_schema(spark, books.select(*[F.col(c).cast("string") for c in books.columns]), table)
+    spark.sql(f"DROP TABLE {table}")  # the files of a table with a path stay
+    return spark.read.schema(GOLD["books"]).parquet(path)
 
 
 @query

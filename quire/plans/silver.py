@@ -21,8 +21,9 @@ def _sentinel_or_null(c: str):
     return (col == F.lit(C.SENTINEL)) | col.isNull()
 
 
-def books(bronze: DataFrame, corrected: bool = False) -> DataFrame:
-    """silver.books from an all-string bronze books frame."""
+def books(bronze: DataFrame, corrected: bool = False, unique: bool = False) -> DataFrame:
+    """silver.books from an all-string bronze books frame (J1-J17). `unique`:
+    the frame is known to hold one row per raw key (a merged bronze table)."""
     # Median of pages over the raw frame (duplicates, dropped rows and
     # outliers included), truncated to int; a scalar subquery, not a join.
     median_pages = global_value(bronze, approx_median(C.double_lenient("pages"))).try_cast("int")
@@ -31,7 +32,7 @@ def books(bronze: DataFrame, corrected: bool = False) -> DataFrame:
     kept = bronze.withColumn("publisherid", C.sentinel_to_null("publisherid")) \
         .na.drop("all", subset=["publisherid"])
     # J2 (first half): one row per raw id, deterministic survivor.
-    once = dedupe_by_key(kept, "id")
+    once = kept if unique else dedupe_by_key(kept, "id")
 
     # F1 / F2: group means over raw string keys of the de-duplicated rows.
     year_num = C.int_lenient("editionyear")
@@ -73,9 +74,9 @@ def books(bronze: DataFrame, corrected: bool = False) -> DataFrame:
     return _conform(dedupe_by_key(cleaned, "id"), "books")
 
 
-def authors(bronze: DataFrame) -> DataFrame:
-    """silver.authors."""
-    once = dedupe_by_key(bronze, "authorid")
+def authors(bronze: DataFrame, unique: bool = False) -> DataFrame:
+    """silver.authors (J18-J20); `unique` as for books."""
+    once = bronze if unique else dedupe_by_key(bronze, "authorid")
     counters = ("liked", "neutral", "disliked", "favorite", "reading")
     typed = once.select(
         C.first_int("authorid").alias("authorid"),
@@ -86,9 +87,9 @@ def authors(bronze: DataFrame) -> DataFrame:
     return _conform(dedupe_by_key(typed, "authorid"), "authors")
 
 
-def publishers(bronze: DataFrame) -> DataFrame:
-    """silver.publishers."""
-    once = dedupe_by_key(bronze, "publisherid")
+def publishers(bronze: DataFrame, unique: bool = False) -> DataFrame:
+    """silver.publishers (J21-J26); `unique` as for books."""
+    once = bronze if unique else dedupe_by_key(bronze, "publisherid")
     # Global mean of years over the de-duplicated rows, truncated.
     mean_years = global_value(once, F.avg(C.double_lenient("years"))).try_cast("int")
     typed = once.select(

@@ -30,7 +30,7 @@ DEFAULT_CONF = {
 }
 
 
-def session_conf(master: str | None = "local[8]", shuffle_partitions: int | None = 8,
+def session_conf(master: str | None = None, shuffle_partitions: int | None = None,
                  extra: dict | None = None) -> dict[str, str]:
     """The settings `build_session` applies. `master=None` leaves the master
     (and the memory) chosen by spark-submit alone; `shuffle_partitions=None`
@@ -46,7 +46,7 @@ def session_conf(master: str | None = "local[8]", shuffle_partitions: int | None
     return conf
 
 
-def build_session(master: str | None = "local[8]", shuffle_partitions: int | None = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "quire", extra: dict | None = None) -> SparkSession:
     """Session with the library's settings (see `session_conf`)."""
     builder = SparkSession.builder.appName(app_name)

@@ -43,6 +43,38 @@ def jdbc_options(url: str, table: str, user: str | None = None, password: str |
     return opts
 
 
+def jdbc_buckets(key: str, n: int, bucket_sql: str = "mod(abs(hashtext({key})), {n})") -> list[str]:
+    """WHERE clauses that split a scan into `n` parts by a hash of a string key
+    (range partitioning takes numbers and dates only). `bucket_sql` is the
+    database's expression for a bucket in 0 .. n-1; null keys are in bucket 0."""
+    if n < 1:
+        raise ValueError("a scan has at least one part")
+    bucket = bucket_sql.format(key=key, n=n)
+    return [f"{bucket} = {i}" + (f" OR {key} IS NULL" if i == 0 else "") for i in range(n)]
+
+
+def read_jdbc_buckets(spark: SparkSession, url: str, table: str, key: str, n: int,
+                      properties: dict[str, str] | None = None, **kwargs) -> DataFrame:
+    """A table with a string key, read by `n` tasks (A1)."""
+    return spark.read.jdbc(url, table, predicates=jdbc_buckets(key, n, **kwargs), properties=properties or {})
+
+
+def jdbc_write_options(url: str, table: str, user: str | None = None, password: str | None = None,
+                       truncate: bool = False, batchsize: int = 10000, num_partitions: int | None = None,
+                       driver: str | None = None) -> dict[str, str]:
+    """Options of a JDBC sink. With mode "overwrite", `truncate` empties the
+    table and keeps its schema, indexes and grants (B2); without it the table is
+    dropped and created (B1). `num_partitions` bounds the connections."""
+    opts = {"url": url, "dbtable": table, "truncate": str(truncate).lower(), "batchsize": str(batchsize)}
+    given = {"user": user, "password": password, "driver": driver,
+             "numPartitions": None if num_partitions is None else str(num_partitions)}
+    return opts | {k: v for k, v in given.items() if v is not None}
+
+
+def write_jdbc(df: DataFrame, options: dict[str, str], mode: str = "overwrite") -> None:
+    df.write.format("jdbc").mode(mode).options(**options).save()
+
+
 def read_table(spark: SparkSession, source: str, fmt: str = "parquet",
                options: dict[str, str] | None = None) -> DataFrame:
     """A table by path (parquet / csv / text), by catalog name ("table") or by
@@ -99,9 +131,7 @@ def append(df: DataFrame, path: str) -> None:
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A stored Parquet table, or an empty frame of `schema` on first run."""
-    try:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         return spark.read.schema(schema).parquet(path)
-    except Exception as e:  # noqa: BLE001 - path does not exist yet
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+    return spark.createDataFrame([], schema)

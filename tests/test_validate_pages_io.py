@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, book, bronze_frame
-from quire.operators import validate as V
 from quire.functions import markup as M
+from quire.operators import dedupe
+from quire.operators import validate as V
 from quire.plans import pages as P
 from quire.plans import daily, silver
 from quire.sources import io
@@ -395,3 +396,30 @@ def test_long_tags_and_many_references(spark):
     html = "<p " + "a" * 50_000 + " class='k'>" + "&amp;" * 2_000 + "x" * 100_000 + "</p>"
     got = spark.createDataFrame([(html,)], "html string").select(P.element_text("html", "p", "k")).first()[0]
     assert got == "&" * 2_000 + "x" * 100_000
+
+
+def test_jdbc_string_key_buckets_and_write_options():
+    parts = io.jdbc_buckets("id", 3)
+    assert len(parts) == 3 and parts[0].endswith("= 0 OR id IS NULL") and parts[2] == "mod(abs(hashtext(id)), 3) = 2"
+    assert io.jdbc_buckets("k", 1, bucket_sql="crc32({key}) % {n}") == ["crc32(k) % 1 = 0 OR k IS NULL"]
+    o = io.jdbc_write_options("jdbc:exampledb://db/x", "gold.books", user="u", truncate=True, num_partitions=4)
+    assert o["truncate"] == "true" and o["numPartitions"] == "4" and o["user"] == "u" and "password" not in o
+    assert io.jdbc_write_options("u", "t")["truncate"] == "false"
+
+
+def test_batch_merge_shuffles_no_stored_key(spark, scratch):
+    stored = spark.range(20_000).selectExpr("cast(id as string) AS authorid")
+    stored.write.parquet(f"{scratch}/stored")
+    stored = spark.read.parquet(f"{scratch}/stored")
+    staged = spark.createDataFrame([("5", "a"), ("x", "b"), ("x", "c"), (None, "d")], "authorid string, name string")
+    got = dedupe.new_rows_of_batch(stored, staged, "authorid")
+    assert [tuple(r) for r in got.collect()] == [("x", "b")]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftAnti") < plan.index("LeftSemi")
+
+
+def test_unique_input_gives_the_same_silver(spark):
+    rows = [{"id": str(i), "publisherid": str(i % 3), "authorid": str(i % 4), "editionyear": str(1990 + i), "pages": str(100 + i)}
+            for i in range(20)]
+    df = bronze_frame(spark, "books", rows)
+    assert sorted(silver.books(df, unique=True).collect(), key=str) == sorted(silver.books(df).collect(), key=str)
