@@ -252,7 +252,9 @@ def book_records(pages: DataFrame, parser: str = "native") -> DataFrame:
         text_of = _block_text
     seen = pages.select("url", "html", M.visible(h).alias("page"))
     source = F.col("html" if parser == "html" else "page")
-    cut = seen.select(
+    # one generated row per page: filters on its fields are not pushed into the
+    # cut, which would run it once per filter
+    cut = seen.select(F.inline(F.array(F.struct(
         F.nullif(C.id_from_url("url", BOOK_URL_PREFIX), F.lit("")).alias("id"),
         text_of(source, *BOOK_BLOCKS["title"]).alias("booktitle"),
         text_of(source, *BOOK_BLOCKS["author"]).alias("author"),
@@ -262,7 +264,7 @@ def book_records(pages: DataFrame, parser: str = "native") -> DataFrame:
         text_of(source, *BOOK_BLOCKS["rating"]).alias("rating_block"),
         text_of(source, *BOOK_BLOCKS["stat"], space_to="").alias("stat_block"),
         text_of(source, *BOOK_BLOCKS["edition"]).alias("edition_block"),
-    )
+    ))))
 
     def of(block: str, value: Column) -> Column:
         return F.when(F.col(block).isNotNull(), value)

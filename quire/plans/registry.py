@@ -351,7 +351,7 @@ def suite_report_books_observed(spark, d):
     (observe metrics + key-column uniqueness on the written copy)."""
     path = _scratch(spark, "gold-books-candidate")
     candidate = gold.books(_silver_books(spark, d))
-    return V.write_and_validate(candidate, "gold_books", lambda df: df.write.parquet(path),
+    return V.write_and_validate(candidate, "gold_books", lambda df: io.overwrite(df, path),
                                 reread=lambda: spark.read.parquet(path))
 
 
