@@ -10,7 +10,7 @@ DuckDB both run, so extraction works on data that grows with the tables.
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkNotImplementedError
+from pyspark.errors import PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.sources.bronze_views import sql_over
@@ -151,7 +151,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
         parts = df.rdd.getNumPartitions()
-    except PySparkNotImplementedError:  # no RDD view (Spark Connect): leave the layout to the scan
+    except (PySparkAttributeError, PySparkNotImplementedError):  # no RDD view (Spark Connect): leave the layout to the scan
         return df
     return df.repartition(cores, key) if parts < cores else df
 
