@@ -187,6 +187,7 @@ def load_model(path: str) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     return out
 
 
+_NO_GRAMS = (np.zeros(0, np.uint32), np.zeros(0, np.float32))  # a language without a byte of text
 _BASE = "uid long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
@@ -201,7 +202,7 @@ def scored(rows: DataFrame, folder: str | None) -> DataFrame:
             langs, texts = part.column(1).to_pylist(), part.column(2).to_pylist()
             bits = np.full(len(texts), np.nan)
             for lang, idx in _by_language(langs, texts) if folder else ():
-                hashes, value = load_model(folder)[lang] if texts else (None, None)
+                hashes, value = load_model(folder).get(lang, _NO_GRAMS)
                 data = [(texts[i] or "").encode() for i in idx]
                 at = 0
                 while at < len(idx):

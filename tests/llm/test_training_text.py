@@ -167,6 +167,16 @@ def test_language_model_rules(spark, model_bytes):
     assert kn_quality.judge_quality(spark.createDataFrame([], "doc_id long, text string, lang string")).count() == 0
 
 
+@pytest.mark.parametrize("model_bytes", [kn_quality.MODEL_BYTES, 0])
+def test_language_with_only_empty_texts(spark, model_bytes):
+    rows = [(1, "a few words of text " * 3, "en"), (2, "", "xx"), (3, None, "xx"), (4, None, None)]
+    for some in (rows, rows[1:]):
+        docs = spark.createDataFrame(some, "doc_id long, text string, lang string")
+        got = {x.doc_id: x for x in kn_quality.judge_quality(docs, model_bytes=model_bytes).collect()}
+        assert set(got) == {x[0] for x in some}
+        assert all(got[d].perplexity is None and got[d].base_failed and not got[d].kept for d in (2, 3, 4))
+
+
 def test_classifiers_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
