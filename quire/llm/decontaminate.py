@@ -8,7 +8,10 @@ edit distance becomes Hamming distance. A key is the words at a few sampled
 places (bit sampling); each benchmark item is filed under its keys, and every
 window of a document as long as an item looks up its own. The number of walks and
 keys is set so that an item at the largest allowed edit distance is found with
-probability RECALL, measured by simulation on random edits of the items.
+probability RECALL, measured by simulation on random edits of the items. Walks of
+long items seldom stay in step, so items are searched by pieces of at most
+PIECE_WORDS words: of a match within the allowed share of edits, at least one
+piece is within that share too, and it is enough to find that one.
 
 Two exact checks surround the search. Before it, windows with fewer words of the
 benchmark than any match must have are left out: a match within e edits of an
@@ -42,7 +45,8 @@ SIMILARITY = 0.8
 RECALL = 0.98
 SAMPLED = 3
 KEYS_PER_WALK = 8
-MAX_WALKS = 24
+PIECE_WORDS = 100
+MAX_WALKS = 512                # more than this is an error, never a lower recall
 BLOCK_ITEMS = 1_000
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -98,12 +102,13 @@ def keys(ids: np.ndarray, starts: np.ndarray, walk: int, steps: int, size: int)
 
 @dataclass
 class LengthClass:
-    """Items of similar length: windows of `low` words stand for all of them."""
+    """Pieces of similar length: windows of `low` words stand for all of them."""
     low: int
     steps: int
     need: int                     # fewest benchmark words in the first `low` words of a match
     walks: int
     items: np.ndarray             # item of each key
+    offsets: np.ndarray           # words of the item before the key's piece
     keys: np.ndarray              # sorted
 
 
@@ -145,7 +150,17 @@ def walks_for(items: list[np.ndarray], steps: int, size: int, similarity: float,
                 break
         first.append(hit)
     first.sort()
-    return int(min(MAX_WALKS, max(2, first[min(len(first) - 1, int(np.ceil(recall * len(first))) - 1)])))
+    found = first[min(len(first) - 1, int(np.ceil(recall * len(first))) - 1)]
+    if found > MAX_WALKS:
+        raise ValueError(f"{MAX_WALKS} walks do not find items of {len(items[0])} words at similarity {similarity} with recall {recall}")
+    return max(2, found)
+
+
+def pieces(size: int) -> list[tuple[int, int]]:
+    """[b, e) of the parts of nearly equal length that an item is searched by."""
+    n = -(-size // PIECE_WORDS)
+    cuts = [size * k // n for k in range(n + 1)]
+    return list(zip(cuts, cuts[1:]))
 
 
 def build_block(items: list[tuple[object, str | None]], similarity: float = SIMILARITY, recall: float = RECALL) -> Block:
@@ -155,20 +170,21 @@ def build_block(items: list[tuple[object, str | None]], similarity: float = SIMI
         if found:
             block.ids.append(item_id)
             block.words.append(np.array([block.vocabulary.setdefault(w, len(block.vocabulary)) for w in found], np.int64))
-    order = sorted(range(len(block.words)), key=lambda i: len(block.words[i]))
-    while order:
-        low = len(block.words[order[0]])
-        cut = next((k for k, i in enumerate(order) if len(block.words[i]) > low * 1.25), len(order))
-        mine, order = order[:cut], order[cut:]
-        high = len(block.words[mine[-1]])
+    parts = [(i, b, block.words[i][b:e]) for i in range(len(block.words)) for b, e in pieces(len(block.words[i]))]
+    parts.sort(key=lambda x: len(x[2]))
+    while parts:
+        low = len(parts[0][2])
+        cut = next((k for k, x in enumerate(parts) if len(x[2]) > low * 1.25), len(parts))
+        mine, parts = parts[:cut], parts[cut:]
+        high = len(mine[-1][2])
         steps = max(1, 2 * low - 1)
         size = len(block.vocabulary)
-        walks = walks_for([block.words[i] for i in mine], steps, size, similarity, recall)
-        table = [keys(block.words[i], np.zeros(1, np.int64), w, steps, size)[:, 0] for i in mine for w in range(walks)]
+        walks = walks_for([x[2] for x in mine], steps, size, similarity, recall)
+        table = [keys(x[2], np.zeros(1, np.int64), w, steps, size)[:, 0] for x in mine for w in range(walks)]
         flat = np.concatenate(table)
-        owner = np.repeat(np.repeat(mine, walks), KEYS_PER_WALK)
+        owner, offset = (np.repeat([x[k] for x in mine], walks * KEYS_PER_WALK) for k in (0, 1))
         sort = np.argsort(flat, kind="stable")
-        block.classes.append(LengthClass(low, steps, max(1, low - edits(high, similarity)), walks, owner[sort], flat[sort]))
+        block.classes.append(LengthClass(low, steps, max(1, low - edits(high, similarity)), walks, owner[sort], offset[sort], flat[sort]))
     return block
 
 
@@ -191,11 +207,11 @@ def fitting_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]
 
 
 def _candidates(flat: np.ndarray, c: LengthClass, size: int) -> np.ndarray:
-    """(item, window start) pairs that share a key, sorted."""
+    """(item, place of its first word, window start) of windows that share a key, sorted."""
     known = np.concatenate([[0], np.cumsum(flat >= 0)])
     starts = np.arange(len(flat) - c.low + 1 if len(flat) >= c.low else 0)
     starts = starts[(known[starts + c.low] - known[starts] >= c.need) & (flat[starts] >= 0)]
-    pairs = [np.zeros((0, 2), np.int64)]
+    pairs = [np.zeros((0, 3), np.int64)]
     for walk in range(c.walks if len(starts) else 0):
         found = keys(flat, starts, walk, c.steps, size).ravel()
         low = np.searchsorted(c.keys, found, "left")
@@ -204,7 +220,8 @@ def _candidates(flat: np.ndarray, c: LengthClass, size: int) -> np.ndarray:
         count = np.searchsorted(c.keys, found[hit], "right") - low[hit]
         at = np.repeat(starts[hit % len(starts)], count)
         nth = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
-        pairs.append(np.stack([c.items[np.repeat(low[hit], count) + nth], at], axis=1))
+        key = np.repeat(low[hit], count) + nth
+        pairs.append(np.stack([c.items[key], at - c.offsets[key], at], axis=1))
     return np.unique(np.concatenate(pairs), axis=0)
 
 
@@ -222,24 +239,25 @@ def matches(texts: list[np.ndarray], block: Block, similarity: float = SIMILARIT
     for c in block.classes:
         pairs = _candidates(flat, c, len(block.vocabulary))
         for item in np.unique(pairs[:, 0]).tolist():
-            words, at = block.words[item], pairs[pairs[:, 0] == item, 1]
+            words, (at, window) = block.words[item], pairs[pairs[:, 0] == item, 1:].T
             most = edits(len(words), similarity)
             begin, width = at - most, len(words) + 3 * most + 2
             distinct = np.unique(words)
             place[distinct] = np.arange(len(distinct))
             held = np.zeros(len(at), np.int64)
-            for i in range(0, len(at), 4096):
-                there = place[flat[begin[i:i + 4096, None] + np.arange(width)]]
+            some = max(1, min(4096, 1_000_000 // width))
+            for i in range(0, len(at), some):
+                there = place[flat[begin[i:i + some, None] + np.arange(width)]]
                 seen = np.zeros((len(there), len(distinct) + 1), bool)
                 seen[np.arange(len(there))[:, None], there] = True
-                held[i:i + 4096] = seen[:, :-1].sum(axis=1)
+                held[i:i + some] = seen[:, :-1].sum(axis=1)
             place[distinct] = -1
             fits = held >= len(distinct) - most
             done = -1
-            for at_, b in zip(at[fits].tolist(), begin[fits].tolist()):
+            for at_, b, there in zip(at[fits].tolist(), begin[fits].tolist(), window[fits].tolist()):
                 if at_ <= done:
                     continue  # the last match covers this place
-                k = int(np.searchsorted(begins, at_, "right")) - 1
+                k = int(np.searchsorted(begins, there, "right")) - 1
                 lo, hi = max(b, int(begins[k])), min(b + width, int(begins[k]) + len(texts[k]))
                 d, x, y = fitting_distance(words, flat[lo:hi])
                 if d <= most:

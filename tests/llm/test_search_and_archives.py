@@ -157,3 +157,27 @@ def test_decontamination(spark, block_items):
     assert sum(x.doc_id == 3 for x in rows) == 2 * len({i for d, i in found if d == 3})
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), none).count() == 0
+
+
+@pytest.mark.parametrize("size", [300, 500, 1000])
+def test_edited_copies_of_long_items_are_found(size):
+    r = random.Random(size)
+    found, trials = 0, 50
+    items = [[f"w{r.randrange(3000)}" for _ in range(size)] for _ in range(5)]
+    block = decontaminate.build_block([(i, " ".join(x)) for i, x in enumerate(items)])
+    number = lambda words: np.array([block.vocabulary.get(w, -1) for w in words], np.int64)
+    for n in range(trials):
+        w = list(items[n % 5])
+        for _ in range(decontaminate.edits(size, decontaminate.SIMILARITY)):
+            k, kind = r.randrange(len(w)), r.randrange(3)
+            w[k:k + (kind > 0)] = ["zzz"] if kind < 2 else []
+        other = ["yyy"] * r.randrange(30)
+        got = decontaminate.matches([number(["yyy"] * 5), number(other + w + other)], block)
+        found += any((k, i) == (1, n % 5) for k, i, *_ in got)
+    assert found >= 0.98 * trials
+
+
+def test_walks_never_fall_short_silently(monkeypatch):
+    monkeypatch.setattr(decontaminate, "MAX_WALKS", 4)
+    with pytest.raises(ValueError):
+        decontaminate.walks_for([np.arange(1000)], 1999, 1000, 0.8, 0.98)
