@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import decontaminate, kn_quality, packing, pu_quality, repeats, simhash, token_files, toxicity, url_rules, warc
+from quire.llm import decontaminate, kn_words, packing, pu_quality, repeats, simhash, token_files, toxicity, url_rules, warc
 from quire.llm.url_rules import Rule
 
 #: The rule list of the url query (fixed values).
@@ -42,7 +42,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kn_quality.judge_quality(_table(spark, sf_dir, "documents"))
+    return kn_words.judge_words(_table(spark, sf_dir, "documents"))
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from quire.llm import kn_quality, packing, pu_quality, token_files, toxicity
+from quire.llm import kn_quality, kn_words, packing, pu_quality, token_files, toxicity
 from quire.llm.elias_fano import EliasFano
 from quire.llm.labelled import held_out
 from quire.llm.tokens import WordEncoder, default_tokenizer
@@ -177,6 +177,86 @@ def test_language_with_only_empty_texts(spark, model_bytes):
         assert all(got[d].perplexity is None and got[d].base_failed and not got[d].kept for d in (2, 3, 4))
 
 
+def brute_word_bits(rows):
+    """Interpolated modified Kneser-Ney over words; each fold judged by the other's model."""
+    by_lang = defaultdict(set)
+    for lang, t in rows:
+        by_lang[lang or "und"].add((t or "").encode())
+    times = Counter((lang or "und", (t or "").encode()) for lang, t in rows)
+    out = {}
+    grams = lambda d: list(zip([b"", b"", *d.split()], [b"", *d.split()], d.split()))
+    for lang, data in by_lang.items():
+        for fold in (0, 1):
+            counts = {3: Counter()}
+            for d in data:
+                if zlib.crc32(d) % 2 != fold:
+                    for g in grams(d):
+                        counts[3][g] += times[lang, d]
+            for k in (2, 1):
+                counts[k] = Counter(g[1:] for g in counts[k + 1])
+            disc, total, freed = {}, {}, {}
+            for k in (1, 2, 3):
+                n = Counter(counts[k].values())
+                y = n[1] / (n[1] + 2 * n[2]) if n[1] + 2 * n[2] else 0
+                x = [j - (j + 1) * y * n[j + 1] / n[j] if n[1] and n[2] and n[j] else -1 for j in (1, 2, 3)]
+                disc[k] = [v if 0 < v < j else 0.5 for j, v in zip((1, 2, 3), x)]
+                total[k], freed[k] = Counter(), Counter()
+                for g, c in counts[k].items():
+                    total[k][g[:-1]] += c
+                    freed[k][g[:-1]] += disc[k][min(c, 3) - 1]
+
+            def p(g):
+                k = len(g)
+                if not k:
+                    return 1 / (len(counts[1]) + 1)
+                if not total[k][g[:-1]]:
+                    return p(g[1:])
+                c = counts[k][g]
+                return (c - (disc[k][min(c, 3) - 1] if c else 0) + freed[k][g[:-1]] * p(g[1:])) / total[k][g[:-1]]
+
+            for d in data:
+                if zlib.crc32(d) % 2 == fold:
+                    out[lang, d] = sum(-math.log2(p(g)) for g in grams(d)) / len(grams(d)) if grams(d) else None
+    return out
+
+
+def test_word_model_rules(spark):
+    r = random.Random(11)
+    words = ["".join(r.choice("abcde") for _ in range(r.randint(1, 5))) for _ in range(50)]
+    prose = [" ".join(r.choice(words) for _ in range(r.randint(20, 150))) for _ in range(40)]
+    rows = [(i, t, ["en", "fr", None][i % 3]) for i, t in enumerate(texts(4, 20) + prose)]
+    rows += [(None, "same words here", "en"), (5, prose[0], "de"), (5, prose[0], "de"), (6, "", "xx"), (7, None, "xx")]
+    got = kn_words.judge_words(spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, text string, lang string, bits int")).collect()
+    bits = brute_word_bits([(x[2], x[1]) for x in rows])
+    want = Counter()
+    for d, t, lang in rows:
+        base = brute_base(t)
+        b = bits[lang or "und", (t or "").encode()]
+        want[(d, *base, base[0] < 50 or 100 * base[4] > 50 * base[0], None if b is None else round(b, 4))] += 1
+    assert Counter((x.doc_id, x.n_words, x.word_chars, x.n_symbols, x.n_dup_lines, x.n_repeat_words, x.base_failed,
+                    None if x.perplexity is None else round(math.log2(x.perplexity), 4)) for x in got) == want
+    for x in got:
+        assert x.kept == (not x.base_failed and x.low <= x.perplexity <= x.high)
+    assert any(x.kept for x in got)
+    assert kn_words.judge_words(spark.createDataFrame([], "doc_id long, text string, lang string")).count() == 0
+
+
+def test_word_order_counts(spark, scratch):
+    """Texts of the same words in a scrambled order are less likely, and the model grows with the texts."""
+    from quire.llm.registry import QUERIES
+
+    r = random.Random(12)
+    phrases = [" ".join(f"w{r.randrange(300)}" for _ in range(6)) for _ in range(60)]
+    prose = [" ".join(r.choice(phrases) for _ in range(20)) for _ in range(80)]
+    scrambled = [" ".join(r.sample(t.split(), 120)) for t in prose[:4]]
+    docs = spark.createDataFrame(list(enumerate(prose + scrambled)), "doc_id long, text string").selectExpr("*", "'en' AS lang")
+    docs.write.parquet(f"{scratch}/documents.parquet")
+    got = {x.doc_id: x.perplexity for x in QUERIES["op7_quality_rules"](spark, scratch).collect()}
+    assert min(got[80 + k] for k in range(4)) > 4 * max(got[k] for k in range(80))
+    few, all_ = (kn_words.count_words(docs.where(f"doc_id >= 80 AND doc_id < {n}")).count() for n in (82, 84))
+    assert all_ > 1.8 * few
+
+
 def test_classifiers_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
