@@ -241,6 +241,17 @@ def test_word_model_rules(spark):
     assert kn_words.judge_words(spark.createDataFrame([], "doc_id long, text string, lang string")).count() == 0
 
 
+def test_word_bands_are_quantiles(spark):
+    r = random.Random(13)
+    prose = [" ".join(f"w{int(300 * r.random() ** 2)}" for _ in range(100)) for _ in range(201)]
+    docs = spark.createDataFrame(list(enumerate(prose)), "doc_id long, text string").selectExpr("*", "'en' AS lang")
+    for low, high in ((0.0, 1.0), (0.1, 0.8), (kn_words.LOW, kn_words.HIGH)):
+        got = kn_words.judge_words(docs, low, high).collect()
+        ranked = sorted(x.perplexity for x in got)
+        assert abs(sum(p < got[0].low for p in ranked) - low * 201) <= 1 and abs(sum(p > got[0].high for p in ranked) - (1 - high) * 201) <= 1
+        assert sum(x.kept for x in got) == sum(got[0].low <= p <= got[0].high for p in ranked)
+
+
 def test_word_order_counts(spark, scratch):
     """Texts of the same words in a scrambled order are less likely, and the model grows with the texts."""
     from quire.llm.registry import QUERIES
