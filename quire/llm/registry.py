@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import decontaminate, kn_words, packing, pu_quality, repeats, simhash, token_files, toxicity, url_rules, warc
+from quire.llm import (
+    alignment, decontaminate, kn_words, packing, pu_quality, repeats, reply_trees, simhash, spelling, token_files, toxicity,
+    url_rules, warc,
+)
 from quire.llm.url_rules import Rule
 
 #: The rule list of the url query (fixed values).
@@ -13,6 +16,10 @@ URL_RULES = [Rule("allow", "org/"), Rule("block", "example.org/es/"), Rule("bloc
              Rule("allow", "com/fr/"), Rule("block", "com/de/")]
 
 
+#: The conversation that the chat query adds: texts that look like a template's own marks.
+CONVERSATION_7 = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -58,15 +65,50 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame(CONVERSATION_7, rows.schema)
+    return reply_trees.conversation_digests(rows.unionByName(own))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.document_words(_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_url_filters, op3_quality_classifier, op4_warc, op5_simhash_near_dedup, op6_token_files, op7_quality_rules,
                                     op8_decontamination, op9_suffix_array_dedup,
-                                    op10_toxicity)}
+                                    op10_toxicity, op11_reply_trees, op12_token_alignment, op13_spelling_variants)}
 
 _RULE_ROWS = ", ".join(f"('{r.verdict}', '{r.pattern}')" for r in URL_RULES)
 
+
+def _sql_escaped(text: str) -> str:
+    """SQL of `reply_trees.escape`, one replacement per control string."""
+    out = f"replace({text}, '\\', '\\\\')"
+    for c in reply_trees.CONTROL:
+        out = f"replace({out}, '{c}', '{c[0]}\\{c[1:]}')"
+    return out
+
+
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
+_FRAME = len(reply_trees.TURN + reply_trees.SAYS + reply_trees.END)
+
 ORACLE_SQL = {
+    "op11_reply_trees": f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES {", ".join(str(r) for r in CONVERSATION_7)}) AS v(conv_id, turn, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum({_FRAME} + length({_sql_escaped("role")}) + length({_sql_escaped("text")})) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id""",
     "op4_warc": f"""
 WITH hashed AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
