@@ -32,7 +32,8 @@ from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,9 @@ from quire.llm.tokens import _SIMPLE, WordEncoder, _byte_chars, default_tokenize
 #: Text that a task aligns at once, and that shares one list of pairs.
 BATCH_CHARS, CHUNK_CHARS = 4_000_000, 24_000_000
 #: Words (and characters of words) that a worker remembers between batches, and A stems.
-CACHE_WORDS, CACHE_CHARS, CACHE_STEMS = 250_000, 4_000_000, 100_000
+CACHE_WORDS, CACHE_CHARS, CACHE_STEMS = 600_000, 8_000_000, 100_000
+#: Links of one slice that are listed one by one.
+SLICE_LINKS = 4096
 #: Pairs in one row of a chunk's list.
 ROW_PAIRS = 100_000
 
@@ -74,19 +77,16 @@ def default_pieces() -> str:
 
 def common_slices(lengths_a: list[int], lengths_b: list[int]) -> list[tuple[int, int, int, int]]:
     """(a0, a1, b0, b1) of the groups between the byte ends that both lists have."""
-    at_a = {end: i for i, end in enumerate(accumulate(lengths_a), 1)}
-    at_b = {end: i for i, end in enumerate(accumulate(lengths_b), 1)}
-    out, a0, b0 = [], 0, 0
-    for end in sorted(at_a.keys() & at_b.keys()):
-        a1, b1 = at_a[end], at_b[end]
-        out.append((a0, a1, b0, b1))
-        a0, b0 = a1, b1
-    return out
+    at_a = dict(zip(accumulate(lengths_a), range(1, len(lengths_a) + 1)))
+    at_b = dict(zip(accumulate(lengths_b), range(1, len(lengths_b) + 1)))
+    common = sorted(at_a.keys() & at_b.keys())
+    a1, b1 = list(map(at_a.__getitem__, common)), list(map(at_b.__getitem__, common))
+    return list(zip([0, *a1], a1, [0, *b1], b1))
 
 
 class Aligner:
     """Both tokenizers and what has been aligned so far. Per word (with its blank): the
-    sizes, the groups as text, and the distinct id pairs with their number of links."""
+    sizes, the groups as text, and the id pairs of its links."""
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
@@ -96,10 +96,13 @@ class Aligner:
         back = {c: b for b, c in _byte_chars().items()}
         size = self.a.tok.get_vocab_size()
         entries = [self.a.tok.id_to_token(i) or "" for i in range(size)]
-        self.bytes_a = [bytes(back.get(ord(c), 0) for c in t) for t in entries]
+        self.bytes_a = [bytes(back.get(c, 0) for c in t) for t in entries]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
+        self.size_a, self.size_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
+        self.name_a = [f"{i}|" for i in range(len(self.bytes_a))]
+        self.name_b = [str(i) for i in range(len(self.bytes_b))]
         self.by_word = self.a.by_word and not any(re.search("[^▁]▁", p) for p in pieces)
         self.forget()
 
@@ -121,36 +124,59 @@ class Aligner:
         return array(self.a.code, got).tolist()
 
     def learn(self, words: list[str]) -> None:
-        """Encode and align words that are not known yet."""
-        for word, b in zip(words, self.b.encode(words, num_threads=1)):
-            a = self._ids_a(word)
-            one, two = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-            whole = (" " + word).encode()
-            self.index[word] = len(self.groups)
-            self.chars += len(word)
-            if b"".join(one) != whole or b"".join(two) != whole:
-                self.sizes.extend((-1, 0, 0, 0))
-                self.groups.append("")
-                self.pair_end.append(len(self.pair_id))
-                continue
-            pairs: Counter = Counter()
-            texts, links = [], 0
-            slices = common_slices([len(x) for x in one], [len(x) for x in two])
-            for a0, a1, b0, b1 in slices:
-                texts.append(",".join(map(str, a[a0:a1])) + "|" + ",".join(map(str, b[b0:b1])))
-                links += (a1 - a0) * (b1 - b0)
-                if a1 - a0 == 1 == b1 - b0:
-                    pairs[a[a0] << 32 | b[b0]] += 1
-                else:
-                    several = Counter(b[b0:b1]).items()
-                    for x, k in Counter(a[a0:a1]).items():
-                        for y, m in several:
-                            pairs[x << 32 | y] += k * m
-            self.sizes.extend((len(a), len(b), len(slices), links))
-            self.groups.append(";".join(texts))
-            self.pair_id.extend(pairs.keys())
-            self.pair_n.extend(pairs.values())
-            self.pair_end.append(len(self.pair_id))
+        """Encode and align words that are not known yet, all of them in a row: behind
+        one another they are one stretch of bytes, in which every word's end is common."""
+        known = len(self.groups)
+        self.index.update(zip(words, range(known, known + len(words))))
+        self.chars += sum(map(len, words))
+        ids = [list(map(self._ids_a, words)), self.b.encode(words, num_threads=1)]
+        good = self._gives_back(words, ids)
+        kept = [[x for x, ok in zip(side, good) if ok] for side in ids]
+        word = np.flatnonzero(good)
+        count = [np.fromiter(map(len, side), np.int64, len(side)) for side in kept]
+        a, b = (list(chain.from_iterable(side)) for side in kept)
+        flat_a, flat_b = np.array(a, np.int64), np.array(b, np.int64)
+        slices = np.array(common_slices(self.size_a[flat_a].tolist(), self.size_b[flat_b].tolist()), np.int64).reshape(-1, 4)
+        a0, a1, b0, b1 = slices.T
+        owner = np.repeat(word, count[0])[a1 - 1]  # the word of each group
+        links = (a1 - a0) * (b1 - b0)
+        texts = list(map(add, map(self.name_a.__getitem__, flat_a[a0].tolist()), map(self.name_b.__getitem__, flat_b[b0].tolist())))
+        for g in np.flatnonzero(links > 1).tolist():
+            texts[g] = ",".join(map(str, a[a0[g]:a1[g]])) + "|" + ",".join(map(str, b[b0[g]:b1[g]]))
+        # the links of every slice, each A token with each B token
+        few = np.flatnonzero(links <= SLICE_LINKS)
+        g = np.repeat(few, links[few])
+        k = np.arange(len(g)) - np.repeat(np.cumsum(links[few]) - links[few], links[few])
+        width = (b1 - b0)[g]
+        pairs = [(owner[g], flat_a[a0[g] + k // width] << 32 | flat_b[b0[g] + k % width], np.ones(len(g), np.int64))]
+        for g in np.flatnonzero(links > SLICE_LINKS).tolist():  # equal ids of a long slice are counted first
+            each_b = Counter(b[b0[g]:b1[g]]).items()
+            each = [(x << 32 | y, i * j) for x, i in Counter(a[a0[g]:a1[g]]).items() for y, j in each_b]
+            pairs.append(([owner[g]] * len(each), *zip(*each)))
+        of, pair, n = (np.concatenate([np.asarray(x, np.int64) for x in column]) for column in zip(*pairs))
+        order = np.argsort(of, kind="stable")
+        self.pair_id.frombytes(pair[order].tobytes())
+        self.pair_n.frombytes(n[order].tobytes())
+        before = self.pair_end[-1] if self.pair_end else 0
+        self.pair_end.frombytes((before + np.cumsum(np.bincount(of, minlength=len(words)))).tobytes())
+        sizes = np.zeros((len(words), 4), np.int64)
+        sizes[~good, 0] = -1
+        sizes[word, 0], sizes[word, 1] = count
+        n_groups = np.bincount(owner, minlength=len(words))
+        sizes[:, 2], sizes[:, 3] = n_groups, np.bincount(owner, links, len(words))
+        self.sizes.frombytes(sizes.tobytes())
+        end = np.cumsum(n_groups).tolist()
+        self.groups += [";".join(texts[x:y]) for x, y in zip([0, *end], end)]
+
+    def _gives_back(self, words: list[str], ids: list[list[list[int]]]) -> np.ndarray:
+        """Whether the tokens of both sides give the bytes of each word."""
+        good = np.ones(len(words), bool)
+        whole = [(" " + w).encode() for w in words]
+        for side, piece in zip(ids, (self.bytes_a, self.bytes_b)):
+            joined = [b"".join(map(piece.__getitem__, x)) for x in side]
+            if joined != whole:
+                good &= np.fromiter((x == y for x, y in zip(joined, whole)), bool, len(words))
+        return good
 
     def words(self, text: str) -> list[str]:
         """The words of blank + text, each without its blank."""
