@@ -27,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -130,12 +131,13 @@ def branches(messages: DataFrame, keep: int | None = 1, unique: bool = False) ->
     if keep is not None:
         ranked = ranked.where(F.col("branch_rank") <= keep)  # a limit per task first, then per tree
     chosen = stage(ranked, "branches")
-    path = chosen.select("leaf", F.col("leaf").alias("node"), (F.col("length") - 1).alias("place"))
-    for k, table in enumerate(jumps[:-1]):
-        up = table.select("node", "up")
-        path = path.join(up, "node", "left").select("leaf", F.explode(F.array_compact(F.array(
-            F.struct("node", "place"), F.when(F.col("up").isNotNull(), F.struct(F.col("up").alias("node"), (F.col("place") - 2 ** k).alias("place")))))
-        ).alias("x")).select("leaf", "x.node", "x.place")
+    # from the longest pointers down: a message `2^k` above another one is listed in round k, each of them once
+    found = [chosen.select("leaf", F.col("leaf").alias("node"), (F.col("length") - 1).alias("place"))]
+    for k in range(len(jumps) - 2, -1, -1):
+        path = reduce(DataFrame.unionByName, found)
+        far = path.where(F.col("place") >= 2 ** k).join(jumps[k].where("up IS NOT NULL").select("node", "up"), "node")
+        found.append(stage(far.select("leaf", F.col("up").alias("node"), (F.col("place") - 2 ** k).alias("place")), "path"))
+    path = reduce(DataFrame.unionByName, found)
     return path.join(chosen.drop("length"), "leaf").join(nodes.select("node", "id", "role", "text"), "node").drop("node")
 
 
