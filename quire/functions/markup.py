@@ -29,6 +29,8 @@ BLOCKS = ["address", "article", "aside", "blockquote", "body", "dd", "details",
 # fixed values: what references to the C1 controls 0x80-0x9F stand for in HTML
 C1_NUMBERS = "".join(map(chr, [0x80, *range(0x82, 0x8D), 0x8E, *range(0x91, 0x9D), 0x9E, 0x9F]))
 C1_MEANT = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+# fixed values: references that pages use most
+COMMON = ["amp", "lt", "gt", "quot", "apos", "nbsp", "laquo", "raquo", "mdash", "ndash", "hellip"]
 # ---------------------------------------------------------------------------
 
 INVISIBLE = r"(?is)<!--.*?(?:-->|\z)|<(script|style)(?=[\s/>])[^>]*+>.*?(?:</\1\s*+>|\z)"
@@ -37,7 +39,7 @@ ATTRIBUTE = r"""[^\s"'<>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?"""
 DEC_REF = r"^#0*([0-9]+);"
 HEX_REF = r"^#[xX]0*([0-9a-fA-F]+);"
 NAMED_REF = r"^([A-Za-z][A-Za-z0-9]*);"
-_SEPARATOR = "\x01"
+_ENTRY, _MEANS = "\x01", "\x02"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -65,22 +67,34 @@ def _number(digits: Column, base: int) -> Column:
     return F.when(F.length(digits) <= 8, F.conv(digits, base, 10).try_cast("long"))
 
 
-def _named_references() -> Column:
-    """name -> characters, for every named reference of HTML (a constant map)."""
-    names = sorted(n[:-1] for n in html5 if n.endswith(";"))
-    return F.map_from_arrays(F.split(F.lit(_SEPARATOR.join(names)), _SEPARATOR),
-                             F.split(F.lit(_SEPARATOR.join(html5[n + ";"] for n in names)), _SEPARATOR))
+def _reference_table() -> str:
+    """Every named reference of HTML and its characters as one text: a literal of this
+    size costs a plan little, where a map of as many entries is compared entry by entry."""
+    return _ENTRY + _ENTRY.join(n[:-1] + _MEANS + html5[n] for n in sorted(html5) if n.endswith(";")) + _ENTRY
+
+
+def _named(name: Column) -> Column:
+    """The characters of a named reference; null for an unknown name. The common ones are
+    told apart before the table is searched."""
+    table = F.lit(_reference_table())
+
+    def found(at: Column) -> Column:
+        start = at + F.char_length(name) + 2
+        return F.when(at > 0, F.substring_index(table.substr(start, F.lit(8)), _ENTRY, 1))
+
+    out = let(F.position(F.concat(F.lit(_ENTRY), name, F.lit(_MEANS)), table), found)
+    for common in reversed(COMMON):
+        out = F.when(name == common, html5[common + ";"]).otherwise(out)
+    return out
 
 
 def unescape(c) -> Column:
     """Decode numeric (&#1085; &#x43D;) and named (&eacute;) references, each
     once: '&amp;#39;' becomes '&#39;'. Unknown names, and names without their
     semicolon, stay as they are; texts without '&' pass through."""
-    named = _named_references()
-
     def decode(t: Column) -> Column:
         dec, hx = F.regexp_extract(t, DEC_REF, 1), F.regexp_extract(t, HEX_REF, 1)
-        name = F.try_element_at(named, F.regexp_extract(t, NAMED_REF, 1))
+        name = let(F.regexp_extract(t, NAMED_REF, 1), _named)
         after = F.regexp_replace(t, r"^[^;]*+;", "")
         return (F.when(dec != "", F.concat(_code_point(_number(dec, 10)), after))
                 .when(hx != "", F.concat(_code_point(_number(hx, 16)), after))
@@ -178,11 +192,77 @@ def first_element(page: Column, tag: str, cls: str | None = None, attr: tuple[st
     return let(_cut(page, tag), found)
 
 
+def _step(tag: str, t: Column) -> Column:
+    """Change of the nesting depth at the tag `t`."""
+    if tag == "p":
+        return F.lit(0)
+    step = F.when(t.startswith("</"), -1).otherwise(1)
+    return F.when(t.rlike(r"(?i)^</?li[\s/>]"), 0).otherwise(step) if tag == "li" else step
+
+
+def _level(tag: str, t: Column, depth: Column) -> Column:
+    """The level at which the tag `t` begins or ends elements, by the depth behind it;
+    null where it does neither. An element ends at the next tag of its level."""
+    if tag == "p":
+        return F.lit(0)
+    if tag == "li":
+        return F.when(t.rlike(r"(?i)^</?li[\s/>]"), depth).when(t.startswith("</"), depth + 1)
+    return F.when(t.startswith("</"), depth + 1).otherwise(depth)
+
+
+def _depths(steps: Column) -> Column:
+    """Running sums of `steps`. A fold that appends copies what it has, so the sums are
+    built in blocks of sqrt(n) steps, and the blocks' own sums in another fold."""
+    def running(values: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("sum"), F.expr("CAST(array() AS array<int>)").alias("all"))
+        return F.aggregate(values, begin, lambda s, x: F.struct(
+            (s["sum"] + x).alias("sum"), F.concat(s["all"], F.array(s["sum"] + x)).alias("all")))["all"]
+
+    def whole(size: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(steps) - 1, size)
+        blocks = F.transform(starts, lambda i: running(F.slice(steps, i + 1, size)))
+
+        def joined(parts: Column) -> Column:
+            before = running(F.transform(parts, lambda b: F.element_at(b, -1)))
+            return let(before, lambda sums: F.flatten(F.transform(
+                parts, lambda b, k: F.transform(b, lambda x: x + F.when(k > 0, F.get(sums, k - 1)).otherwise(0)))))
+
+        return let(blocks, joined)
+
+    block = F.ceil(F.sqrt(F.size(steps))).cast("int")
+    return F.when(F.size(steps) > 0, let(block, whole)).otherwise(steps)
+
+
+def _ends(tags: Column, tag: str) -> Column:
+    """For every tag that begins or ends an element, in order: its place and the place of the
+    next tag of its level (both from 1; null if there is none). One sort by level and place
+    finds all of them, however many elements a page has."""
+    if tag == "p":
+        count = F.size(tags)
+        return F.transform(tags, lambda _, i: F.struct((i + 1).alias("place"), F.when(i + 1 < count, i + 2).alias("end")))
+    steps = F.transform(tags, lambda t: _step(tag, t))
+
+    def events(depths: Column) -> Column:
+        marked = F.transform(tags, lambda t, i: F.struct(_level(tag, t, F.get(depths, i)).alias("level"), (i + 1).alias("place")))
+        return F.array_sort(F.filter(marked, lambda e: e["level"].isNotNull()))
+
+    def pairs(ordered: Column) -> Column:
+        def pair(e: Column, i: Column) -> Column:
+            after = F.get(ordered, i + 1)
+            return F.struct(e["place"].alias("place"), F.when(after["level"] == e["level"], after["place"]).alias("end"))
+
+        return F.array_sort(F.transform(ordered, pair))
+
+    return let(let(let(steps, _depths), events), pairs)
+
+
 def all_elements(page: Column, tag: str, cls: str | None = None) -> Column:
-    """Inner html of every matching element of a `visible` page, nested ones too."""
+    """Inner html of every matching element of a `visible` page, nested ones too. The work
+    grows with the page's tags (and the text given back), not with their square."""
     def found(cut: Column) -> Column:
-        places = F.filter(F.transform(cut["tags"], lambda t, i: F.when(_is(t, tag, cls, None), i + 1)),
-                          lambda i: i.isNotNull())
-        return F.transform(places, lambda i: _inner(cut, i, tag))
+        tags, pieces = cut["tags"], cut["pieces"]
+        own = F.filter(_ends(tags, tag), lambda e: _is(F.element_at(tags, e["place"]), tag, cls, None))
+        last = F.size(pieces)
+        return F.transform(own, lambda e: F.array_join(F.slice(pieces, e["place"] + 1, F.coalesce(e["end"], last) - e["place"]), ""))
 
     return let(_cut(page, tag), found)

@@ -33,8 +33,9 @@ GENRES_NOISE = r" \n |\n|№\d+в"
 TRANSLATOR_LABEL = r"Перевод[чик]*[и]*: (.+)"
 STAT_LINES = {"haveread": 0, "planned": 2, "reviews": 4, "quotes": 7}
 # --- fixed values: page selectors and URL paths ----------------------------
-BOOK_BLOCKS = {"title": ("h1", "bc__book-title"), "author": ("h2", "bc-author"), "info": ("div", "bc-info"),
-               "rating": ("div", "bc-rating"), "stat": ("div", "bc-stat"), "edition": ("table", "bc-edition")}
+BOOK_BLOCKS = {"booktitle": ("h1", "bc__book-title"), "author": ("h2", "bc-author"), "info": ("div", "bc-info"),
+               "rating_block": ("div", "bc-rating"), "stat_block": ("div", "bc-stat"), "edition_block": ("table", "bc-edition")}
+BLOCK_SPACES = {"stat_block": ""}  # what runs of blanks become, where not one blank
 AUTHOR_LINK_CLASS = "bc-author__link"
 EDITION_LINK_CLASS = "bc-edition__link"
 LISTING_ITEM_CLASS = "book-item__link"
@@ -55,9 +56,12 @@ def element_texts(html, tag: str, cls: str | None = None) -> Column:
     return M.all_elements(M.visible(html), tag, cls)
 
 
-def first_node_text(page: Column, tag: str, cls: str | None = None, attr: tuple[str, str] | None = None) -> Column:
-    """node_text of the first matching element of a `visible` page; 'null' when there is none."""
-    return F.coalesce(node_text(M.first_element(page, tag, cls, attr)), F.lit(C.SENTINEL))
+def first_node_texts(page: Column, selectors: dict[str, tuple]) -> Column:
+    """A struct with node_text of the first element of a `visible` page for each name -> (tag, class,
+    attribute); 'null' when there is none (K18). One expression decodes all of them."""
+    found = F.array(*[M.first_element(page, *s) for s in selectors.values()])
+    texts = F.transform(found, lambda inner: F.coalesce(node_text(inner), F.lit(C.SENTINEL)))
+    return M.let(texts, lambda t: F.struct(*[F.get(t, F.lit(i)).alias(name) for i, name in enumerate(selectors)]))
 
 
 def element_text(html, tag: str, cls: str | None = None, space_to: str = " ") -> Column:
@@ -245,26 +249,25 @@ def book_records(pages: DataFrame, parser: str = "native") -> DataFrame:
     its blocks, and every field is read from its (short) block, so no search of
     the page runs once per field. `parser="html"` cuts the blocks with the
     stdlib HTML parser instead (pandas UDF), as a check of the native one."""
-    h = F.col("html")
+    seen = pages.select("url", "html", M.visible("html").alias("page"))
     if parser == "html":
-        from quire.functions.html_parse import element_text_parsed as text_of
-    else:
-        text_of = _block_text
-    seen = pages.select("url", "html", M.visible(h).alias("page"))
-    source = F.col("html" if parser == "html" else "page")
+        from quire.functions.html_parse import element_text_parsed
+        texts = F.array(*[element_text_parsed(F.col("html"), *BOOK_BLOCKS[b], space_to=BLOCK_SPACES.get(b, " ")) for b in BOOK_BLOCKS])
+    else:  # one expression decodes all blocks
+        texts = F.transform(F.array(*[M.first_element(F.col("page"), *s) for s in BOOK_BLOCKS.values()]),
+                            lambda inner: M.unescape(M.strip_tags(inner)))
+
+    def block(t: Column, i: int, name: str) -> Column:
+        text = F.get(t, F.lit(i))
+        return (text if parser == "html" else C.squeeze_whitespace(text, BLOCK_SPACES.get(name, " "))).alias(name)
+
     # one generated row per page: filters on its fields are not pushed into the
     # cut, which would run it once per filter
-    cut = seen.select(F.inline(F.array(F.struct(
+    cut = seen.select(F.inline(F.transform(F.array(texts), lambda t: F.struct(
         F.nullif(C.id_from_url("url", BOOK_URL_PREFIX), F.lit("")).alias("id"),
-        text_of(source, *BOOK_BLOCKS["title"]).alias("booktitle"),
-        text_of(source, *BOOK_BLOCKS["author"]).alias("author"),
         anchor_href(F.col("page"), AUTHOR_LINK_CLASS).alias("a_href"),
         anchor_href(F.col("page"), EDITION_LINK_CLASS, must_contain="publisher").alias("p_href"),
-        text_of(source, *BOOK_BLOCKS["info"]).alias("info"),
-        text_of(source, *BOOK_BLOCKS["rating"]).alias("rating_block"),
-        text_of(source, *BOOK_BLOCKS["stat"], space_to="").alias("stat_block"),
-        text_of(source, *BOOK_BLOCKS["edition"]).alias("edition_block"),
-    ))))
+        *[block(t, i, name) for i, name in enumerate(BOOK_BLOCKS)]))))
 
     def of(block: str, value: Column) -> Column:
         return F.when(F.col(block).isNotNull(), value)
@@ -291,13 +294,11 @@ def accepted_books(pages: DataFrame) -> DataFrame:
 def author_records(pages: DataFrame) -> DataFrame:
     """One all-string bronze authors row per author page (K18): name,
     original name and five counters; a missing element reads 'null'."""
-    h = F.col("page")
+    selectors = {"name": ("span", AUTHOR_NAME_CLASS), "originalname": ("span", AUTHOR_ORIGINAL_NAME_CLASS),
+                 **{c: ("span", None, ("title", t)) for c, t in AUTHOR_COUNTER_TITLES.items()}}
     return pages.select("url", M.visible("html").alias("page")).select(
         F.nullif(C.id_from_url("url", AUTHOR_URL_PREFIX), F.lit("")).alias("authorid"),
-        first_node_text(h, "span", AUTHOR_NAME_CLASS).alias("name"),
-        first_node_text(h, "span", AUTHOR_ORIGINAL_NAME_CLASS).alias("originalname"),
-        *[first_node_text(h, "span", attr=("title", t)).alias(c) for c, t in AUTHOR_COUNTER_TITLES.items()],
-    )
+        first_node_texts(F.col("page"), selectors).alias("t")).select("authorid", *[F.col(f"t.{c}") for c in selectors])
 
 
 def publisher_records(pages: DataFrame) -> DataFrame:
@@ -311,11 +312,11 @@ def publisher_records(pages: DataFrame) -> DataFrame:
                      lambda x: x.contains(PUBLISHER_BOOKS_LABEL))
     paras = F.filter(M.all_elements(h, "p"), lambda x: x.contains(PUBLISHER_YEAR_LABEL))
     year_text = F.regexp_extract(F.get(paras, 0), r"(?s)" + PUBLISHER_YEAR_LABEL.strip() + r"(.*)", 1)
+    selectors = {"name": ("title", None, ("id", PUBLISHER_TITLE_ID)), "page": ("a", PUBLISHER_LINK_CLASS),
+                 "favorite": ("span", PUBLISHER_FAVORITE_CLASS)}
     return pages.select("url", M.visible("html").alias("page")).select(
         F.nullif(C.id_from_url("url", PUBLISHER_URL_PREFIX), F.lit("")).alias("publisherid"),
-        first_node_text(h, "title", attr=("id", PUBLISHER_TITLE_ID)).alias("name"),
+        first_node_texts(h, selectors).alias("t"),
         node_text(F.get(items, 0)).alias("books"),
         F.regexp_replace(M.strip_tags(year_text), r"\s+", "").alias("years"),
-        first_node_text(h, "a", PUBLISHER_LINK_CLASS).alias("page"),
-        first_node_text(h, "span", PUBLISHER_FAVORITE_CLASS).alias("favorite"),
-    )
+    ).select("publisherid", F.col("t.name"), "books", "years", F.col("t.page"), F.col("t.favorite"))

@@ -386,7 +386,7 @@ def link_frontier_distinct(spark, d):
 
 @query
 def html_first_element_text(spark, d):
-    pg = _table(spark, d, "pages")
+    pg = blocks.spread(_table(spark, d, "pages").select("page_id", "html"), "page_id")
     return pg.select("page_id", P.element_text("html", "title").alias("title"),
                      P.element_text("html", "h1").alias("h1"))
 
