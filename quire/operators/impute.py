@@ -5,8 +5,9 @@ and the global mean with an empty-partition window. Both put a whole group
 (or the whole table) into one task. Here a group mean is a hash aggregate
 (partial aggregation map-side, so a key holding a third of the rows is reduced
 before the shuffle) joined back on the key; AQE turns the join into a
-broadcast when the measured aggregate is small and splits skewed partitions
-otherwise. Global values are scalar subqueries: one partial aggregate per
+broadcast when the measured aggregate is small. The silver jobs join back by
+`join_split`: the aggregate counts its rows, and the most frequent keys leave the
+shuffle join, so a hot key is dealt over all tasks with or without AQE. Global values are scalar subqueries: one partial aggregate per
 task, one row at the end, folded into the projection without a join.
 """
 
@@ -15,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.operators.joins import join_split
+
 
 def group_means(df: DataFrame, key: str, values: dict[str, Column]) -> DataFrame:
     """One row per distinct `key` (NULL is its own group) with avg of each value."""
@@ -22,12 +25,17 @@ def group_means(df: DataFrame, key: str, values: dict[str, Column]) -> DataFrame
 
 
 def attach_group_means(df: DataFrame, key: str, values: dict[str, Column],
-                       source: DataFrame | None = None) -> DataFrame:
+                       source: DataFrame | None = None, split: bool = False) -> DataFrame:
     """`df` plus one column per entry of `values`: the mean of that expression
     over the rows of `source` (default `df`) sharing `key` (window-mean
-    semantics, NULL keys form a group)."""
-    means = group_means(df if source is None else source, key, values) \
-        .withColumnRenamed(key, "__mean_key")
+    semantics, NULL keys form a group). `split` takes the frequent keys out of
+    the shuffle join (`join_split`) instead of leaving them to AQE."""
+    source = df if source is None else source
+    if split:
+        means = source.groupBy(key).agg(*[F.avg(v).alias(name) for name, v in values.items()],
+                                        F.count(F.lit(1)).alias("__rows"))
+        return join_split(df, means, key, "__rows")
+    means = group_means(source, key, values).withColumnRenamed(key, "__mean_key")
     joined = df.join(means, df[key].eqNullSafe(means["__mean_key"]), "left")
     return joined.drop("__mean_key")
 

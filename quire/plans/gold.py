@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quire.operators.dedupe import insert_ignore
 from quire.operators.ids import Numbered, dense_ids
-from quire.operators.joins import join_dimension
+from quire.operators.joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, join_dimension, join_split
 from quire.sources.schemas import GOLD_BOOKS_DROPPED, KEYS
 
 GENRE_SEPARATOR = ", "
@@ -44,10 +44,14 @@ def genre_dictionary(pairs: DataFrame) -> Numbered:
 def book_genre(pairs: DataFrame, genres: Numbered) -> DataFrame:
     """gold.book_genre(genre_id, book_id): distinct pairs with a known book id,
     joined to the dictionary (D4; broadcast only within the measured size
-    bounds), sorted by book (G1)."""
+    bounds, else split at the frequent genres), sorted by book (G1)."""
     known = pairs.where(F.col("book_id").isNotNull()).distinct()
-    bridged = join_dimension(known, genres.frame, "genre", "inner",
-                             dim_rows=genres.rows, dim_bytes=genres.payload_bytes)
+    if genres.rows <= BROADCAST_MAX_ROWS and genres.payload_bytes <= BROADCAST_MAX_BYTES:
+        bridged = join_dimension(known, genres.frame, "genre", "inner",
+                                 dim_rows=genres.rows, dim_bytes=genres.payload_bytes)
+    else:  # a popular genre is dealt over all tasks
+        weights = known.groupBy("genre").agg(F.count(F.lit(1)).alias("__rows"))
+        bridged = join_split(known, genres.frame.join(weights, "genre"), "genre", "__rows", "inner")
     return bridged.select(F.col("id").alias("genre_id"), "book_id") \
         .orderBy("book_id", "genre_id")
 

@@ -162,8 +162,8 @@ def _books_once(spark, d):
 def impute_year_by_group(spark, d):
     once = _books_once(spark, d)
     y = C.int_lenient("editionyear")
-    m = attach_group_means(once, "publisherid", {"y_pub": y})
-    m = attach_group_means(m, "authorid", {"y_auth": y}, source=once)
+    m = attach_group_means(once, "publisherid", {"y_pub": y}, split=True)
+    m = attach_group_means(m, "authorid", {"y_auth": y}, source=once, split=True)
     raw = F.col("editionyear")
     year = F.when((raw == C.SENTINEL) | raw.isNull(), F.coalesce("y_pub", "y_auth")).otherwise(y.cast("double"))
     return m.select("id", "publisherid", "authorid", year.try_cast("int").alias("editionyear"))
@@ -175,7 +175,7 @@ def impute_pages_by_group_median(spark, d):
     med = global_value(b, approx_median(C.double_lenient("pages"))).try_cast("int")
     once = _books_once(spark, d)
     raw = C.sentinel_to_null("pages")
-    m = attach_group_means(once, "authorid", {"p_auth": C.int_lenient(raw)})
+    m = attach_group_means(once, "authorid", {"p_auth": C.int_lenient(raw)}, split=True)
     pages = F.when(raw.isNull() | (C.int_lenient(raw) > C.PAGES_OUTLIER),
                    F.coalesce(F.col("p_auth"), med.cast("double"))).otherwise(C.double_lenient(raw))
     return m.select("id", "authorid", pages.try_cast("int").alias("pages"))

@@ -37,9 +37,9 @@ def books(bronze: DataFrame, corrected: bool = False, unique: bool = False) -> D
     # F1 / F2: group means over raw string keys of the de-duplicated rows.
     year_num = C.int_lenient("editionyear")
     pages_num = C.int_lenient(C.sentinel_to_null("pages"))
-    means = attach_group_means(once, "publisherid", {"__year_pub": year_num})
+    means = attach_group_means(once, "publisherid", {"__year_pub": year_num}, split=True)
     means = attach_group_means(means, "authorid", {"__year_author": year_num,
-                                                    "__pages_author": pages_num}, source=once)
+                                                    "__pages_author": pages_num}, source=once, split=True)
 
     year = F.when(_sentinel_or_null("editionyear"),
                   F.coalesce(F.col("__year_pub"), F.col("__year_author"))) \
