@@ -439,6 +439,14 @@ def build() -> dict[str, str]:
                                  f"count(DISTINCT book_id) AS n_books FROM pairs WHERE book_id IS NOT NULL "
                                  f"GROUP BY genre, floor(book_id / 1024)")
     o["genre_dictionary"] = f"{sb}, {GENRE_PAIRS}, {GENRES} SELECT genre, id FROM dict"
+    o["genre_dictionary_incremental"] = (
+        f"{sb}, {GENRE_PAIRS}, "
+        f"shipped AS (SELECT l_partkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1995-01-03'), "
+        f"old AS (SELECT genre, row_number() OVER (ORDER BY encode(genre)) - 1 AS id FROM "
+        f"(SELECT DISTINCT genre FROM pairs WHERE book_id IN (SELECT l_partkey FROM shipped))) "
+        f"SELECT genre, id FROM old UNION ALL "
+        f"SELECT genre, (SELECT count(*) FROM old) + row_number() OVER (ORDER BY encode(genre)) - 1 AS id FROM "
+        f"(SELECT DISTINCT genre FROM pairs WHERE genre NOT IN (SELECT genre FROM old))")
     o["book_genre_bridge"] = (f"{sb}, {GENRE_PAIRS}, {GENRES} SELECT DISTINCT d.id AS genre_id, p.book_id "
                               f"FROM pairs p JOIN dict d ON p.genre = d.genre WHERE p.book_id IS NOT NULL")
     sa = f"WITH ba AS ({BRONZE_SQL['authors']}), {silver_authors_ctes()}"

@@ -20,6 +20,7 @@ from quire.operators.validate import ValidationFailed, validate, write_and_valid
 from quire.plans import gold, silver
 from quire.sources import io
 from quire.sources.schemas import BRONZE, GOLD, KEYS
+from quire.sources.versions import KEEP, Versions
 
 ENTITIES = ("books", "authors", "publishers")
 
@@ -34,8 +35,14 @@ class Layout:
     def silver(self, entity: str) -> str:
         return f"{self.root}/silver/{entity}"
 
+    def gold_root(self) -> str:
+        return f"{self.root}/gold"
+
     def gold(self, table: str) -> str:
-        return f"{self.root}/gold/{table}"
+        """Where the published version of a gold table lies (needs a session)."""
+        spark = SparkSession.getActiveSession()
+        published = Versions(spark, self.gold_root()).path(table) if spark is not None else None
+        return published or f"{self.gold_root()}/{table}"
 
     def results(self) -> str:
         return f"{self.root}/validation/results"
@@ -75,17 +82,19 @@ def build_silver(spark: SparkSession, layout: Layout, corrected: bool = False) -
 
 
 def publish_gold(spark: SparkSession, layout: Layout, corrected: bool = False,
-                 books_results: DataFrame | None = None) -> DataFrame:
+                 books_results: DataFrame | None = None, keep_versions: int = KEEP) -> DataFrame:
     """Validate all three candidate gold tables, then publish only if all pass
-    (L6, L7). The tables are written one after another: after a failure in
-    between, running the batch again completes them. On success books are overwritten, authors / publishers get their new
-    keys (insert-ignore, B7), and the genre dictionary and bridge are rebuilt.
-    The result rows are appended to the validation table either way."""
+    (L6, L7). On success books are overwritten within their schema (B2), authors /
+    publishers get their new keys (insert-ignore, B7), the genre dictionary its new genres, and
+    the bridge is rebuilt. The five tables are written to a new version and published by
+    one commit; a run that stops anywhere before leaves the old five. Versions beyond
+    `keep_versions` are removed. The result rows are appended to the validation table either way."""
+    layer = Versions(spark, layout.gold_root())
     sb = spark.read.parquet(layout.silver("books"))
     candidates = {"gold_books": gold.books(sb)}
     added = {}
     for entity in ("authors", "publishers"):
-        existing = io.read_or_empty(spark, layout.gold(entity), GOLD[entity])
+        existing = layer.read(entity, GOLD[entity])
         staged = spark.read.parquet(layout.silver(entity))
         # computed once: validated as part of the merged table, then appended
         added[entity] = new_rows_of_batch(existing, staged.select(*existing.columns), KEYS[entity]).checkpoint(eager=True)
@@ -104,12 +113,15 @@ def publish_gold(spark: SparkSession, layout: Layout, corrected: bool = False,
     if failed:
         raise ValidationFailed("; ".join(f"{r[0]}: {r[1]}({r[2]})" for r in failed))
 
-    io.overwrite(candidates["gold_books"], layout.gold("books"))
+    draft = layer.begin()
+    draft.write("books", candidates["gold_books"], GOLD["books"])
     for entity in ("authors", "publishers"):
-        io.append(added[entity], layout.gold(entity))
-    tables = gold.build(sb, corrected)
-    io.overwrite(tables.genres, layout.gold("genres"))
-    io.overwrite(tables.book_genre, layout.gold("book_genre"))
+        draft.append(entity, added[entity], GOLD[entity])
+    tables = gold.build(sb, corrected, layer.read("genres", GOLD["genres"]))
+    draft.append("genres", tables.new_genres, GOLD["genres"])
+    draft.write("book_genre", tables.book_genre, GOLD["book_genre"])
+    draft.commit()
+    layer.vacuum(keep_versions)
     return results
 
 

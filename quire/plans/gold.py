@@ -41,6 +41,19 @@ def genre_dictionary(pairs: DataFrame) -> Numbered:
     return dense_ids(pairs.select("genre").distinct(), ["genre"], "id")
 
 
+def extend_dictionary(stored: DataFrame, pairs: DataFrame) -> tuple[Numbered, DataFrame]:
+    """gold.genres over several days: (the whole dictionary, its new rows). Genres of the stored
+    dictionary (genre, id) keep their ids, those of genres that no book has any more included; new
+    genres follow the largest stored id in genre order. Only new genres are sorted and numbered."""
+    fresh = pairs.select("genre").distinct().join(stored.select("genre"), "genre", "left_anti")
+    numbered = dense_ids(fresh, ["genre"], "id")
+    last, rows, size = stored.agg(F.max("id"), F.count(F.lit(1)), F.sum(F.octet_length("genre") + 8)).first()
+    first = 0 if last is None else last + 1
+    added = numbered.frame.select("genre", (F.col("id") + first).alias("id"))
+    return Numbered(stored.select("genre", "id").unionByName(added), rows + numbered.rows,
+                    (size or 0) + numbered.payload_bytes), added
+
+
 def book_genre(pairs: DataFrame, genres: Numbered) -> DataFrame:
     """gold.book_genre(genre_id, book_id): distinct pairs with a known book id,
     joined to the dictionary (D4; broadcast only within the measured size
@@ -77,9 +90,11 @@ class GoldTables:
     genres: DataFrame
     book_genre: DataFrame
     genre_count: int
+    new_genres: DataFrame | None = None
 
 
-def build(silver_books: DataFrame, corrected: bool = False) -> GoldTables:
+def build(silver_books: DataFrame, corrected: bool = False, stored_genres: DataFrame | None = None) -> GoldTables:
+    """The gold tables of silver books. With the dictionary of earlier days, known genres keep their ids."""
     pairs = genre_pairs(silver_books, corrected)
-    genres = genre_dictionary(pairs)
-    return GoldTables(books(silver_books), genres.frame, book_genre(pairs, genres), genres.rows)
+    genres, added = (genre_dictionary(pairs), None) if stored_genres is None else extend_dictionary(stored_genres, pairs)
+    return GoldTables(books(silver_books), genres.frame, book_genre(pairs, genres), genres.rows, added)
