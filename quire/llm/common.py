@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.operators.joins import BROADCAST_MAX_BYTES
 from quire.session import ensure_checkpoint_dir
 
 
@@ -33,22 +34,33 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _is_scan(df: DataFrame) -> bool:
+    """Whether `df` is one file table with nothing but projections and filters above it,
+    so that a file and a row number in it name a row of `df`."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().apply(0)
+    if node.nodeName() != "LogicalRelation":
+        return False
+    try:
+        return len(df.select("_metadata.file_path", "_metadata.row_index").schema) == 2
+    except AnalysisException:  # formats without row numbers
+        return False
+
+
 def with_uid(df: DataFrame, columns: list[str], uid: str = "uid") -> DataFrame:
     """`columns` of `df` and a unique row id that every evaluation of the
-    result gives again. Rows read straight from files are numbered by their
-    place in the scan; any other frame is staged first, since the order of
-    shuffled rows may change from run to run."""
-    picked = df.select(*columns)
-    try:
-        df.select("_metadata.row_index").schema
-        scan = "Exchange" not in df._jdf.queryExecution().sparkPlan().toString() and not any(
-            x in df._jdf.queryExecution().optimizedPlan().toString()
-            for x in ("Join", "Aggregate", "Sort", "Repartition", "Window", "Limit", "Sample"))
-    except AnalysisException:
-        scan = False
-    if not scan:
-        picked = stage(picked, "rows")
-    return picked.withColumn(uid, F.monotonically_increasing_id())
+    result gives again, whatever the number of executors: rows read straight from
+    files are numbered by the rank of their file's path and their place in the file,
+    which do not depend on how files are split into tasks. Any other frame, and one
+    of so many files that their names are beyond the broadcast bound, is written with its ids first."""
+    files = [r[0] for r in df.select("_metadata.file_path").distinct().collect()] if _is_scan(df) else None
+    if files is None or sum(len(f.encode()) + 8 for f in files) > BROADCAST_MAX_BYTES:
+        return stage(df.select(*columns).withColumn(uid, F.monotonically_increasing_id()), "rows")
+    ranks = df.sparkSession.createDataFrame(list(zip(sorted(files), range(len(files)))), "__file string, __rank long")
+    rows = df.select(*columns, F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__place"))
+    return rows.join(F.broadcast(ranks), F.col("__path") == F.col("__file")) \
+        .select(*columns, (F.shiftleft("__rank", 40) + F.col("__place")).alias(uid))
 
 
 def open_fs(uri: str):

@@ -68,3 +68,54 @@ def test_row_ids_are_stable_for_shuffled_frames(spark):
     rows = with_uid(spark.range(100).repartition(5).selectExpr("id", "string(id) text"), ["id", "text"])
     assert rows.collect() == rows.collect()
     assert rows.select("uid").distinct().count() == 100
+
+
+def test_row_ids_do_not_depend_on_the_number_of_cores(spark, scratch):
+    path = f"{scratch}/seven files"
+    spark.range(1000).selectExpr("id", "string(id) text").repartition(7).write.parquet(path)
+    before = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None)
+    seen = []
+    try:
+        for cores in ("8", "2"):
+            spark.conf.set("spark.sql.leafNodeDefaultParallelism", cores)
+            df = spark.read.parquet(path)
+            seen.append([sorted(map(tuple, with_uid(x, ["id", "text"]).collect())) for x in (df, df.where("id % 3 > 0"))])
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism") if before is None else \
+            spark.conf.set("spark.sql.leafNodeDefaultParallelism", before)
+    assert seen[0] == seen[1] and len({r[2] for r in seen[0][0]}) == 1000 and len(seen[0][1]) == 666
+    twice = with_uid(spark.read.parquet(path).selectExpr("id", "explode(array(1, 2)) AS text"), ["id", "text"])
+    assert twice.select("uid").distinct().count() == 2000 and twice.collect() == twice.collect()
+    assert with_uid(spark.read.parquet(path).limit(0), ["id"]).count() == 0
+
+
+def test_stages_survive_another_number_of_cores(spark, scratch, monkeypatch):
+    """A lost or added executor between two jobs: the default parallelism is another one after each staged table."""
+    import corpus_pipeline
+    from quire.llm import common, repeats, simhash
+
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(400)]
+    shared = " ".join(rng.choice(words) for _ in range(60))
+    rows = [(i, " ".join(rng.choice(words) for _ in range(80)) + (shared if i % 5 == 0 else ""), "en", "s", 1) for i in range(300)]
+    rows += [(1000 + i, rows[i][1], "en", "s", 1) for i in range(0, 300, 7)]
+    path = f"{scratch}/docs"
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(7).write.parquet(path)
+    docs = lambda: spark.read.parquet(path)
+    jobs = {"near": lambda: corpus_pipeline.simhash_near_dedup(spark, docs(), ""),
+            "repeats": lambda: repeats.remove_repeats(docs()).select("doc_id", "n_removed", "n_spans", "kept_sha256")}
+    want = {name: sorted(map(tuple, job().collect())) for name, job in jobs.items()}
+    assert 0 < len(want["near"]) <= 300
+    real, turns = common.stage, iter(range(10**6))
+
+    def shaken(df, name):
+        out = real(df, name)
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "2" if next(turns) % 2 else "8")
+        return out
+
+    for module in (common, repeats, simhash, corpus_pipeline):
+        monkeypatch.setattr(module, "stage", shaken)
+    try:
+        assert {name: sorted(map(tuple, job().collect())) for name, job in jobs.items()} == want
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
