@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.sources.csv_ranges import read_csv_ranges
 from quire.sources.schemas import BRONZE
 
 CSV_NULL_MARKER = "\u0000"
@@ -90,8 +91,9 @@ def read_table(spark: SparkSession, source: str, fmt: str = "parquet",
 def read_staged_csv(spark: SparkSession, path: str, entity: str) -> DataFrame:
     """Headerless staged CSV with the all-string bronze schema (A3). A BOM is
     dropped, quoted fields may hold newlines and doubled quotes; an empty
-    unquoted field is NULL, an empty quoted field is ''."""
-    return spark.read.schema(BRONZE[entity]).options(**STAGED_CSV_READ).csv(path)
+    unquoted field is NULL, an empty quoted field is ''. A large file is read by
+    many tasks (csv_ranges)."""
+    return read_csv_ranges(spark, path, BRONZE[entity], STAGED_CSV_READ)
 
 
 def write_staged_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
