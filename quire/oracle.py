@@ -500,6 +500,20 @@ def build() -> dict[str, str]:
     o["book_pages_to_bronze"] = f"WITH {recs} SELECT * FROM recs"
     o["book_pages_to_bronze_parsed"] = o["book_pages_to_bronze"]
     o["book_page_rejects"] = f"WITH {recs} SELECT * FROM broken"
+    codes = {"id": "no_id_in_url", "booktitle": "no_title", "author": "no_author", "authorid": "no_author_link",
+             "isbn": "no_info_block", "rating": "no_rating_block", "haveread": "no_counters_block", "series": "no_edition_block"}
+
+    def reasons(rating_missing: str) -> str:
+        missing = {c: rating_missing if c == "rating" else f"{c} IS NULL" for c in codes}
+        return "concat_ws(',', " + ", ".join(f"CASE WHEN {missing[c]} THEN '{code}' END" for c, code in codes.items()) + ")"
+
+    o["book_page_reject_reasons"] = f"WITH {recs}, r AS (SELECT * FROM broken) SELECT id, {reasons('rating IS NULL')} AS reasons FROM r"
+    second = "CAST(id AS BIGINT) % 3 <> 0"
+    o["book_rejects_replayed"] = (
+        f"WITH {recs}, r AS (SELECT id, {second} AS again, "
+        f"{reasons(f'(rating IS NULL AND (NOT ({second}) OR CAST(id AS BIGINT) % 58 = 0))')} AS reasons FROM broken) "
+        "SELECT id, reasons, CAST(CASE WHEN again THEN 2 ELSE 1 END AS BIGINT) AS attempts, 'day1' AS first_run, "
+        "CASE WHEN again THEN 'day2' ELSE 'day1' END AS last_run, reasons = '' AS resolved FROM r")
     o["listing_book_frontier"] = (
         f"WITH part_pages AS ({blocks.LISTING_PAGE_SQL.replace("array_join(array_sort(collect_list(item)), '')", "array_to_string(list_sort(list(item)), '')")}), "
         f"tags AS (SELECT url, unnest(regexp_extract_all(html, {q(ANCHOR)}, 0)) AS tag FROM part_pages), "

@@ -240,16 +240,18 @@ PUBLISHER_FAVORITE_CLASS = "count-in-fav"
 BOOK_REQUIRED = ["id", "booktitle", "author", "authorid", "isbn", "rating", "haveread", "series"]
 
 
-def book_records(pages: DataFrame, parser: str = "native") -> DataFrame:
+def book_records(pages: DataFrame, parser: str = "native", keep: list[str] | None = None) -> DataFrame:
     """One all-string bronze books row per book page (K17). A field whose block
     (or author link) the page lacks is NULL; `split_rejects` with BOOK_REQUIRED
-    parts such rows from the whole ones (C15).
+    parts such rows from the whole ones (C15). `keep` names columns of the pages
+    to go along.
 
     Three projections: comments and scripts are dropped, the HTML is cut into
     its blocks, and every field is read from its (short) block, so no search of
     the page runs once per field. `parser="html"` cuts the blocks with the
     stdlib HTML parser instead (pandas UDF), as a check of the native one."""
-    seen = pages.select("url", "html", M.visible("html").alias("page"))
+    kept = {c: f"__kept{i}" for i, c in enumerate(keep or [])}
+    seen = pages.select("url", "html", M.visible("html").alias("page"), *[F.col(c).alias(k) for c, k in kept.items()])
     if parser == "html":
         from quire.functions.html_parse import element_text_parsed
         texts = F.array(*[element_text_parsed(F.col("html"), *BOOK_BLOCKS[b], space_to=BLOCK_SPACES.get(b, " ")) for b in BOOK_BLOCKS])
@@ -263,7 +265,7 @@ def book_records(pages: DataFrame, parser: str = "native") -> DataFrame:
 
     # one generated row per page: filters on its fields are not pushed into the
     # cut, which would run it once per filter
-    cut = seen.select(F.inline(F.transform(F.array(texts), lambda t: F.struct(
+    cut = seen.select(*kept.values(), F.inline(F.transform(F.array(texts), lambda t: F.struct(
         F.nullif(C.id_from_url("url", BOOK_URL_PREFIX), F.lit("")).alias("id"),
         anchor_href(F.col("page"), AUTHOR_LINK_CLASS).alias("a_href"),
         anchor_href(F.col("page"), EDITION_LINK_CLASS, must_contain="publisher").alias("p_href"),
@@ -274,7 +276,7 @@ def book_records(pages: DataFrame, parser: str = "native") -> DataFrame:
 
     fields = info_fields("info")
     return cut.select(
-        "id", "booktitle", "author",
+        *[F.col(k).alias(c) for c, k in kept.items()], "id", "booktitle", "author",
         of("a_href", or_sentinel(C.id_from_url("a_href", AUTHOR_URL_PREFIX))).alias("authorid"),
         *[of("info", fields[c]).alias(c) for c in ("isbn", "editionyear", "pages", "size", "covertype",
                                                    "language", "copiesissued", "agerestrictions", "genres",
@@ -301,12 +303,14 @@ def author_records(pages: DataFrame) -> DataFrame:
         first_node_texts(F.col("page"), selectors).alias("t")).select("authorid", *[F.col(f"t.{c}") for c in selectors])
 
 
-def publisher_records(pages: DataFrame) -> DataFrame:
+def publisher_records(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """One all-string bronze publishers row per publisher page (K19). `books`
     is the text of the first list item naming the book count; a page without
     one is a reject (NULL books, filter with `.where(books IS NOT NULL)`).
     `years` is the value after the founding-year label with tags and blanks
-    removed, NULL when no paragraph carries the label."""
+    removed, NULL when no paragraph carries the label. `keep` names columns of
+    the pages to go along."""
+    kept = {c: f"__kept{i}" for i, c in enumerate(keep or [])}
     h = F.col("page")
     items = F.filter(M.all_elements(h, "li", PUBLISHER_LIST_CLASS),
                      lambda x: x.contains(PUBLISHER_BOOKS_LABEL))
@@ -314,9 +318,10 @@ def publisher_records(pages: DataFrame) -> DataFrame:
     year_text = F.regexp_extract(F.get(paras, 0), r"(?s)" + PUBLISHER_YEAR_LABEL.strip() + r"(.*)", 1)
     selectors = {"name": ("title", None, ("id", PUBLISHER_TITLE_ID)), "page": ("a", PUBLISHER_LINK_CLASS),
                  "favorite": ("span", PUBLISHER_FAVORITE_CLASS)}
-    return pages.select("url", M.visible("html").alias("page")).select(
-        F.nullif(C.id_from_url("url", PUBLISHER_URL_PREFIX), F.lit("")).alias("publisherid"),
+    seen = pages.select("url", M.visible("html").alias("page"), *[F.col(c).alias(k) for c, k in kept.items()])
+    return seen.select(
+        *kept.values(), F.nullif(C.id_from_url("url", PUBLISHER_URL_PREFIX), F.lit("")).alias("publisherid"),
         first_node_texts(h, selectors).alias("t"),
         node_text(F.get(items, 0)).alias("books"),
         F.regexp_replace(M.strip_tags(year_text), r"\s+", "").alias("years"),
-    ).select("publisherid", F.col("t.name"), "books", "years", F.col("t.page"), F.col("t.favorite"))
+    ).select(*[F.col(k).alias(c) for c, k in kept.items()], "publisherid", F.col("t.name"), "books", "years", F.col("t.page"), F.col("t.favorite"))

@@ -16,7 +16,7 @@ from quire.functions import cleaning as C
 from quire.operators import validate as V
 from quire.operators.dedupe import dedupe_by_key, distinct_rows, insert_ignore, new_rows
 from quire.operators.impute import approx_median, attach_group_means, global_value
-from quire.plans import gold, pages as P, silver
+from quire.plans import gold, pages as P, rejects as R, silver
 from quire.session import ensure_checkpoint_dir
 from quire.sources import blocks, io
 from quire.sources.bronze_views import bronze
@@ -457,6 +457,29 @@ def book_page_rejects(spark, d):
     return P.split_rejects(P.book_records(blocks.book_pages(spark, d)), P.BOOK_REQUIRED)[1]
 
 
+@query
+def book_page_reject_reasons(spark, d):
+    """The rejected book pages with their reason codes."""
+    judged = R.with_reasons(P.book_records(blocks.book_pages(spark, d)), R.BOOK_REASONS)
+    return judged.where(F.size("reasons") > 0).select("id", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query
+def book_rejects_replayed(spark, d):
+    """Open and resolved rejects after two runs over landed book pages (C15): every page lands on
+    the first; on the second two thirds land again, half of those without a rating with one."""
+    log = R.RejectLog(spark, _scratch(spark, "rejects"))
+    again = blocks.relanded_book_pages(spark, d)
+    for run, landed in (("day1", blocks.book_pages(spark, d)), ("day2", again)):
+        log.record(R.with_reasons(P.book_records(landed, keep=["url"]), R.BOOK_REASONS), run)
+    book_id = C.id_from_url("url", P.BOOK_URL_PREFIX).alias("id")
+    still = log.open().select(book_id, F.array_join("reasons", ",").alias("reasons"), "attempts", "first_run", "last_run",
+                              F.lit(False).alias("resolved"))
+    done = log.resolved().select(book_id, F.lit("").alias("reasons"), "attempts", "first_run",
+                                 F.col("resolved_run").alias("last_run"), F.lit(True).alias("resolved"))
+    return still.unionByName(done)
+
+
 @query
 def book_pages_to_bronze_parsed(spark, d):
     """Same records with the blocks cut by the stdlib HTML parser, a check of the native cut."""
