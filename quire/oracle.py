@@ -474,6 +474,7 @@ def build() -> dict[str, str]:
                  f"{silver_books_ctes()}, {silver_authors_ctes()}, {silver_publishers_ctes()}, "
                  f"gold_books AS ({gold_books_select()}), results AS ({suite_sql('gold_books', 'gold_books')} UNION ALL "
                  f"{suite_sql('silver_authors', 'gold_authors')} UNION ALL {suite_sql('silver_publishers', 'gold_publishers')})")
+    o["checkpoint_report"] = f"{all_three} SELECT * FROM results"
     o["gate_decision"] = (f"{all_three} SELECT suite, bool_and(coalesce(success, FALSE)) AS passed, "
                           f"count(*) FILTER (WHERE NOT coalesce(success, FALSE)) AS failed_expectations "
                           f"FROM results GROUP BY suite")
@@ -523,6 +524,10 @@ def build() -> dict[str, str]:
         "WHEN starts_with(href, '//') THEN concat(regexp_extract(url, '^[a-z]+:', 0), href) WHEN starts_with(href, '/') THEN concat(regexp_extract(url, '^[a-z]+://[^/]+', 0), href) ELSE href END AS link "
         "FROM hrefs WHERE href <> '') "
         "SELECT link AS url, regexp_extract(link, '/book/([^-/?#]*)', 1) AS book_id FROM lk")
+    o["listing_unseen_books"] = (
+        f"WITH listed AS ({o['listing_book_frontier']}) SELECT * FROM listed WHERE url NOT IN "
+        "(SELECT concat('https://books.example.org/book/', p_partkey, '-', replace(p_name, ' ', '-')) FROM part "
+        "WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1995-01-03'))")
     o["html_class_text"] = f"SELECT page_id, {first_text('html', '(?s)<div class="ad">(.*?)</div>')} AS ad_text FROM pages"
     o["silver_books_from_pages"] = (f"WITH {recs}, bb AS (SELECT * FROM recs), "
                                     f"{silver_books_ctes()} SELECT * FROM silver_books")
@@ -619,6 +624,15 @@ def add_entity_pages(o: dict[str, str]) -> None:
                                       f"{silver_authors_ctes()} SELECT * FROM silver_authors")
     o["silver_publishers_from_pages"] = (f"WITH {publisher_records_sql()}, bp AS (SELECT * FROM precs WHERE books IS NOT NULL), "
                                          f"{silver_publishers_ctes()} SELECT * FROM silver_publishers")
+    from_pages = o["silver_publishers_from_pages"].replace("SELECT * FROM silver_publishers", suite_sql("silver_publishers", "gold_publishers"))
+    o["suite_runs_compared"] = (
+        f"WITH a AS ({o['suite_report_publishers']}), b AS ({from_pages}) "
+        "SELECT coalesce(a.suite, b.suite) AS suite, coalesce(a.expectation, b.expectation) AS expectation, "
+        "coalesce(a.column_name, b.column_name) AS column_name, a.success AS success_before, a.unexpected_count AS unexpected_before, "
+        "b.success AS success_now, b.unexpected_count AS unexpected_now, "
+        "CASE WHEN a.suite IS NULL THEN 'added' WHEN b.suite IS NULL THEN 'removed' WHEN a.success AND NOT b.success THEN 'broken' "
+        "WHEN NOT a.success AND b.success THEN 'fixed' ELSE 'same' END AS change "
+        "FROM a FULL JOIN b ON a.suite = b.suite AND a.expectation = b.expectation AND a.column_name = b.column_name")
 
 
 ORACLE_SQL = build()

@@ -6,6 +6,7 @@ tables; `quire.oracle` holds the DuckDB SQL that must return the same rows.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
@@ -13,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import cleaning as C
+from quire.operators import suites as S
 from quire.operators import validate as V
 from quire.operators.dedupe import dedupe_by_key, distinct_rows, insert_ignore, new_rows
 from quire.operators.impute import approx_median, attach_group_means, global_value
 from quire.plans import gold, pages as P, rejects as R, silver
+from quire.plans.frontier import SeenUrls
 from quire.session import ensure_checkpoint_dir
 from quire.sources import blocks, io
 from quire.sources.bronze_views import bronze
@@ -383,6 +386,35 @@ def gate_decision(spark, d):
     return V.gate_decision(results)
 
 
+def _checkpoint_run(spark, d, tables, validations):
+    """The results of a checkpoint file and suite files, which are written first."""
+    folder = _scratch(spark, "suites")
+    for name in validations.values():
+        S.write_text(spark, f"{folder}/{name}.json", S.suite_text(S.Suite(name, tuple(V.SUITES[name]))))
+    entries = [{"batch_request": {"data_asset_name": a}, "expectation_suite_name": s} for a, s in validations.items()]
+    S.write_text(spark, f"{folder}/checkpoint.json", json.dumps({"validations": entries}))
+    return S.run_checkpoint(spark, f"{folder}/checkpoint.json", folder, tables)
+
+
+@query
+def checkpoint_report(spark, d):
+    """The three suites read from files, run by a checkpoint file over the three candidates."""
+    tables = {"gold.books": gold.books(silver_books_table(spark, d)), "gold.authors": silver.authors(_ba(spark, d)),
+              "gold.publishers": silver.publishers(_bp(spark, d))}
+    return _checkpoint_run(spark, d, tables, {t: t.replace(".", "_") for t in tables})
+
+
+@query
+def suite_runs_compared(spark, d):
+    """The publishers suite over two runs, on the staged table and on the records of the publisher
+    pages; both are stored, the second is compared with the first (L6)."""
+    path = _scratch(spark, "suite-runs")
+    pages = P.publisher_records(blocks.publisher_pages(spark, d)).where(F.col("books").isNotNull())
+    for run, table in (("staged", silver.publishers(_bp(spark, d))), ("pages", silver.publishers(pages))):
+        S.record_run(_checkpoint_run(spark, d, {"gold.publishers": table}, {"gold.publishers": "gold_publishers"}), path, run)
+    return S.compare(S.read_run(spark, path, "pages"), S.read_run(spark, path, "staged"))
+
+
 # --- pages --------------------------------------------------------------------------------
 
 @query
@@ -409,6 +441,23 @@ def listing_book_frontier(spark, d):
     return P.book_frontier(blocks.listing_pages(spark, d))
 
 
+@query
+def listing_unseen_books(spark, d):
+    """The book URLs of the listing pages that were not seen before (K20, H2); the books shipped on
+    the first days of 1995 were seen on an earlier day."""
+    shipped = _table(spark, d, "lineitem").where(F.col("l_shipdate") < F.lit("1995-01-03").cast("timestamp")) \
+        .select(F.col("l_partkey").alias("p_partkey"))
+    earlier = _table(spark, d, "part").join(shipped, "p_partkey", "left_semi").select(
+        F.concat(F.lit("https://books.example.org/book/"), F.col("p_partkey").cast("string"), F.lit("-"),
+                 F.replace("p_name", F.lit(" "), F.lit("-"))).alias("url"))
+    seen = SeenUrls(spark, f"seen_{uuid.uuid4().hex}")
+    seen.mark(earlier, "earlier")
+    ensure_checkpoint_dir(spark)
+    found = seen.unseen(P.book_frontier(blocks.listing_pages(spark, d))).checkpoint(eager=True)
+    spark.sql(f"DROP TABLE {seen.table}")
+    return found
+
+
 @query
 def html_attribute(spark, d):
     pg = _table(spark, d, "pages")

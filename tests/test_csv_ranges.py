@@ -9,7 +9,7 @@ from quire.sources.csv_ranges import csv_records, end_state, read_csv_ranges
 from quire.sources.io import STAGED_CSV_READ
 
 COLUMNS = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(4)])
-FIELDS = ["", '""', "abc", '"x,y"', '"a\nb"', '"q""q"', '"\n\n"', '"""\n"""', 'st"ray', '" , "', "é", ' "lead', '"1\n2,""\n3"', '"a"b']
+FIELDS = ["", '""', "abc", '"x,y"', '"a\nb"', '"q""q"', '"\n\n"', '"""\n"""', 'st"ray', '" , "', "é", ' "lead', '"1\n2,""\n3"', '"a"b', '"cr\r\nlf"']
 
 
 def _text(rows, seed):

@@ -3,7 +3,7 @@
 from quire.plans import daily, rejects as R
 from quire.sources.blocks import book_pages
 from quire.sources.schemas import BRONZE
-from tests.conftest import SF_SMALL
+from conftest import SF_SMALL
 
 
 def _landed(spark, rows):
