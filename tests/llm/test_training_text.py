@@ -293,6 +293,50 @@ def test_prior_estimate_and_nonnegative_risk():
     assert (model.score(good(500)) > 0.5).mean() > 0.95 and (model.score(bad(500)) < 0.5).mean() > 0.95
 
 
+def test_quality_model_of_least_risk_over_every_unlabelled_row(spark):
+    """The weights against the risk by a plain loop over all rows, for the rows as an array and
+    as a DataFrame of many partitions; the class prior against the planted one."""
+    rng = np.random.default_rng(3)
+    k = len(pu_quality.FEATURES)
+    shift = np.linspace(-0.4, 0.4, k)
+    positive = rng.normal(shift, 1, (300, k))
+    rows = np.vstack([rng.normal(shift, 1, (420, k)), rng.normal(-shift, 1, (180, k))]).astype(np.float32).astype(float)
+    frame = spark.createDataFrame([(x.tolist(),) for x in rows], "x array<float>").repartition(7)
+    one, other = pu_quality.fit(positive, rows, 0.7), pu_quality.fit(positive, frame, 0.7)
+    apart = rng.normal(3 * shift, 1, (600, k)) * np.where(np.arange(600) < 420, 1, -1)[:, None]
+    found = [pu_quality.fit(rng.normal(3 * shift, 1, (300, k)), x) for x in (apart, spark.createDataFrame([(x.tolist(),) for x in apart], "x array<float>"))]
+    assert all(0.55 < m.prior < 0.85 for m in found)
+    assert np.allclose(one.weights, other.weights, atol=1e-6) and one.prior == other.prior
+
+    def risk(w):
+        good = bad = over = 0.0
+        for z in one.inputs(positive):
+            good += np.log1p(np.exp(-z @ w)) / len(positive)
+            over += np.log1p(np.exp(z @ w)) / len(positive)
+        for z in one.inputs(rows):
+            bad += np.log1p(np.exp(z @ w)) / len(rows)
+        return one.prior * good + max(0.0, bad - one.prior * over) + 0.5 * pu_quality.RIDGE / len(positive) * w @ w
+
+    least = risk(one.weights)
+    for _ in range(20):
+        near = one.weights + rng.normal(0, 0.05, len(one.weights))
+        if np.mean(np.logaddexp(0, one.inputs(rows) @ near)) >= one.prior * np.mean(np.logaddexp(0, one.inputs(positive) @ near)):
+            assert risk(near) > least - 1e-6
+    # every row twice is the same risk
+    more = pu_quality.fit(positive, frame.unionByName(frame), 0.7)
+    assert np.allclose(more.mean, rows.mean(axis=0)) and np.allclose(more.weights, one.weights, atol=1e-3)
+    assert pu_quality.fit(positive, frame.limit(0)) is None
+
+
+def test_quality_of_odd_rows(spark):
+    docs = spark.createDataFrame([(1, "Good words, and more of them.", "x"), (1, "Good words, and more of them.", "y"), (2, None, "z"),
+                                  (None, "", "z"), (3, "word " * 400_000, "z"), (4, "b|b|b !! B", "z")], "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(1, 1), (3, 1), (4, 0), (2, None), (None, 1)], "doc_id long, quality int")
+    got = pu_quality.classify(docs, labels).collect()
+    assert len(got) == 6 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
+    assert len({r.score for r in got if r.doc_id == 1}) == 1
+
+
 def test_fold(spark):
     from pyspark.sql import functions as F
 
