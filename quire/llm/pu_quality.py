@@ -16,7 +16,7 @@ among the unlabelled.
 Training reads at most SAMPLE labelled positives, chosen by a hash of doc_id, and
 all unlabelled texts of the training folds. Their statistics are staged once (a
 few dozen numbers a text); the inputs' mean and scale, the prior's counts and the
-gradient and Hessian of each step (a few dozen steps in all) are sums over all of
+gradient and Hessian of each step tried (some dozens in all) are sums over all of
 them by Spark. Only the positives' numbers (a few MB) and those sums reach the
 driver. Scoring is one pass without a shuffle.
 
