@@ -1,8 +1,12 @@
 """Declarative expectation suites and the publish gate.
 
-A suite runs as ONE aggregate over the candidate frame (every single-column
-check is a `count_if` / `count` / `max` in the same pass) plus, per
-uniqueness check, one grouped count whose total enters as a scalar subquery.
+Every single-column check of a suite is a `count_if` / `count` / `max` of one
+aggregate. If the candidate is the result of a job and the suite has one unique
+column, the aggregate is grouped by that column and rolled up to one row: the
+number of rows of each value is then known too, so the job is evaluated once,
+and not shuffled again where it left its rows by that column. A candidate that
+is only read from files keeps its rows in place: one aggregate without keys,
+and per uniqueness check a grouped count of that column alone.
 The one-row result is turned into one row per expectation with `inline`, so
 nothing but the final pass/fail flag reaches the driver.
 """
@@ -105,31 +109,80 @@ def _percent(unexpected: Column, denominator: Column) -> Column:
                   unexpected.cast("double") * F.lit(100.0) / denominator.cast("double"))
 
 
-def _metrics(df: DataFrame, exps: list[Expectation], with_unique: bool = True) -> list[Column]:
-    """The aggregate expressions of one pass over `df` (uniqueness checks as
-    scalar subqueries when `with_unique`)."""
-    metrics = [F.count(F.lit(1)).alias("__n")]
+def _single_column_metrics(exps: list[Expectation]) -> list[tuple[str, str, Column]]:
+    """(name, aggregate that merges two of them, aggregate expression)."""
+    metrics = [("__n", "sum", F.count(F.lit(1)))]
     for i, e in enumerate(exps):
         c = F.col(e.column)
-        metrics.append(F.count(c).alias(f"__nn{i}"))
+        metrics.append((f"__nn{i}", "sum", F.count(c)))
         if e.kind == NOT_NULL:
-            metrics.append(F.count_if(c.isNull()).alias(f"__u{i}"))
+            metrics.append((f"__u{i}", "sum", F.count_if(c.isNull())))
         elif e.kind in (BETWEEN, IN_SET):
             bad = _outside(c, e.min_value, e.max_value) if e.kind == BETWEEN else ~c.isin(*e.value_set)
-            metrics.append(F.count_if(bad).alias(f"__u{i}"))
-            metrics.append(F.min(F.when(bad, c)).cast("string").alias(f"__x{i}"))
-        elif e.kind == UNIQUE:
-            if with_unique:
-                count, example = _duplicated_rows(df, e.column)
-                metrics.append(count.alias(f"__u{i}"))
-                metrics.append(example.alias(f"__x{i}"))
+            metrics.append((f"__u{i}", "sum", F.count_if(bad)))
+            metrics.append((f"__x{i}", "min", F.min(F.when(bad, c))))
         elif e.kind == MAX_BETWEEN:
-            metrics.append(F.max(c).cast("double").alias(f"__o{i}"))
-        else:
+            metrics.append((f"__o{i}", "max", F.max(c)))
+        elif e.kind != UNIQUE:
             raise ValueError(f"unknown expectation {e.kind}")
     return metrics
 
 
+def _typed(name: str, value: Column) -> Column:
+    """Examples are text, observed values double."""
+    if name.startswith("__x"):
+        value = value.cast("string")
+    elif name.startswith("__o"):
+        value = value.cast("double")
+    return value.alias(name)
+
+
+def _metrics(df: DataFrame, exps: list[Expectation], with_unique: bool = True) -> list[Column]:
+    """The aggregate expressions of one pass over `df` (uniqueness checks as
+    scalar subqueries when `with_unique`)."""
+    metrics = [_typed(name, value) for name, _, value in _single_column_metrics(exps)]
+    for i, e in enumerate(exps):
+        if e.kind == UNIQUE and with_unique:
+            count, example = _duplicated_rows(df, e.column)
+            metrics += [count.alias(f"__u{i}"), example.alias(f"__x{i}")]
+    return metrics
+
+
+def _rolled_up(df: DataFrame, exps: list[Expectation], key: str) -> DataFrame:
+    """The one-row metrics of a suite whose only unique column is `key`, from one
+    aggregate by that column: its groups hold the partial results of every check,
+    and their sizes answer the uniqueness check. Partial aggregation reduces a
+    frequent (or null) key in every task."""
+    parts = _single_column_metrics(exps)
+    groups = df.groupBy(F.col(key).alias("__key")).agg(*[value.alias(name) for name, _, value in parts])
+    twice = F.col("__key").isNotNull() & (F.col("__n") > 1)
+    merge = {"sum": lambda n: F.coalesce(F.sum(n), F.lit(0)), "min": F.min, "max": F.max}
+    unique_ones = [i for i, e in enumerate(exps) if e.kind == UNIQUE]
+    return groups.agg(
+        *[_typed(name, merge[how](name)) for name, how, _ in parts],
+        *[F.coalesce(F.sum(F.when(twice, F.col("__n"))), F.lit(0)).alias(f"__u{i}") for i in unique_ones],
+        *[F.min(F.when(twice, F.col("__key"))).cast("string").alias(f"__x{i}") for i in unique_ones])
+
+
+def _only_read(df: DataFrame) -> bool:
+    """Whether `df` is read from tables with nothing but projections, filters and unions above."""
+    nodes = [df._jdf.queryExecution().analyzed()]
+    while nodes:
+        node = nodes.pop()
+        children = node.children()
+        if children.size() and node.nodeName() not in ("Project", "Filter", "SubqueryAlias", "Union", "View"):
+            return False
+        nodes += [children.apply(k) for k in range(children.size())]
+    return True
+
+
+def _one_row(df: DataFrame, exps: list[Expectation]) -> DataFrame:
+    keys = {e.column for e in exps if e.kind == UNIQUE}
+    if len(keys) == 1 and not _only_read(df):
+        return _rolled_up(df, exps, keys.pop())
+    return df.agg(*_metrics(df, exps))
+
+
 def _assemble(one: DataFrame, suite: str, exps: list[Expectation]) -> DataFrame:
     """One-row metrics frame -> one result row per expectation."""
     rows = []
@@ -164,7 +217,7 @@ def validate(df: DataFrame, suite: str, expectations: list[Expectation] | None =
     element_count, unexpected_count, unexpected_percent, observed_value and
     example_unexpected (the smallest offending value, as text)."""
     exps = SUITES[suite] if expectations is None else expectations
-    return _assemble(df.agg(*_metrics(df, exps)), suite, exps)
+    return _assemble(_one_row(df, exps), suite, exps)
 
 
 def write_and_validate(df: DataFrame, suite: str, writer,

@@ -423,3 +423,29 @@ def test_unique_input_gives_the_same_silver(spark):
             for i in range(20)]
     df = bronze_frame(spark, "books", rows)
     assert sorted(silver.books(df, unique=True).collect(), key=str) == sorted(silver.books(df).collect(), key=str)
+
+
+def test_suite_in_one_grouped_pass_equals_the_plain_one(spark):
+    exps = [V.not_null("k"), V.not_null("s", mostly=0.5), V.between("n", 0, 10), V.in_set("s", ["a", "b"]), V.unique("k"),
+            V.max_between("n", max_value=100.0), V.unique("k")]
+    rows = [(k, s, n) for k, s, n in zip([1, 1, 2, None, None, 3, 10, 10, 10, 4], "abcab" * 2, [5, -3, 11, None, 4, 100, 9, 12, 0, None])]
+    rows += [(77, "z", 1)] * 300  # one key with most of the rows
+    base = spark.createDataFrame(rows, "k long, s string, n int").repartition(5)
+    for df in (base, base.where("k < 0"), base.where("k IS NULL"), base.where("s = 'a'")):
+        assert not V._only_read(df)
+        plain = V._assemble(df.agg(*V._metrics(df, exps)), "t", exps)
+        assert [tuple(r) for r in V.validate(df, "t", exps).collect()] == [tuple(r) for r in plain.collect()]
+
+
+def test_suite_uses_the_rows_where_the_job_left_them(spark, scratch):
+    base = spark.createDataFrame([(i % 50, i) for i in range(500)], "k long, n int")
+    df = base.repartition(4, "k").groupBy("k").agg(F.max("n").alias("n"))
+    exps = [V.not_null("n"), V.unique("k"), V.between("n", 0)]
+    result = V.validate(df, "t", exps)
+    result.collect()
+    plan = result._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("hashpartitioning(k") == 1  # the job's own shuffle; the second aggregate needs none
+    df.write.parquet(f"{scratch}/t")
+    read = spark.read.parquet(f"{scratch}/t")
+    assert V._only_read(read.where("n > 3").select("k", "n").union(read)) and not V._only_read(df)
+    assert [tuple(r) for r in V.validate(read, "t", exps).collect()] == [tuple(r) for r in result.collect()]
