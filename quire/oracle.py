@@ -451,6 +451,7 @@ def build() -> dict[str, str]:
                               f"FROM pairs p JOIN dict d ON p.genre = d.genre WHERE p.book_id IS NOT NULL")
     sa = f"WITH ba AS ({BRONZE_SQL['authors']}), {silver_authors_ctes()}"
     sp = f"WITH bp AS ({BRONZE_SQL['publishers']}), {silver_publishers_ctes()}"
+    o["bronze_merged_and_compacted"] = f"{with_bronze('authors')} SELECT * FROM ba"
     o["silver_authors"] = f"{sa} SELECT * FROM silver_authors"
     o["silver_publishers"] = f"{sp} SELECT * FROM silver_publishers"
     o["gold_authors_merge"] = (

@@ -29,8 +29,12 @@ ENTITIES = ("books", "authors", "publishers")
 class Layout:
     root: str
 
+    def bronze_root(self) -> str:
+        return f"{self.root}/bronze"
+
     def bronze(self, entity: str) -> str:
-        return f"{self.root}/bronze/{entity}_raw"
+        """Where the merged bronze table lies (needs a session)."""
+        return self._published(self.bronze_root(), f"{entity}_raw")
 
     def silver(self, entity: str) -> str:
         return f"{self.root}/silver/{entity}"
@@ -40,9 +44,13 @@ class Layout:
 
     def gold(self, table: str) -> str:
         """Where the published version of a gold table lies (needs a session)."""
+        return self._published(self.gold_root(), table)
+
+    @staticmethod
+    def _published(root: str, table: str) -> str:
         spark = SparkSession.getActiveSession()
-        published = Versions(spark, self.gold_root()).path(table) if spark is not None else None
-        return published or f"{self.gold_root()}/{table}"
+        published = Versions(spark, root).path(table) if spark is not None else None
+        return published or f"{root}/{table}"
 
     def results(self) -> str:
         return f"{self.root}/validation/results"
@@ -51,10 +59,19 @@ class Layout:
 def merge_bronze(spark: SparkSession, layout: Layout, entity: str, staged: DataFrame) -> DataFrame:
     """Insert-ignore a staged batch into bronze `<entity>_raw` (B6). The new
     rows are checkpointed first: computed once, and the returned frame does
-    not change when the table it was compared against grows."""
-    stored = io.read_or_empty(spark, layout.bronze(entity), BRONZE[entity])
+    not change when the table it was compared against grows. Bronze is a layer of versions:
+    the batch becomes visible by one commit, and small files of earlier batches are rewritten with it in the
+    order of the key, so that their number stays bounded over the days. A batch without new rows writes nothing."""
+    layer, table = Versions(spark, layout.bronze_root()), f"{entity}_raw"
+    draft = layer.begin()
+    draft.adopt(table)
+    stored = io.read_or_empty(spark, layout.bronze(entity), BRONZE[entity]) if table not in layer.tables() \
+        else layer.read(table, BRONZE[entity])
     added = new_rows_of_batch(stored, staged.select(*BRONZE[entity].names), KEYS[entity]).checkpoint(eager=True)
-    io.append(added, layout.bronze(entity))
+    if table not in draft.tables or not added.isEmpty():
+        draft.append(table, added, BRONZE[entity], KEYS[entity])
+        draft.commit()
+        layer.vacuum(KEEP * len(ENTITIES))  # every run commits once for each entity
     return added
 
 

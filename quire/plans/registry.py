@@ -18,12 +18,13 @@ from quire.operators import suites as S
 from quire.operators import validate as V
 from quire.operators.dedupe import dedupe_by_key, distinct_rows, insert_ignore, new_rows
 from quire.operators.impute import approx_median, attach_group_means, global_value
-from quire.plans import gold, pages as P, rejects as R, silver
+from quire.plans import daily, gold, pages as P, rejects as R, silver
 from quire.plans.frontier import SeenUrls
 from quire.session import ensure_checkpoint_dir
 from quire.sources import blocks, io
 from quire.sources.bronze_views import bronze
-from quire.sources.schemas import GOLD
+from quire.sources.schemas import BRONZE, GOLD
+from quire.sources.versions import Versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -289,6 +290,18 @@ def genre_dictionary_incremental(spark, d):
     return gold.extend_dictionary(stored, gold.genre_pairs(sb))[0].frame
 
 
+@query
+def bronze_merged_and_compacted(spark, d):
+    """Bronze authors after five daily merges of two last digits of the id each, which also bring back
+    authors of an earlier day; small files are rewritten on the way."""
+    layout = daily.Layout(_scratch(spark, "bronze-days"))
+    staged = _ba(spark, d)
+    digit = F.substring("authorid", -1, 1).cast("int")
+    for day in range(5):
+        daily.merge_bronze(spark, layout, "authors", staged.where(digit.isin(2 * day, 2 * day + 1, day)))
+    return Versions(spark, layout.bronze_root()).read("authors_raw", BRONZE["authors"])
+
+
 @query
 def book_genre_bridge(spark, d):
     return gold.build(silver_books_table(spark, d)).book_genre
