@@ -432,6 +432,7 @@ def build() -> dict[str, str]:
 
     sb = f"WITH bb AS ({BRONZE_SQL['books']}), {silver_books_ctes()}"
     o["silver_books"] = f"{sb} SELECT * FROM silver_books"
+    o["silver_books_maintained"] = o["silver_books"]
     o["gold_books_projection"] = f"{sb} {gold_books_select()}"
     o["overwrite_keep_schema"] = o["gold_books_projection"]
     o["genre_inverted_index"] = (f"{sb}, {GENRE_PAIRS} SELECT genre, CAST(floor(book_id / 1024) AS BIGINT) AS block, "

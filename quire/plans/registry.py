@@ -20,6 +20,7 @@ from quire.operators.dedupe import dedupe_by_key, distinct_rows, insert_ignore,
 from quire.operators.impute import approx_median, attach_group_means, global_value
 from quire.plans import daily, gold, pages as P, rejects as R, silver
 from quire.plans.frontier import SeenUrls
+from quire.plans.maintained import MaintainedBooks
 from quire.session import ensure_checkpoint_dir
 from quire.sources import blocks, io
 from quire.sources.bronze_views import bronze
@@ -317,6 +318,15 @@ def silver_books(spark, d):
     return _silver_books(spark, d)
 
 
+@query
+def silver_books_maintained(spark, d):
+    """silver.books after three batches of bronze books, built from the sums and counts kept beside them."""
+    kept, staged = MaintainedBooks(spark, _scratch(spark, "maintained")), _bb(spark, d)
+    for day in range(3):
+        kept.update(new_rows(staged.limit(0), staged.where(F.pmod(F.crc32("id"), F.lit(3)) == day), "id").checkpoint())
+    return kept.books()
+
+
 @query
 def silver_books_corrected(spark, d):
     """silver.books with the size and translator rules as intended (§7.1 #4)."""

@@ -7,7 +7,7 @@ instead of ~45 stacked `withColumn`s.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import cleaning as C
@@ -41,15 +41,27 @@ def books(bronze: DataFrame, corrected: bool = False, unique: bool = False) -> D
     means = attach_group_means(means, "authorid", {"__year_author": year_num,
                                                     "__pages_author": pages_num}, source=once, split=True)
 
-    year = F.when(_sentinel_or_null("editionyear"),
-                  F.coalesce(F.col("__year_pub"), F.col("__year_author"))) \
-        .otherwise(year_num.cast("double"))
+    # J2 (second half): different raw ids may share their digits.
+    return _conform(dedupe_by_key(clean_books(means, median_pages, corrected), "id"), "books")
+
+
+def needs_year() -> Column:
+    return _sentinel_or_null("editionyear")
+
+
+def needs_pages() -> Column:
     pages_raw = C.sentinel_to_null("pages")
-    pages = F.when(pages_raw.isNull() | (C.int_lenient(pages_raw) > C.PAGES_OUTLIER),
-                   F.coalesce(F.col("__pages_author"), median_pages.cast("double"))) \
-        .otherwise(C.double_lenient(pages_raw))
+    return pages_raw.isNull() | (C.int_lenient(pages_raw) > C.PAGES_OUTLIER)
+
 
-    cleaned = means.select(
+def clean_books(means: DataFrame, median_pages: Column, corrected: bool = False, *more: Column) -> DataFrame:
+    """Bronze books with the means of their publisher and author (`__year_pub`, `__year_author`,
+    `__pages_author`) as clean rows, not yet one per id; columns of `more` follow."""
+    year = F.when(needs_year(), F.coalesce(F.col("__year_pub"), F.col("__year_author"))) \
+        .otherwise(C.int_lenient("editionyear").cast("double"))
+    pages = F.when(needs_pages(), F.coalesce(F.col("__pages_author"), median_pages.cast("double"))) \
+        .otherwise(C.double_lenient(C.sentinel_to_null("pages")))
+    return means.select(
         C.first_int("id").alias("id"),
         F.col("booktitle"),
         F.col("author"),
@@ -69,9 +81,8 @@ def books(bronze: DataFrame, corrected: bool = False, unique: bool = False) -> D
           for c in ("haveread", "planned", "reviews", "quotes")],
         C.sentinel_to_default("series", C.DEFAULT_SERIES).alias("series"),
         C.first_int("publisherid").alias("publisherid"),
+        *more,
     )
-    # J2 (second half): different raw ids may share their digits.
-    return _conform(dedupe_by_key(cleaned, "id"), "books")
 
 
 def authors(bronze: DataFrame, unique: bool = False) -> DataFrame:
