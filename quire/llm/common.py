@@ -3,8 +3,10 @@ tables in the cluster's shared folder and files written by tasks."""
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -69,6 +71,40 @@ def with_uid(df: DataFrame, columns: list[str], uid: str = "uid") -> DataFrame:
         .select(*columns, (F.shiftleft("__rank", 40) + F.col("__place")).alias(uid))
 
 
+@lru_cache(maxsize=1)
+def _trim() -> Callable[[int], int] | None:
+    """glibc's malloc_trim; other C libraries have none."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return the memory that Arrow and malloc hold free to the system."""
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
+
+
+def frugal(rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """`rows` for mapInArrow, giving back free memory when it ends: its worker goes
+    on to other tasks, and would hold the largest batch of each operator until then."""
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from rows(parts)
+        finally:
+            give_back()
+
+    return run
+
+
+TEXTS = 256  # Python strings that `texts` makes at once
+
+
+def texts(column: pa.Array) -> Iterator[str | None]:
+    """The strings of an Arrow column, a few at a time: a batch has thousands of documents."""
+    for i in range(0, len(column), TEXTS):
+        yield from column.slice(i, TEXTS).to_pylist()
+
+
 def open_fs(uri: str):
     """pyarrow file system and path of a URI (file, hdfs, s3, gs ...)."""
     from pyarrow import fs

@@ -42,6 +42,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.llm.common import frugal
+
 SIMILARITY = 0.8
 RECALL = 0.98
 SAMPLED = 3
@@ -313,7 +315,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
                     if out:
                         yield pa.RecordBatch.from_pylist(out, schema=schema)
 
-        return rows.mapInArrow(scan, _MATCH)
+        return rows.mapInArrow(frugal(scan), _MATCH)
 
     result, held = spark.createDataFrame([], _MATCH), []
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).toLocalIterator()

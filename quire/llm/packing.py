@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import batches, stage
+from quire.llm.common import batches, frugal, stage, texts
 from quire.llm.tokens import default_tokenizer, encoder
 
 CAPACITY = 2048
@@ -191,7 +191,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | Non
         uid = TaskContext.get().partitionId() << 33
         for part in parts:
             rows: dict[str, list] = {f.name: [] for f in schema}
-            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            for doc_id, text in zip(part.column(0).to_pylist(), texts(part.column(1))):
                 ids = np.frombuffer(enc.encode(text) + end, enc.dtype).astype("<u4")
                 first = len(ids) % capacity or capacity
                 edges = [0, *range(first, len(ids) + 1, capacity)]
@@ -200,8 +200,9 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | Non
                         rows[name].append(v)
                     uid += 1
             yield from batches(rows, schema)
+        enc.forget()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, _PIECES)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(frugal(cut), _PIECES)
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None,

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import stage, with_uid
+from quire.llm.common import frugal, stage, texts, with_uid
 
 WIDTH = 200
 ANCHOR = 32
@@ -98,7 +98,7 @@ def _anchor_rows(width: int):
 
         found: list[tuple[np.ndarray, ...]] = []
         for part in parts:
-            for uid, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            for uid, text in zip(part.column(0).to_pylist(), texts(part.column(1))):
                 data = (text or "").encode()
                 if len(data) < width:
                     continue
@@ -319,8 +319,8 @@ def _pack_texts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     press = zstandard.ZstdCompressor(level=1, write_content_size=True).compress
     for part in parts:
-        texts = [press((t or "").encode()) for t in part.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.binary()), *part.columns[2:]],
+        packed = [press((t or "").encode()) for t in texts(part.column(1))]
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(packed, pa.binary()), *part.columns[2:]],
                                          names=["uid", "packed", *part.schema.names[2:]])
 
 
@@ -329,14 +329,14 @@ def repeated_spans(rows: DataFrame, width: int = WIDTH, group_rows: int = GROUP_
     for `rows` (uid, text) with stable unique ids; spans may overlap."""
     spark = rows.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    anchors = rows.select("uid", "text").mapInArrow(_anchor_rows(width), _ROW)
-    settled = stage(anchors.repartition(n, "digit").sortWithinPartitions("digit", "ctx").mapInArrow(_settle(width), _ROW)
+    anchors = rows.select("uid", "text").mapInArrow(frugal(_anchor_rows(width)), _ROW)
+    settled = stage(anchors.repartition(n, "digit").sortWithinPartitions("digit", "ctx").mapInArrow(frugal(_settle(width)), _ROW)
                     .select("kind", "uid", "first", "off", "len"), "runs")
     open_runs = settled.where("kind = 1").groupBy("uid").agg(F.collect_list(F.struct("first", "off", "len")).alias("runs"))
-    texts = rows.select("uid", "text").mapInArrow(_pack_texts, "uid long, packed binary")
-    slices = texts.join(open_runs, "uid").select("uid", "packed", "runs").mapInArrow(_slice_rows(width), _SLICES)
+    packed = rows.select("uid", "text").mapInArrow(frugal(_pack_texts), "uid long, packed binary")
+    slices = packed.join(open_runs, "uid").select("uid", "packed", "runs").mapInArrow(frugal(_slice_rows(width)), _SLICES)
     found = stage(slices.repartition(n, "digit").sortWithinPartitions("digit").mapInArrow(
-        _windows(width, group_rows), "kind byte, uid long, b int, e int, digit long, around binary"), "windows")
+        frugal(_windows(width, group_rows)), "kind byte, uid long, b int, e int, digit long, around binary"), "windows")
     spans = settled.where("kind = 0").select("uid", F.col("first").alias("b"), F.expr("first + len").alias("e")) \
         .unionByName(found.where("kind = 0").select("uid", "b", "e"))
     large = found.where("kind = 1")
@@ -384,7 +384,7 @@ def remove_repeats(docs: DataFrame, keep: list[str] | None = None, width: int =
     rows = with_uid(docs.select(row, F.col("text").cast("string").alias("text")), ["row", "text"])
     spans = repeated_spans(rows, width, group_rows)
     kind = rows.schema["row"].dataType.simpleString()
-    packed = rows.select("uid", "text", "row").mapInArrow(_pack_texts, f"uid long, packed binary, row {kind}")
+    packed = rows.select("uid", "text", "row").mapInArrow(frugal(_pack_texts), f"uid long, packed binary, row {kind}")
 
     def finish(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -407,5 +407,5 @@ def remove_repeats(docs: DataFrame, keep: list[str] | None = None, width: int =
                 names=["row", *out])
 
     return packed.join(spans, "uid", "left").mapInArrow(
-        finish, f"row {kind}, text string, removed array<struct<b:int,e:int>>, n_bytes long, n_removed long, n_spans long, "
+        frugal(finish), f"row {kind}, text string, removed array<struct<b:int,e:int>>, n_bytes long, n_removed long, n_spans long, "
         "kept_sha256 string").select("row.*", "text", "removed", "n_bytes", "n_removed", "n_spans", "kept_sha256")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import stage, with_uid
+from quire.llm.common import frugal, stage, texts, with_uid
 from quire.llm.components import connected_components, forest
 
 SHINGLE = 3
@@ -76,11 +76,11 @@ def fingerprints(rows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(uid, doc_id, fp) of `rows` (uid, doc_id, text); fp as a signed long."""
     def sign(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            fps = np.array([fingerprint(shingle_hashes(t, shingle)) for t in part.column(2).to_pylist()], np.uint64)
+            fps = np.array([fingerprint(shingle_hashes(t, shingle)) for t in texts(part.column(2))], np.uint64)
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fps.view(np.int64))],
                                              names=["uid", "doc_id", "fp"])
 
-    return rows.select("uid", "doc_id", "text").mapInArrow(sign, "uid long, doc_id long, fp long")
+    return rows.select("uid", "doc_id", "text").mapInArrow(frugal(sign), "uid long, doc_id long, fp long")
 
 
 def distance(x: np.ndarray, v: np.uint64) -> np.ndarray:

@@ -4,13 +4,19 @@ A byte-level BPE never merges across a blank that starts a word, so a text is
 cut there and each distinct word is encoded once per worker; the words' ids,
 joined, are the ids of the text. Words of Latin letters with trailing ASCII
 punctuation are two pre-tokens, which go to the library's BPE model directly;
-every other word goes through the whole tokenizer."""
+every other word goes through the whole tokenizer.
+
+An executor's workers go on to other tasks, so what an encoder keeps lies beside
+all that they do: a word with punctuation uses the entry of the word without, the
+words are kept in two halves, the older of which is dropped when the newer is full,
+and `forget` drops most of them at the end of a task."""
 
 from __future__ import annotations
 
 import re
 from array import array
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 
@@ -19,6 +25,7 @@ _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
 _WORD_START = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?!\S)")
 CACHE_WORDS = 600_000
+KEPT_WORDS = 60_000
 
 
 def default_tokenizer() -> str:
@@ -37,7 +44,7 @@ def _byte_chars() -> dict[int, str]:
 class WordEncoder:
     """`encode(text)`: the ids of a whole text (null: none) as little-endian
     bytes of `dtype`. Strings of special tokens in a text are ordinary text.
-    The caches hold at most CACHE_WORDS words each."""
+    At most CACHE_WORDS words of at most 64 characters are kept."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -48,6 +55,7 @@ class WordEncoder:
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.model, self.table = self.tok.model, _byte_chars()
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.stems: dict[str, bytes] = {}
         pre = self.tok.pre_tokenizer
         self.by_word = type(pre).__name__ == "ByteLevel" and not pre.add_prefix_space and self.tok.normalizer is None
@@ -55,24 +63,32 @@ class WordEncoder:
     def _whole(self, text: str) -> bytes:
         return array(self.code, self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _pre_token(self, pre_token: str) -> bytes:
+        chars = pre_token.encode().decode("latin-1").translate(self.table)
+        return array(self.code, [t.id for t in self.model.tokenize(chars)]).tobytes()
+
     def _stem(self, pre_token: str) -> bytes:
         got = self.stems.get(pre_token)
         if got is None:
             if len(self.stems) >= CACHE_WORDS:
                 self.stems.clear()
-            chars = pre_token.encode().decode("latin-1").translate(self.table)
-            got = self.stems[pre_token] = array(self.code, [t.id for t in self.model.tokenize(chars)]).tobytes()
+            got = self.stems[pre_token] = self._pre_token(pre_token)
         return got
 
     def _word(self, word: str) -> bytes:
-        """Ids of a blank and `word`."""
-        if m := _SIMPLE.fullmatch(word):
-            got = self._stem(" " + m[1]) + (self._stem(m[2]) if m[2] else b"")
-        else:
-            got = self._whole(" " + word)
-        if len(self.words) >= CACHE_WORDS:
-            self.words.clear()
+        """Ids of a blank and `word`, which is not among the newer words."""
+        got = self.older.get(word)
+        if got is None:
+            m = _SIMPLE.fullmatch(word)
+            if m is None:
+                got = self._whole(" " + word)
+            elif m[2]:
+                got = (self.words.get(m[1]) or self._word(m[1])) + self._stem(m[2])
+            else:
+                got = self._pre_token(" " + word)
         if len(word) <= 64:
+            if len(self.words) >= CACHE_WORDS // 2:
+                self.older, self.words = self.words, {}
             self.words[word] = got
         return got
 
@@ -89,6 +105,11 @@ class WordEncoder:
                 found[i] = self.words.get(words[i]) or self._word(words[i])
         return b"".join(found)
 
+    def forget(self) -> None:
+        """Drop all but the KEPT_WORDS that came first: frequent words come early."""
+        self.words = dict(islice(chain(self.older.items(), self.words.items()), KEPT_WORDS))
+        self.older, self.stems = {}, {}
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
